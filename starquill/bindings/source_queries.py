@@ -1,2 +1,89 @@
-QUERIES = {}
-ORACLES = {}
+"""Sources and sinks on the test tables.  Written tables go to the shared folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from starquill.bindings.star import ORDERS, Star, money
+from starquill.session import new_table_path
+from starquill.sources import files
+from starquill.sources.inline import series, values
+
+PRIORITIES = [("1-URGENT", 1, "now"), ("2-HIGH", 2, "soon"), ("3-MEDIUM", 3, "soon"),
+              ("9-NEVER", 9, "never")]
+
+
+def inline_values(spark, folder):
+    """Orders per label of an inline table; counted per priority before the join."""
+    counts = (Star(spark, folder)["orders"].groupBy("o_orderpriority")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).alias("total")))
+    labels = values(spark, PRIORITIES, "priority string, rank int, label string")
+    return (labels.join(counts, F.col("priority") == F.col("o_orderpriority"), "left")
+            .groupBy("label").agg(F.sum("rank").alias("ranks"),
+                                  F.coalesce(F.sum("n"), F.lit(0)).alias("n_orders"),
+                                  F.coalesce(F.sum("total"), F.lit(0)).cast("decimal(18,2)")
+                                  .alias("total")))
+
+
+INLINE = f"""
+WITH {ORDERS}, labels(priority, rank, label) AS (VALUES
+  ('1-URGENT', 1, 'now'), ('2-HIGH', 2, 'soon'), ('3-MEDIUM', 3, 'soon'), ('9-NEVER', 9, 'never'))
+SELECT label, CAST(sum(rank) AS BIGINT) AS ranks, CAST(sum(n) AS BIGINT) AS n_orders,
+       CAST(coalesce(sum(total), 0) AS DECIMAL(18,2)) AS total
+FROM (SELECT priority, rank, label, count(o_orderkey) AS n, sum(amt) AS total
+      FROM labels LEFT JOIN ord ON o_orderpriority = priority GROUP BY 1, 2, 3)
+GROUP BY label
+"""
+
+
+def series_table(spark, folder, prefix="veeeeeeery_long_string"):
+    """One text row per line of the fact, written as a table and read back."""
+    n_rows = Star(spark, folder)["lineitem"].count()
+    rows = series(spark, 1, n_rows).select(F.concat(F.lit(prefix), "n").alias("col"))
+    table = files.create_table_as(rows, new_table_path(spark, "series"))
+    return table.agg(F.count(F.lit(1)).alias("n_rows"), F.min("col").alias("least"),
+                     F.max("col").alias("greatest"),
+                     F.sum(F.char_length("col")).alias("n_chars"))
+
+
+SERIES = """
+SELECT count(*) AS n_rows, min(col) AS least, max(col) AS greatest,
+       CAST(sum(length(col)) AS BIGINT) AS n_chars
+FROM (SELECT 'veeeeeeery_long_string' || n AS col
+      FROM range(1, (SELECT count(*) + 1 FROM lineitem)) AS r(n))
+"""
+
+
+def partitioned_fact(spark, folder):
+    """Orders stored by month; three of the folders are read back."""
+    orders = Star(spark, folder)["orders"].select(
+        "o_orderkey", "o_custkey", money("o_totalprice").alias("amt"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    stored = files.write_partitioned(orders, new_table_path(spark, "by-month"), "month",
+                                     ["o_orderkey"])
+    return stored.filter(F.col("month").between("1997-01", "1997-03"))
+
+
+PARTITIONED = f"""
+WITH {ORDERS}
+SELECT o_orderkey, o_custkey, amt, strftime(o_orderdate, '%Y-%m') AS month FROM ord
+WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-04-01'
+"""
+
+
+def table_sizes(spark, folder):
+    return files.footprint(spark, folder, "%")
+
+
+QUERIES = {
+    "src_values": inline_values,
+    "src_series_ctas": series_table,
+    "src_partitioned_fact": partitioned_fact,
+    "src_footprint": table_sizes,
+}
+
+ORACLES = {
+    "src_values": INLINE,
+    "src_series_ctas": SERIES,
+    "src_partitioned_fact": PARTITIONED,
+}

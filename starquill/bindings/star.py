@@ -124,6 +124,13 @@ class Star(TableSet):
             F.col("o_orderkey").alias("rental_id"), F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("payment_date"), money("o_totalprice").alias("amount"))
 
+    def line_paid_by_customer(self) -> DataFrame:
+        """Lines as payments of the customer who ordered them."""
+        return (self["lineitem"].join(self["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+                .select(F.col("o_custkey").alias("customer_id"),
+                        F.col("l_shipdate").alias("payment_date"),
+                        money("l_extendedprice").alias("amount")))
+
 
 # The same readings in SQL.
 
