@@ -6,10 +6,10 @@ stand as SQL in the module constants, for the comparison queries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starquill.sources.tables import TableSet
+from starquill.sources.tables import STAR_SCHEMAS, TableSet
 
 
 def money(column: str) -> Column:
@@ -21,6 +21,9 @@ def year(column: str) -> Column:
 
 
 class Star(TableSet):
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__(spark, folder, STAR_SCHEMAS)
+
     # nation -> customer -> orders -> lineitem as store -> copy -> rental -> payment
 
     def store(self) -> DataFrame:

@@ -32,14 +32,16 @@ def pick_random(df: DataFrame, seed: int | None = None) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(1)
 
 
-def at_maximum(df: DataFrame, column: str) -> DataFrame:
-    """All rows that hold the greatest value of ``column``, ties included."""
-    return df.filter(F.col(column) == df.agg(F.max(column)).scalar())
+def at_extremum(df: DataFrame, column: str, key: str, greatest: bool = True) -> DataFrame:
+    """All rows that hold the greatest (or least) value of ``column``, ties included.
 
-
-def at_minimum(df: DataFrame, column: str) -> DataFrame:
-    """All rows that hold the least value of ``column``, ties included."""
-    return df.filter(F.col(column) == df.agg(F.min(column)).scalar())
+    ``df`` is read by the rows and by the extremum.  Both must have the same plan to share
+    one shuffle, so the key is filtered here already: a join on it would else put that
+    filter into one of them only.
+    """
+    df = df.filter(F.col(key).isNotNull() & F.col(column).isNotNull())
+    pick = F.max if greatest else F.min
+    return df.filter(F.col(column) == df.agg(pick(column)).scalar())
 
 
 def with_fallback(df: DataFrame, fallback: DataFrame) -> DataFrame:
@@ -49,7 +51,7 @@ def with_fallback(df: DataFrame, fallback: DataFrame) -> DataFrame:
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_num",
-                within: Sequence[str] = (), after: Column | int = 0) -> DataFrame:
+                within: Sequence[str] = (), after: int = 0) -> DataFrame:
     """Consecutive numbers in the order of ``order``, from ``after + 1``; per group of
     ``within`` if given.
 
@@ -82,6 +84,6 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_num",
         offsets = F.broadcast(df.sparkSession.createDataFrame(
             rows, "_t int, _first long, _offset long"))
         match = F.col("_task") == F.col("_t")
-    number = F.col("_place") - F.col("_first") + F.col("_offset") + F.lit(1) + after
+    number = F.col("_place") - F.col("_first") + F.col("_offset") + F.lit(1 + after)
     return placed.join(offsets, match).select(
         *df.columns, number.cast("long").alias(name))

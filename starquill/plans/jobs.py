@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from starquill.functions.scalars import is_blank, late_fee_amount, same_text, whole_days
 from starquill.operators.rows import first_per_key, number_rows, pick_first
-from starquill.session import materialise
 
 # Terms of a newly added film and the years a film may carry.
 NEW_FILM_DURATION = 3
@@ -50,19 +49,19 @@ def absent_rows(batch: DataFrame, target: DataFrame, keys: Sequence[Column]) ->
     return keyed.join(present, names, "left_anti").drop(*names)
 
 
-def next_id(target: DataFrame, id_column: str) -> Column:
+def greatest_id(target: DataFrame, id_column: str) -> int:
     """The greatest id in use, 0 in an empty table."""
-    return F.coalesce(target.agg(F.max(id_column)).scalar(), F.lit(0))
+    return target.agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
 
 
 def assign_ids(batch: DataFrame, target: DataFrame, id_column: str,
                order: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` with ids that follow the greatest id of ``target``.
 
-    The numbers are written out once, so every later use sees the same ids.
+    The greatest id is read once and row positions come from a written table, so every
+    later use of the rows sees the same ids.
     """
-    numbered = number_rows(batch, order, id_column, after=next_id(target, id_column))
-    return materialise(numbered, "ids")
+    return number_rows(batch, order, id_column, after=greatest_id(target, id_column))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[Column],
@@ -218,8 +217,9 @@ def rent_and_pay(candidates: DataFrame, customer_id: Column, film: DataFrame,
 
 def open_rental_like_first(rental: DataFrame, rental_date: dt.datetime) -> Loaded:
     """Add an open rental copied from the one with the least id."""
+    new_id = greatest_id(rental, "rental_id") + 1
     opened = pick_first(rental, "rental_id").select(*[
-        (next_id(rental, c) + 1).cast(rental.schema[c].dataType).alias(c) if c == "rental_id"
+        F.lit(new_id).cast(rental.schema[c].dataType).alias(c) if c == "rental_id"
         else F.lit(rental_date.isoformat(" ")).cast("timestamp_ntz").alias(c)
         if c == "rental_date"
         else F.lit(None).cast(rental.schema[c].dataType).alias(c) if c == "return_date"
@@ -308,21 +308,23 @@ def stamp_changed(df: DataFrame, changed: Column, moment: dt.datetime,
     return df.withColumn(name, F.when(changed, stamp).otherwise(F.col(name)))
 
 
-ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
-
 def token_index(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     """Postings (term, document, occurrences, first position) of whole texts.
 
     Terms are runs of the letters a-z after lower-casing; there is neither stemming nor a
-    stop list.  Positions count from 1.
+    stop list.  Positions count from 1.  The text is split as it stands and the single
+    terms are lower-cased: Catalyst repeats the split in a filter on empty results, and a
+    dearer expression under it would be repeated as well.
     """
-    lowered = F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
-    tokens = F.filter(F.split(lowered, "[^a-z]+"), lambda t: t != "")
-    return (documents.select(id_column, F.posexplode(tokens).alias("position", "term"))
-            .groupBy("term", id_column)
+    # a text that starts with another character splits into an empty first token
+    skipped = F.when(F.substring(text, 1, 1).rlike("[^a-zA-Z]"), 1).otherwise(0)
+    tokens = F.posexplode(F.split(text, "[^a-zA-Z]+"))
+    return (documents.select(id_column, text, skipped.alias("skipped"))
+            .select(id_column, "skipped", tokens.alias("position", "term"))
+            .filter(F.col("term") != "")
+            .groupBy(F.lower("term").alias("term"), id_column)
             .agg(F.count(F.lit(1)).alias("occurrences"),
-                 (F.min("position") + 1).alias("first_position")))
+                 (F.min(F.col("position") - F.col("skipped")) + 1).alias("first_position")))
 
 
 class Lookup(NamedTuple):

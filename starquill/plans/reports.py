@@ -14,20 +14,17 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starquill.functions.periods import within
 from starquill.functions.scalars import address_text, audience_label, full_name
 from starquill.operators.aggregates import conditional_distinct_counts, consecutive_gaps
-from starquill.operators.rows import at_maximum, at_minimum, first_per_key
+from starquill.operators.rows import at_extremum, first_per_key
 
 MONEY = "decimal(18,2)"
 
 
-def _money_sum(column: Column | str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0)).cast(MONEY)
-
-
 # --- Films of a category, in a range of years, above a rate ---------------------------
 
 def _films_in_range(film: DataFrame, years: tuple[int, int], min_rate: float) -> DataFrame:
@@ -74,12 +71,22 @@ def _since(moment: str) -> Column:
 
 
 def store_revenue_join(store, address, inventory, rental, payment, since) -> DataFrame:
-    paid = (F.col("r.rental_id") == F.col("p.rental_id")) & _since(since)
-    return (_stores(store, address)
-            .join(inventory.select("store_id", "inventory_id"), "store_id", "left")
-            .join(rental.select("inventory_id", "rental_id").alias("r"), "inventory_id", "left")
-            .join(payment.select("rental_id", "payment_date", "amount").alias("p"), paid, "left")
-            .groupBy("store_id", "store_address").agg(_money_sum("amount").alias("revenue"))
+    """Chain of joins, with the date condition in the last one's ON so that every store
+    stays.
+
+    Catalyst carries that condition below the grouping and into the scan.  The outer join
+    sees one row per store: a side that only repeats its keys could not be split there.
+    """
+    sums = (payment.select("rental_id", "amount", _since(since).alias("in_time"))
+            .groupBy("rental_id", "in_time").agg(F.sum("amount").alias("amount"))
+            .join(rental.select("rental_id", "inventory_id"), "rental_id")
+            .join(inventory.select("inventory_id", "store_id"), "inventory_id")
+            .groupBy("store_id", "in_time").agg(F.sum("amount").alias("amount"))).alias("p")
+    stores = _stores(store, address).alias("s")
+    return (stores.join(sums, (F.col("s.store_id") == F.col("p.store_id")) & F.col("p.in_time"),
+                        "left")
+            .select("s.store_id", "store_address",
+                    F.coalesce("amount", F.lit(0)).cast(MONEY).alias("revenue"))
             .orderBy("store_id"))
 
 
@@ -142,19 +149,26 @@ def busiest_actors_cte(actor, film_actor, film, since_year, k=5) -> DataFrame:
 
 # --- Films per year in each of several categories -------------------------------------
 
-def _film_types(film: DataFrame, film_category: DataFrame, category: DataFrame) -> DataFrame:
-    return (film.select("film_id", "release_year")
-            .join(film_category.select("film_id", "category_id"), "film_id", "left")
-            .join(category.select("category_id", F.upper("name").alias("category")),
-                  "category_id", "left"))
+def _film_types(film: DataFrame, film_category: DataFrame, category: DataFrame,
+                names: dict[str, str]) -> DataFrame:
+    """Every film with each asked category it belongs to, or once with NULL.
+
+    The links are made distinct first, so a film with very many of them adds at most one
+    row per asked category to the outer join.
+    """
+    wanted = category.select("category_id", F.upper("name").alias("category")).filter(
+        F.col("category").isin(*[n.upper() for n in names.values()]))
+    links = (film_category.select("film_id", "category_id").join(wanted, "category_id")
+             .select("film_id", "category").distinct())
+    return film.select("film_id", "release_year").join(links, "film_id", "left")
 
 
 def yearly_category_counts_join(film, film_category, category, names: dict[str, str]) -> DataFrame:
     """``names`` maps an output column to the category counted in it."""
     counts = [F.count_distinct(F.when(F.col("category") == name.upper(), F.col("film_id")))
               .alias(alias) for alias, name in names.items()]
-    return (_film_types(film, film_category, category).groupBy("release_year").agg(*counts)
-            .orderBy(F.desc_nulls_last("release_year")))
+    return (_film_types(film, film_category, category, names).groupBy("release_year")
+            .agg(*counts).orderBy(F.desc_nulls_last("release_year")))
 
 
 def yearly_category_counts_scalar(film, film_category, category,
@@ -177,7 +191,8 @@ def yearly_category_counts_scalar(film, film_category, category,
 def yearly_category_counts_cte(film, film_category, category, names: dict[str, str]) -> DataFrame:
     conditions = {alias: F.col("category") == name.upper() for alias, name in names.items()}
     return (conditional_distinct_counts(
-                _film_types(film, film_category, category), "release_year", "film_id", conditions)
+                _film_types(film, film_category, category, names), "release_year", "film_id",
+                conditions)
             .orderBy(F.desc_nulls_last("release_year")))
 
 
@@ -293,7 +308,7 @@ def longest_inactive(actor, film_actor, film, as_of: dt.date | None = None) -> D
     last = _film_years(film_actor, film).groupBy("actor_id").agg(
         F.max("release_year").alias("last_release_year"))
     this_year = F.year(F.current_date()) if as_of is None else F.lit(as_of.year)
-    return (actor.join(at_minimum(last, "last_release_year"), "actor_id")
+    return (actor.join(at_extremum(last, "last_release_year", "actor_id", greatest=False), "actor_id")
             .select("actor_id", "first_name", "last_name", "last_release_year",
                     (this_year - F.col("last_release_year")).alias("inactivity_years"))
             .orderBy("last_name", "first_name", "actor_id"))
@@ -308,7 +323,7 @@ def longest_inactive_scalar(actor, film_actor, film, as_of: dt.date | None = Non
             .select(F.col("this_actor").alias("actor_id"), "first_name", "last_name",
                     latest.alias("last_release_year"))
             .withColumn("inactivity_years", this_year - F.col("last_release_year")))
-    return at_maximum(idle, "inactivity_years").orderBy("last_name", "first_name", "actor_id")
+    return at_extremum(idle, "inactivity_years", "actor_id").orderBy("last_name", "first_name", "actor_id")
 
 
 # --- Longest break between two films of an actor --------------------------------------
@@ -317,7 +332,7 @@ _GAP_ORDER = ["last_name", "first_name", "previous_release_year", "actor_id"]
 
 
 def _gap_rows(actor: DataFrame, gaps: DataFrame) -> DataFrame:
-    return (actor.join(at_maximum(gaps, "gap_in_years"), "actor_id")
+    return (actor.join(at_extremum(gaps, "gap_in_years", "actor_id"), "actor_id")
             .select("actor_id", "first_name", "last_name", "previous_release_year",
                     "next_release_year", "gap_in_years").orderBy(*_GAP_ORDER))
 
@@ -329,42 +344,40 @@ def largest_gap_window(actor, film_actor, film) -> DataFrame:
         F.col("next_value").alias("next_release_year"), F.col("gap").alias("gap_in_years")))
 
 
-def _years_per_actor(film_actor: DataFrame, film: DataFrame) -> DataFrame:
-    return _film_years(film_actor, film).filter("release_year IS NOT NULL").distinct()
+def _numbered_years(film_actor: DataFrame, film: DataFrame) -> DataFrame:
+    """Distinct years of each actor, counted upwards; as many per actor as the calendar
+    has at most."""
+    years = _film_years(film_actor, film).dropna().distinct()
+    upwards = W.partitionBy("actor_id").orderBy("release_year")
+    return years.withColumn("position", F.row_number().over(upwards))
 
 
 def largest_gap_selfjoin(actor, film_actor, film) -> DataFrame:
-    """Later years joined to each year, the nearest of them kept.
+    """Each year joined to the following one of the same actor.
 
-    The pairs come from the distinct years of an actor, of which there are only as many
-    as the calendar has; the pairs with another year in between go by an anti-join.
+    The join is on the position of the year: one pair per year, where a join on "later
+    than" would form all pairs of an actor only to drop most of them.
     """
-    years = _years_per_actor(film_actor, film)
-    y1, y2, between = years.alias("y1"), years.alias("y2"), years.alias("ym")
-    pairs = y1.join(y2, (F.col("y1.actor_id") == F.col("y2.actor_id"))
-                    & (F.col("y2.release_year") > F.col("y1.release_year"))
-                    ).select(F.col("y1.actor_id").alias("actor_id"),
-                             F.col("y1.release_year").alias("previous_release_year"),
-                             F.col("y2.release_year").alias("next_release_year")).alias("g")
-    nearest = pairs.join(between, (F.col("g.actor_id") == F.col("ym.actor_id"))
-                         & (F.col("ym.release_year") > F.col("previous_release_year"))
-                         & (F.col("ym.release_year") < F.col("next_release_year")), "left_anti")
+    years = _numbered_years(film_actor, film)
+    following = years.select("actor_id", (F.col("position") - 1).alias("position"),
+                             F.col("release_year").alias("next_release_year"))
+    gaps = years.withColumnRenamed("release_year", "previous_release_year").join(
+        following, ["actor_id", "position"])
     gap = F.col("next_release_year") - F.col("previous_release_year")
-    return _gap_rows(actor, nearest.withColumn("gap_in_years", gap))
+    return _gap_rows(actor, gaps.withColumn("gap_in_years", gap))
 
 
 def largest_gap_scalar(actor, film_actor, film) -> DataFrame:
-    """For each year the least later year of the same actor, by grouped aggregation of
-    the (actor, year) pairs; bounded like the self-join form."""
-    years = _years_per_actor(film_actor, film)
-    later = (years.where((F.col("actor_id") == F.col("this_actor").outer())
-                         & (F.col("release_year") > F.col("this_year").outer()))
-             .select(F.min("release_year")).scalar())
+    """The following year as a correlated subquery, again by position."""
+    years = _numbered_years(film_actor, film)
+    following = (years.where((F.col("actor_id") == F.col("this_actor").outer())
+                             & (F.col("position") - 1 == F.col("this_position").outer()))
+                 .select(F.min("release_year")).scalar())
     gaps = (years.select(F.col("actor_id").alias("this_actor"),
-                         F.col("release_year").alias("this_year"))
-            .select(F.col("this_actor").alias("actor_id"),
-                    F.col("this_year").alias("previous_release_year"),
-                    later.alias("next_release_year"))
+                         F.col("position").alias("this_position"),
+                         F.col("release_year").alias("previous_release_year"))
+            .select(F.col("this_actor").alias("actor_id"), "previous_release_year",
+                    following.alias("next_release_year"))
             .filter("next_release_year IS NOT NULL")
             .withColumn("gap_in_years",
                         F.col("next_release_year") - F.col("previous_release_year")))

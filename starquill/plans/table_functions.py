@@ -17,34 +17,52 @@ from starquill.sources.inline import ordered_elements
 MONEY = "decimal(18,2)"
 
 
-def category_revenue(payment, rental, inventory, film_category, category,
-                     period: str) -> DataFrame:
-    """Revenue of a quarter per category; categories without sales are absent, and a film
-    in two categories counts in both.
-
-    The sum is taken per rental, then per copy, then per film, so that every join after
-    the first moves sums and not payments.
-    """
-    year, quarter = parse_period(period)
-    paid = payment.filter(within(F.col("payment_date"), quarter_bounds(year, quarter)))
-    sums = paid.groupBy("rental_id").agg(F.sum("amount").alias("amount"))
+def _revenue(payment, rental, inventory, film_category, category, in_period: Column,
+             year: Column, quarter: Column) -> DataFrame:
+    """The sum is taken per rental, then per copy, then per film, so that every join
+    after the first moves sums and not payments."""
+    sums = payment.filter(in_period).groupBy("rental_id").agg(F.sum("amount").alias("amount"))
     for link, key, target in ((rental, "rental_id", "inventory_id"),
                               (inventory, "inventory_id", "film_id"),
                               (film_category, "film_id", "category_id")):
         sums = (sums.join(link.select(key, target), key)
                 .groupBy(target).agg(F.sum("amount").alias("amount")))
     return (sums.join(category.select("category_id", "name"), "category_id")
-            .select(F.lit(year).alias("report_year"), F.lit(quarter).alias("report_quarter"),
+            .select(year.alias("report_year"), quarter.alias("report_quarter"),
                     F.col("name").alias("category_name"),
                     F.round("amount", 2).cast(MONEY).alias("total_sales_revenue"))
             .orderBy("category_name"))
 
 
+def category_revenue(payment, rental, inventory, film_category, category,
+                     period: str) -> DataFrame:
+    """Revenue of a quarter per category; categories without sales are absent, and a film
+    in two categories counts in both."""
+    year, quarter = parse_period(period)
+    in_period = within(F.col("payment_date"), quarter_bounds(year, quarter))
+    return _revenue(payment, rental, inventory, film_category, category, in_period,
+                    F.lit(year), F.lit(quarter))
+
+
 def current_category_revenue(payment, rental, inventory, film_category, category,
                              as_of: dt.date | None = None) -> DataFrame:
-    """``category_revenue`` of the quarter that holds ``as_of`` (today if not given)."""
-    period = period_of(as_of or dt.date.today())
-    return category_revenue(payment, rental, inventory, film_category, category, period)
+    """Revenue of the quarter that holds ``as_of``; without it, of the quarter in which
+    the query runs.  A view of the latter moves on with the calendar."""
+    if as_of is not None:
+        return category_revenue(payment, rental, inventory, film_category, category,
+                                period_of(as_of))
+    today = F.current_date()
+    start = F.date_trunc("quarter", today).cast("timestamp_ntz")
+    in_period = (F.col("payment_date") >= start) & (
+        F.col("payment_date") < start + F.expr("INTERVAL 3 MONTHS"))
+    return _revenue(payment, rental, inventory, film_category, category, in_period,
+                    F.year(today), F.quarter(today))
+
+
+def create_revenue_view(name: str, payment, rental, inventory, film_category, category) -> None:
+    """A temporary view of the current quarter's revenue per category."""
+    current_category_revenue(payment, rental, inventory, film_category,
+                             category).createOrReplaceTempView(name)
 
 
 def most_popular_films(country, city, address, customer, rental, inventory, film, language,

@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# UTC keeps timestamp results comparable between engines.  The skew settings let AQE
-# split a hot join key even where the split costs one more shuffle downstream.
+# UTC keeps timestamp results comparable between engines.  The skew settings let AQE split
+# a hot join key even where the split costs one more shuffle downstream.  The last one stops
+# PySpark from recording a call site for every column expression of a plan.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -16,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -61,7 +61,7 @@ def footprint(spark: SparkSession, folder: str, like: str = "%") -> DataFrame:
     return sizes.withColumn("total_size", pretty_size(F.col("total_bytes")))
 
 
-def compact(spark: SparkSession, path: str, label: str, file_bytes: int = 256 << 20) -> str:
+def compact(spark: SparkSession, path: str, label: str, file_bytes: int = 128 << 20) -> str:
     """Rewrite a table of many small files into files of about ``file_bytes``.
 
     Neighbouring input splits are merged without a shuffle.

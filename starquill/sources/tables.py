@@ -28,6 +28,25 @@ RENTAL_SCHEMAS = {
     "customer_role_map": "role_name string, customer_id int",
 }
 
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
 SOCIAL_SCHEMAS = {
     "users": "user_id long, username string, email string, password_hash string, "
              "display_name string, personal_info string, location_info string, "
@@ -57,7 +76,10 @@ SOCIAL_SCHEMAS = {
 
 
 class TableSet:
-    """Parquet tables ``<folder>/<name>.parquet``, opened when first asked for."""
+    """Parquet tables ``<folder>/<name>.parquet``, opened when first asked for.
+
+    A declared schema spares the job that would read it from a file footer.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, schemas: dict[str, str] | None = None):
         self.spark = spark
