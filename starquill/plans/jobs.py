@@ -172,10 +172,12 @@ def delete_history(customer: DataFrame, doomed: Column, payment: DataFrame,
                    rental: DataFrame) -> HistoryDelete:
     """Remove the payments, then the rentals, of the customers that ``doomed`` selects."""
     ids = customer.filter(doomed).select("customer_id")
-    return HistoryDelete(payment.join(ids, "customer_id", "left_anti"),
-                         rental.join(ids, "customer_id", "left_anti"),
-                         payment.join(ids, "customer_id", "left_semi"),
-                         rental.join(ids, "customer_id", "left_semi"))
+
+    def split(df: DataFrame, kind: str) -> DataFrame:
+        return df.join(ids, "customer_id", kind).select(*df.columns)
+
+    return HistoryDelete(split(payment, "left_anti"), split(rental, "left_anti"),
+                         split(payment, "left_semi"), split(rental, "left_semi"))
 
 
 class RentAndPay(NamedTuple):

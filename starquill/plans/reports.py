@@ -212,7 +212,8 @@ def _linked_payments(payment, rental, inventory, year) -> DataFrame:
 
 def _earner_rows(staff: DataFrame, revenue: DataFrame, last: DataFrame, stores: DataFrame,
                  k: int) -> DataFrame:
-    return (staff.join(revenue, "staff_id").join(last, "staff_id").join(stores, "store_id")
+    return (staff.select("staff_id", "first_name", "last_name").join(revenue, "staff_id")
+            .join(last, "staff_id").join(stores, "store_id")
             .select("staff_id",
                     full_name(F.col("first_name"), F.col("last_name")).alias("staff_full_name"),
                     F.col("store_id").alias("last_store_id"),
@@ -221,7 +222,8 @@ def _earner_rows(staff: DataFrame, revenue: DataFrame, last: DataFrame, stores:
             .orderBy(F.desc("revenue"), "staff_id").limit(k))
 
 
-_LATEST = [F.desc_nulls_last("payment_date"), F.desc_nulls_last("payment_id")]
+def _latest_first() -> list[Column]:
+    return [F.desc_nulls_last("payment_date"), F.desc_nulls_last("payment_id")]
 
 
 def top_earners_join(staff, payment, rental, inventory, store, address, year, k=3) -> DataFrame:
@@ -229,7 +231,7 @@ def top_earners_join(staff, payment, rental, inventory, store, address, year, k=
     paid = payment.filter(_year("payment_date", year))
     revenue = paid.groupBy("staff_id").agg(F.sum("amount").alias("revenue"))
     linked = _linked_payments(payment, rental, inventory, year)
-    last = first_per_key(linked, ["staff_id"], _LATEST).select("staff_id", "store_id")
+    last = first_per_key(linked, ["staff_id"], _latest_first()).select("staff_id", "store_id")
     return _earner_rows(staff, revenue, last, _stores(store, address), k)
 
 
@@ -248,7 +250,7 @@ def top_earners_scalar(staff, payment, rental, inventory, store, address, year,
            .where(F.col("staff_id") == F.col("this_staff").outer()))
     # the limit sits directly on the sort: with a projection between them the sort order
     # would not be part of the decorrelated window
-    last = own.orderBy(*_LATEST).limit(1).select("store_id").scalar()
+    last = own.orderBy(*_latest_first()).limit(1).select("store_id").scalar()
     revenue = own.select(F.sum("amount")).scalar()
     sold = (staff.withColumnRenamed("staff_id", "this_staff")
             .withColumn("revenue", revenue).filter("revenue IS NOT NULL")

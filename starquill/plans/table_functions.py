@@ -235,4 +235,5 @@ def rewards_report(customer, payment, min_purchases: int, min_amount,
               .groupBy("customer_id")
               .agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_sum"))
               .filter((F.col("_n") > min_purchases) & (F.col("_sum") > min_amount)))
-    return customer.join(earned, "customer_id", "left_semi").orderBy("customer_id")
+    return (customer.join(earned, "customer_id", "left_semi").select(*customer.columns)
+            .orderBy("customer_id"))
