@@ -326,7 +326,7 @@ FROM (SELECT doc_id, unnest(terms) AS term, generate_subscripts(terms, 1) AS pos
 GROUP BY 1, 2
 """
 
-PREFIX = "veeeeeeery_long_string"
+PREFIX = "a_long_row_of_text_no_"
 
 
 def delete_modulo(spark, folder):

@@ -36,7 +36,7 @@ GROUP BY label
 """
 
 
-def series_table(spark, folder, prefix="veeeeeeery_long_string"):
+def series_table(spark, folder, prefix="a_long_row_of_text_no_"):
     """One text row per line of the fact, written as a table and read back."""
     n_rows = Star(spark, folder)["lineitem"].count()
     rows = series(spark, 1, n_rows).select(F.concat(F.lit(prefix), "n").alias("col"))
@@ -49,7 +49,7 @@ def series_table(spark, folder, prefix="veeeeeeery_long_string"):
 SERIES = """
 SELECT count(*) AS n_rows, min(col) AS least, max(col) AS greatest,
        CAST(sum(length(col)) AS BIGINT) AS n_chars
-FROM (SELECT 'veeeeeeery_long_string' || n AS col
+FROM (SELECT 'a_long_row_of_text_no_' || n AS col
       FROM range(1, (SELECT count(*) + 1 FROM lineitem)) AS r(n))
 """
 
