@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starquill.session import materialise
+from starquill.sources.inline import values
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -81,8 +82,8 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_num",
         sizes = sorted((r["_task"], r["_first"], r["_n"]) for r in runs.collect())
         before = accumulate((n for _, _, n in sizes), initial=0)
         rows = [(t, first, n) for (t, first, _), n in zip(sizes, before)]
-        offsets = F.broadcast(df.sparkSession.createDataFrame(
-            rows, "_t int, _first long, _offset long"))
+        offsets = F.broadcast(values(df.sparkSession, rows,
+                                     "_t int, _first long, _offset long"))
         match = F.col("_task") == F.col("_t")
     number = F.col("_place") - F.col("_first") + F.col("_offset") + F.lit(1 + after)
     return placed.join(offsets, match).select(

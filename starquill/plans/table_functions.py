@@ -12,7 +12,7 @@ from starquill.functions.periods import (month_bounds, parse_period, period_of,
                                          within)
 from starquill.functions.scalars import balance_charge, full_name, title_pattern, whole_days
 from starquill.operators.rows import first_per_key, number_rows, with_fallback
-from starquill.sources.inline import ordered_elements
+from starquill.sources.inline import ordered_elements, values
 
 MONEY = "decimal(18,2)"
 
@@ -177,8 +177,7 @@ def films_in_stock(film, language, inventory, rental, customer, pattern: str) ->
     numbered = number_rows(rows, ["title", "film_id"]).select(
         "row_num", F.col("title").alias("film_title"), "language", "customer_name", "rental_date")
     message = f"Film not found in stock for pattern: {pattern}"
-    fallback = film.sparkSession.createDataFrame([(1, message, "-", "-", "-")],
-                                                 numbered.schema)
+    fallback = values(film.sparkSession, [(1, message, "-", "-", "-")], numbered.schema)
     return with_fallback(numbered, fallback).orderBy("row_num")
 
 

@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
-def values(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Inline rows with a declared schema."""
-    return spark.createDataFrame(list(rows), schema)
+def values(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """Inline rows with a declared schema.
+
+    They go in as one Arrow table, which makes a local relation of known size.  Catalyst
+    then decides by that size whether to broadcast it; rows handed over one by one would
+    make a relation of unknown size, which it never broadcasts.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    shape = to_arrow_schema(schema)
+    columns = zip(*rows) if rows else [()] * len(shape)
+    arrays = [pa.array(column, field.type) for column, field in zip(columns, shape)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=shape), schema)
 
 
 def series(spark: SparkSession, first: int, last: int, name: str = "n") -> DataFrame:
@@ -20,6 +33,6 @@ def series(spark: SparkSession, first: int, last: int, name: str = "n") -> DataF
 
 def ordered_elements(spark: SparkSession, items: Sequence[str | None], name: str) -> DataFrame:
     """Elements of an array with their position, counted from 1."""
-    whole = spark.createDataFrame([(list(items),)], "items array<string>")
+    whole = values(spark, [(list(items),)], "items array<string>")
     return whole.select(F.posexplode("items").alias("position", name)).withColumn(
         "position", F.col("position") + 1)

@@ -96,7 +96,7 @@ def test_rent_and_pay(rental, spark):
         (4, "ALPHA LOW", 1, dt.datetime(2017, 6, 1), dt.datetime(2017, 6, 5), at),
     ]
     present = values(spark, [(7, dt.datetime(2017, 6, 1), 6, 2, None, 2, at)],
-                     rental.rental.schema.simpleString()[7:-1].replace(":", " "))
+                     rental.rental.schema)
     before = rental.rental.unionByName(present)
     done = jobs.rent_and_pay(values(spark, wishes, WISH), F.lit(2), rental.film,
                              rental.inventory, rental.staff, before)
