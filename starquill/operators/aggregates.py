@@ -39,7 +39,7 @@ def text_concat(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[
         *dict.fromkeys([*keys, *order, value]))
     if part_size is not None:
         rows = number_rows(rows, order, "_index", within=keys)
-        part = F.floor((F.col("_index") - 1) / F.lit(part_size)).cast("int") + 1
+        part = F.expr(f"(_index - 1) div {part_size}").cast("int") + 1
         rows = rows.withColumn("part_no", part)
         keys = [*keys, "part_no"]
         sort = "_index"

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -40,15 +42,30 @@ def _with_keys(df: DataFrame, keys: Sequence[Column]) -> tuple[DataFrame, list[s
 def absent_rows(batch: DataFrame, target: DataFrame, keys: Sequence[Column]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target``.
 
-    The target is first cut down to the keys of the batch.  Catalyst broadcasts those keys
-    when its size estimate allows, and the target is then filtered in place, unshuffled.
+    The distinct target keys are cut down to the keys of the batch.  Where those are small
+    enough to broadcast, Catalyst moves that filter below the distinct step, and the target
+    is filtered in place; where not, the distinct step comes first and collapses a key that
+    very many target rows share before anything is shuffled.
     """
     keyed, names = _with_keys(batch, keys)
-    present = _with_keys(target, keys)[0].select(*names)
-    present = present.join(keyed.select(*names).distinct(), names, "left_semi").distinct()
+    present = _with_keys(target, keys)[0].select(*names).distinct()
+    present = present.join(keyed.select(*names).distinct(), names, "left_semi")
     return keyed.join(present, names, "left_anti").drop(*names)
 
 
+def without_repeats(batch: DataFrame, keys: Sequence[Column], order: Sequence[Column | str]
+                    ) -> DataFrame:
+    """Of the rows with equal keys the first in ``order``.
+
+    All columns stand behind the given order, which fixes the choice.  A key with a NULL in
+    it equals no other, so such rows all stay.
+    """
+    keyed, names = _with_keys(batch, keys)
+    complete = reduce(and_, [F.col(n).isNotNull() for n in names])
+    chosen = first_per_key(keyed.filter(complete), names, [*order, *batch.columns])
+    return chosen.unionByName(keyed.filter(~complete)).drop(*names)
+
+
 def greatest_id(target: DataFrame, id_column: str) -> int:
     """The greatest id in use, 0 in an empty table."""
     return target.agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
@@ -67,10 +84,7 @@ def assign_ids(batch: DataFrame, target: DataFrame, id_column: str,
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[Column],
                      id_column: str | None = None, order: Sequence[str] = ()) -> Loaded:
     """Add the rows whose key is new; of equal keys in the batch the first in ``order``."""
-    new = absent_rows(batch, target, keys)
-    if order:
-        keyed, names = _with_keys(new, keys)
-        new = first_per_key(keyed, names, order).drop(*names)
+    new = absent_rows(without_repeats(batch, keys, order), target, keys)
     if id_column:
         new = assign_ids(new, target, id_column, order)
     return Loaded(target.unionByName(new, allowMissingColumns=True), new)
@@ -85,7 +99,7 @@ def upsert_ignore(target: DataFrame, batch: DataFrame, key: Sequence[str],
 def upsert_update(target: DataFrame, batch: DataFrame, key: Sequence[str],
                   columns: Sequence[str], order: Sequence[str]) -> Loaded:
     """Add new keys and take ``columns`` of present ones from the batch, NULL included."""
-    batch = first_per_key(batch, key, order)
+    batch = without_repeats(batch, [F.col(k) for k in key], order)
     given = batch.select(*key, F.lit(True).alias("_hit"),
                          *[F.col(c).alias(f"_new_{c}") for c in columns])
     updated = target.join(given, list(key), "left").select(*[

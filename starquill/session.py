@@ -31,6 +31,19 @@ def build_session(app_name: str = "starquill", master: str | None = None,
     return builder.getOrCreate()
 
 
+def shuffle_settings(largest_shuffle_bytes: int, cores: int,
+                     partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Options for ``build_session`` that keep shuffle partitions at a size a task can hold.
+
+    AQE merges small partitions but does not split ordinary large ones, so the number to
+    start from must fit the largest shuffle: 20 TB, for one, start from 100,000.
+    """
+    start = max(2 * cores, -(-largest_shuffle_bytes // partition_bytes))
+    return {"spark.sql.shuffle.partitions": str(start),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+            "spark.sql.files.maxPartitionBytes": str(256 << 20)}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

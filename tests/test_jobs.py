@@ -132,6 +132,14 @@ def test_upserts(spark):
     assert same(again.state, updated.state)
 
 
+def test_rows_without_a_key_are_all_added(spark):
+    target = values(spark, [(None, "a"), (1, "b")], "k int, name string")
+    batch = values(spark, [(None, "c"), (None, "d"), (1, "e"), (2, "f"), (2, "g")],
+                   "k int, name string")
+    done = jobs.upsert_ignore(target, batch, ["k"], ["name"])
+    assert sorted(rows(done.changed), key=repr) == [(2, "f"), (None, "c"), (None, "d")]
+
+
 def test_ids_follow_the_greatest_and_stay(spark):
     batch = spark.range(1000).select((F.col("id") % 7).alias("g"), F.col("id").alias("v"))
     empty = values(spark, [], "k long")
