@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from starquill.bindings.star import LINES, ORDERS, PART_FILMS, RENTALS, Star, money
+from starquill.bindings.star import LINES, ORDERS, PART_FILMS, RENTALS, Star
 from starquill.functions.periods import period_status
 from starquill.operators.aggregates import text_concat
 from starquill.plans import table_functions as tf

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from starquill.bindings.star import LINES, ORDERS, PART_FILMS, RENTALS, Star, money
+from starquill.bindings.star import ORDERS, PART_FILMS, Star, money
 from starquill.plans import jobs
 from starquill.session import new_table_path
 from starquill.sources import files

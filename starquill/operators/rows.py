@@ -33,14 +33,14 @@ def pick_random(df: DataFrame, seed: int | None = None) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(1)
 
 
-def at_extremum(df: DataFrame, column: str, key: str, greatest: bool = True) -> DataFrame:
+def at_extremum(df: DataFrame, column: str, greatest: bool = True) -> DataFrame:
     """All rows that hold the greatest (or least) value of ``column``, ties included.
 
-    ``df`` is read by the rows and by the extremum.  Both must have the same plan to share
-    one shuffle, so the key is filtered here already: a join on it would else put that
-    filter into one of them only.
+    ``df`` is needed twice, for the extremum and for the rows, and is written out in
+    between.  Spark would share a shuffle between the two only as long as AQE treats both
+    alike; once it splits a hot join key in one of them, the other runs again, unsplit.
     """
-    df = df.filter(F.col(key).isNotNull() & F.col(column).isNotNull())
+    df = materialise(df.filter(F.col(column).isNotNull()), "extremum")
     pick = F.max if greatest else F.min
     return df.filter(F.col(column) == df.agg(pick(column)).scalar())
 

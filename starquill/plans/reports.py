@@ -310,7 +310,8 @@ def longest_inactive(actor, film_actor, film, as_of: dt.date | None = None) -> D
     last = _film_years(film_actor, film).groupBy("actor_id").agg(
         F.max("release_year").alias("last_release_year"))
     this_year = F.year(F.current_date()) if as_of is None else F.lit(as_of.year)
-    return (actor.join(at_extremum(last, "last_release_year", "actor_id", greatest=False), "actor_id")
+    earliest = at_extremum(last, "last_release_year", greatest=False)
+    return (actor.join(earliest, "actor_id")
             .select("actor_id", "first_name", "last_name", "last_release_year",
                     (this_year - F.col("last_release_year")).alias("inactivity_years"))
             .orderBy("last_name", "first_name", "actor_id"))
@@ -325,7 +326,7 @@ def longest_inactive_scalar(actor, film_actor, film, as_of: dt.date | None = Non
             .select(F.col("this_actor").alias("actor_id"), "first_name", "last_name",
                     latest.alias("last_release_year"))
             .withColumn("inactivity_years", this_year - F.col("last_release_year")))
-    return at_extremum(idle, "inactivity_years", "actor_id").orderBy("last_name", "first_name", "actor_id")
+    return at_extremum(idle, "inactivity_years").orderBy("last_name", "first_name", "actor_id")
 
 
 # --- Longest break between two films of an actor --------------------------------------
@@ -334,7 +335,7 @@ _GAP_ORDER = ["last_name", "first_name", "previous_release_year", "actor_id"]
 
 
 def _gap_rows(actor: DataFrame, gaps: DataFrame) -> DataFrame:
-    return (actor.join(at_extremum(gaps, "gap_in_years", "actor_id"), "actor_id")
+    return (actor.join(at_extremum(gaps, "gap_in_years"), "actor_id")
             .select("actor_id", "first_name", "last_name", "previous_release_year",
                     "next_release_year", "gap_in_years").orderBy(*_GAP_ORDER))
 

@@ -96,9 +96,41 @@ def test_conditional_distinct_counts(skewed):
 
 
 def test_extremum_keeps_ties(spark):
-    df = values(spark, [(1, 5), (2, 7), (3, 7), (4, None), (None, 9)], "k int, n int")
-    assert rows(ops.at_extremum(df, "n", "k")) == [(2, 7), (3, 7)]
-    assert rows(ops.at_extremum(df, "n", "k", greatest=False)) == [(1, 5)]
+    df = values(spark, [(1, 5), (2, 7), (3, 7), (4, None), (5, 5)], "k int, n int")
+    assert rows(ops.at_extremum(df, "n")) == [(2, 7), (3, 7)]
+    assert rows(ops.at_extremum(df, "n", greatest=False)) == [(1, 5), (5, 5)]
+    assert rows(ops.at_extremum(df.filter("n IS NULL"), "n")) == []
+
+
+def test_hot_join_key_is_split(spark):
+    """The joins ahead of the grouping must leave AQE free to split a hot key."""
+    from starquill.plans import reports
+
+    n = 120_000
+    links = spark.range(n, numPartitions=6).select(
+        (F.col("id") % 5000).alias("actor_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 900).alias("film_id"))
+    film = spark.range(900).select(F.col("id").alias("film_id"),
+                                   (F.col("id") % 20 + 2000).alias("release_year"))
+    actor = spark.range(5000).select(F.col("id").alias("actor_id"), F.lit("a").alias("first_name"),
+                                     F.lit("b").alias("last_name"))
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.shuffle.partitions": "8"}
+    before = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        df = reports.busiest_actors_cte(actor, links, film, 2000)
+        got = [tuple(r) for r in df.collect()]
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == [(i, "a", "b", n // 5000) for i in range(5)]
 
 
 def test_fallback(spark):
