@@ -45,8 +45,16 @@ def whole_days(start: Column, end: Column) -> Column:
     return (days + F.when(end > reached, 1).otherwise(0)).cast("int")
 
 
+def _micros_of_day(moment: Column) -> Column:
+    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60
+    return seconds.cast("long") * 1000000 + (
+        F.extract(F.lit("SECOND"), moment) * 1000000).cast("long")
+
+
 def fractional_days(start: Column, end: Column) -> Column:
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    """Days from ``start`` to ``end`` with their fraction, again by the calendar."""
+    micros = (F.datediff(end, start).cast("long") * 86400000000
+              + _micros_of_day(end) - _micros_of_day(start))
     return micros / F.lit(86400e6)
 
 
