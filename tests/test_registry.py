@@ -12,9 +12,10 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry
+from starquill.bindings import registry
 from tools.check import rows_of
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +28,12 @@ def duck(sf_dir):
     return connection
 
 
+def test_entry_has_every_query():
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_every_sql_has_its_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"srt_random_pick", "src_footprint"}
