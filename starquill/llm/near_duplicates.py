@@ -1,0 +1,285 @@
+"""Near duplicates: an exact n-gram Jaccard join in size-banded tiles.
+
+Documents with equal shingle sets become one node.  If two sets are similar enough, they share
+one of their first shingles in the order of hashes (a prefix of about 1 - threshold of the set),
+and their sizes lie in the same or in neighbouring bands.  So a tile holds the nodes of two
+neighbouring bands that share a prefix shingle; large tiles are cut into a grid of blocks.
+Inside a tile, a hashed bitmap of each set bounds the overlap of every pair from above, in numpy;
+pairs that may reach the threshold are verified on the sorted arrays of shingle hashes.
+
+A group of copies is not turned into all its pairs.  The first round verifies, for each node
+and tile, only the most promising partner.  The second round takes all pairs that may reach the
+threshold and whose nodes are not yet connected.  No link between components can stay unseen.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from starquill.llm.common import WordHashes, lists_of, runs, schema_with, texts_of, whole_groups
+from starquill.llm.components import connected
+from starquill.operators.rows import first_per_key
+from starquill.session import materialise
+
+TILE_ROWS = 1024
+LEAST_BITS = 256
+
+_hashes = WordHashes()
+
+
+def shingles(text: bytes, words: int) -> np.ndarray:
+    """Distinct hashes of all runs of ``words`` lower-cased words, ascending; of fewer words, one
+    hash of all."""
+    found = _hashes.of(text.lower().split())
+    return np.unique(runs(found, min(words, len(found)))) if len(found) else runs(found, words)
+
+
+def needed(small: np.ndarray, large: np.ndarray, percent: int) -> np.ndarray:
+    """Least overlap of two sets of these sizes that makes them similar."""
+    return -(-percent * (small + large) // (100 + percent))
+
+
+def prefix_size(n: int, percent: int) -> int:
+    return n - (percent * n + 99) // 100 + 1
+
+
+def bitmap(hashes: np.ndarray) -> bytes:
+    """A bit per bucket of hashes, the parity of its count.  Sets of one size class have bitmaps
+    of equal length; a longer one folds to a shorter."""
+    bits = max(LEAST_BITS, 1 << (len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(counts.astype(np.uint8) & 1).tobytes()
+
+
+def _sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """A light row per document: set size, digest, prefix and bitmap."""
+    schema = schema_with(docs, ["doc_id", "text_hash"],
+                         "n int, digest binary, prefix array<long>, bits binary")
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, digests, prefixes, bits = [], [], [], []
+            for text in texts_of(batch.column("text")):
+                found = shingles(text, words)
+                sizes.append(len(found))
+                digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
+                prefixes.append(found[:prefix_size(len(found), percent)].view(np.int64)
+                                if len(found) else found.view(np.int64))
+                bits.append(bitmap(found) if len(found) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int32()),
+                 pa.array(digests, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
+                 pa.array(bits, pa.binary())], names=schema.names)
+
+    return docs.mapInArrow(sketch, schema)
+
+
+def _compare(tile: pa.Table, percent: int, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of row numbers inside tiles whose overlap may be large enough: for each row its
+    closest partner, or all."""
+    key, n, home, block, diagonal, component = (
+        tile.column(c).to_numpy() for c in ("tile", "n", "home", "block", "diagonal", "component"))
+    n = n.astype(np.int64)
+    lengths = tile.column("bits").combine_chunks()
+    lengths = np.diff(np.frombuffer(lengths.buffers()[1], np.int32)[
+        lengths.offset:lengths.offset + len(lengths) + 1])
+    bodies = tile.column("bits").to_pylist()
+    maps: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for size in np.unique(lengths).tolist():  # each row's bitmap folded to this size
+        rows = np.flatnonzero(lengths >= size)
+        place = np.zeros(len(n), np.int64)
+        place[rows] = np.arange(len(rows))
+        folded = np.empty((len(rows), size // 8), np.uint64)
+        for length in np.unique(lengths[rows]).tolist():
+            same = np.flatnonzero(lengths[rows] == length)
+            whole = np.frombuffer(b"".join(bodies[r] for r in rows[same].tolist()), np.uint64)
+            folded[same] = np.bitwise_xor.reduce(
+                whole.reshape(len(same), length // size, size // 8), axis=1)
+        maps[size] = place, folded
+    ends = np.flatnonzero(np.r_[key[1:] != key[:-1], True])
+    end = ends[np.searchsorted(ends, np.arange(len(key)))]
+    left, right, differ = [], [], []
+    rows = np.arange(len(key))
+    for step in range(1, int((end - rows).max(initial=0)) + 1):
+        i = rows[end - rows >= step]
+        j = i + step
+        small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        ok = ((100 * small >= percent * large) & (home[i] | home[j]) & (component[i] != component[j])
+              & (diagonal[i] | (block[i] != block[j])))
+        i, j, small, large = i[ok], j[ok], small[ok], large[ok]
+        size = np.minimum(lengths[i], lengths[j])
+        apart = np.zeros(len(i), np.int64)
+        for s in np.unique(size).tolist():
+            where = np.flatnonzero(size == s)
+            place, folded = maps[s]
+            apart[where] = np.bitwise_count(
+                folded[place[i[where]]] ^ folded[place[j[where]]]).sum(axis=1, dtype=np.int64)
+        may = (small + large - apart) // 2 >= needed(small, large, percent)
+        left.append(i[may])
+        right.append(j[may])
+        differ.append(apart[may] / (small + large)[may])
+    if not left:
+        return rows[:0], rows[:0]
+    left, right, differ = map(np.concatenate, (left, right, differ))
+    if nearest and len(left):
+        row, partner = np.r_[left, right], np.r_[right, left]
+        order = np.lexsort((partner, np.r_[differ, differ], row))
+        first = order[np.r_[True, row[order][1:] != row[order][:-1]]]
+        left, right = row[first], partner[first]
+    return left, right
+
+
+def _candidates(entries: DataFrame, nodes: DataFrame, percent: int,
+                labels: DataFrame | None) -> DataFrame:
+    """Distinct pairs ``a`` < ``b`` of nodes that may be similar; see the module's text.  With
+    ``labels`` the pairs of different components, without the closest ones."""
+    # a little wider than the ratio, so that rounding can't part two linked sizes by two bands
+    width = max(math.log(100 / percent), 0.01) * 1.000001
+    band = F.floor(F.log("n") / F.lit(width)).cast("int")
+    light = nodes.select("node", "n", "bits", band.alias("band"))
+    if labels is None:
+        light = light.withColumn("component", F.col("node"))
+    else:
+        light = light.join(labels, "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
+    placed = entries.join(light, "node").withColumn("_band", F.explode(F.array("band", F.col("band") + 1)))
+    placed = placed.withColumn("home", F.col("_band") == F.col("band"))
+    calm = placed.filter(F.col("sharing") <= TILE_ROWS).withColumn("blocks", F.lit(1))
+    hot = placed.filter(F.col("sharing") > TILE_ROWS)
+    counts = hot.groupBy("key", "_band").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).cast("int").alias("blocks"))
+    placed = calm.unionByName(hot.join(counts, ["key", "_band"]))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = placed.select(
+        F.xxhash64("key", "_band", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
+        "node", "n", "home", "block", (F.col("block") == F.col("other")).alias("diagonal"),
+        "component", "bits")
+    nearest = labels is None
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in whole_groups(batches, "tile"):
+            left, right = _compare(tile, percent, nearest)
+            node = tile.column("node").to_numpy()
+            a, b = node[left], node[right]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])],
+                                             names=["a", "b"])
+
+    return (tiles.repartition("tile").sortWithinPartitions("tile", "n", "node")
+            .mapInArrow(compare, "a long, b long").distinct())
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are similar, by intersecting their sorted hashes."""
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")), "b"))
+
+    def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (x, at), (y, bt) = lists_of(batch.column("of_a")), lists_of(batch.column("of_b"))
+            x, y = x.view(np.uint64), y.view(np.uint64)
+            good = []
+            for i in range(batch.num_rows):
+                one, two = x[at[i]:at[i + 1]], y[bt[i]:bt[i + 1]]
+                if len(one) > len(two):
+                    one, two = two, one
+                where = np.minimum(np.searchsorted(two, one), len(two) - 1)
+                overlap = int((two[where] == one).sum())
+                good.append(100 * overlap >= percent * (len(one) + len(two) - overlap))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(intersect, "a long, b long")
+
+
+def _document_key(doc_id: Column, text_hash: Column) -> list[Column]:
+    return [F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), doc_id.isNull()).alias("_ka"),
+            text_hash.alias("_kb")]
+
+
+def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Light rows of all documents, and for every node its ``component_id``, with the id and
+    text hash of the document that stands for its whole component."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be in 1 to 100")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    light = materialise(_sketched(docs, words, percent), "sketches")
+    nodes = first_per_key(light.filter("n > 0"), ["digest"],
+                          [F.col("doc_id").asc_nulls_last(), F.col("text_hash")])
+    nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    entries = nodes.select("node", F.explode("prefix").alias("key"))
+    # counted in the tasks first, so a key that very many sets share is a row per task
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("sharing")).filter("sharing > 1")
+    entries = materialise(entries.join(shared, "key"), "shared-prefixes")
+    pairs = materialise(_candidates(entries, nodes, percent, None), "closest-pairs")
+    # every node with any candidate is in its closest pair, so these sets serve both rounds
+    members = pairs.select(F.col("a").alias("node")).unionByName(
+        pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = nodes.join(members, "node").select(
+        "node", *_document_key(F.col("doc_id"), F.col("text_hash")))
+    bodies = docs.select("text", *_document_key(F.col("doc_id"), F.col("text_hash")))
+
+    def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, words).view(np.int64) for t in texts_of(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
+
+    sets = (bodies.join(wanted, ["_ka", "_kb"]).select("node", "text").dropDuplicates(["node"])
+            .mapInArrow(hash_all, "node long, hashes array<long>"))
+    sets = materialise(sets, "sets")
+    links = materialise(_verified(pairs, sets, percent), "links")
+    labels = materialise(connected(links), "components")
+    more = _candidates(entries, nodes, percent, labels)
+    more = materialise(_verified(more, sets, percent), "more-links")
+    if not more.isEmpty():
+        labels = materialise(connected(links.unionByName(more)), "components")
+    named = nodes.select("node", "digest", "doc_id", "text_hash").join(labels, "node", "left")
+    named = materialise(named.withColumn("component", F.coalesce("component", "node")), "named")
+    # one row per component: the least id, and the text hash that goes with it
+    heads = first_per_key(named, ["component"], [F.col("doc_id").asc_nulls_last(), "text_hash"])
+    heads = heads.select("component", F.col("doc_id").alias("component_id"),
+                         F.col("text_hash").alias("head_hash"))
+    return light, named.select("digest", "component").join(heads, "component")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs`` (columns
+    ``doc_id`` and ``text``; others are not read).
+
+    Words are what lies between ASCII white space, A-Z lower-cased; a document's set holds its
+    distinct runs of ``words`` words, or the whole sequence if it has fewer.  Two documents link
+    if 100 * intersection >= ``percent`` * union; ``component_id`` is the least ``doc_id``
+    reachable by links.  Sets are compared by 64-bit hashes of their members.
+
+    A null, empty or blank text has no shingles and links with nothing.  Repeated rows and equal
+    texts share a component.  A null id is never the least, unless a component has no other.
+    Without documents there are no rows.
+    """
+    light, nodes = _analysed(docs, words, percent)
+    filled = light.filter("n > 0").join(nodes, "digest").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    empty = light.filter("n = 0").select(
+        "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return filled.unionByName(empty)
+
+
+def distinct_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component of ``near_duplicates``: the one with the least
+    id (null last, then by a hash of the text).  Rows without words all stay."""
+    _, nodes = _analysed(docs, words, percent)
+    heads = nodes.select("component", "component_id", "head_hash").distinct().select(
+        *_document_key(F.col("component_id"), F.col("head_hash")))
+    keyed = docs.withColumns(dict(zip(("_ka", "_kb"), _document_key(
+        F.col("doc_id"), F.xxhash64("text")))))
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = first_per_key(keyed.filter(has_words).join(heads, ["_ka", "_kb"], "left_semi"),
+                         ["_ka", "_kb"], [F.lit(1)])
+    return kept.unionByName(keyed.filter(~has_words)).select(*docs.columns)

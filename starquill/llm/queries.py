@@ -7,12 +7,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starquill.llm import decontaminate, language, packing, sharding, tokens
+from starquill.llm import decontaminate, language, near_duplicates, packing, sharding, tokens
 from starquill.llm.common import fold, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -49,9 +53,33 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_decontamination, op4_token_counts, op5_best_fit_packing, op8_language_id, op10_sharding)}
+    op2_ngram_jaccard, op3_decontamination, op4_token_counts, op5_best_fit_packing, op8_language_id, op10_sharding)}
 
 ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard": r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + 3], ' ') AS g
+  FROM doc_words, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s)
+  WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common_runs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common_runs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM doc_words
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+""",
     "op3_decontamination": r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(
