@@ -7,9 +7,10 @@ neighbouring bands that share a prefix shingle; large tiles are cut into a grid
 Inside a tile, a hashed bitmap of each set bounds the overlap of every pair from above, in numpy;
 pairs that may reach the threshold are verified on the sorted arrays of shingle hashes.
 
-A group of copies is not turned into all its pairs.  The first round verifies, for each node
-and tile, only the most promising partner.  The second round takes all pairs that may reach the
-threshold and whose nodes are not yet connected.  No link between components can stay unseen.
+A group of copies is not turned into all its pairs.  The first round takes all pairs of a tile
+that may reach the threshold only if they are at most CROWDED per row, and else, for each node, the
+most promising partner.  The second round goes through the other tiles again and takes all pairs
+whose nodes are not yet connected.  No link between components can stay unseen.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from starquill.operators.rows import first_per_key
 from starquill.session import materialise
 
 TILE_ROWS = 1024
+CROWDED = 2
 LEAST_BITS = 256
 
 _hashes = WordHashes()
@@ -81,9 +83,10 @@ def _sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(sketch, schema)
 
 
-def _compare(tile: pa.Table, percent: int, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of row numbers inside tiles whose overlap may be large enough: for each row its
-    closest partner, or all."""
+def _compare(tile: pa.Table, percent: int,
+             nearest: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of row numbers inside tiles whose overlap may be large enough.  If ``nearest``, for
+    crowded tiles only each row's closest partner, and those tiles' keys."""
     key, n, home, block, diagonal, component = (
         tile.column(c).to_numpy() for c in ("tile", "n", "home", "block", "diagonal", "component"))
     n = n.astype(np.int64)
@@ -126,54 +129,62 @@ def _compare(tile: pa.Table, percent: int, nearest: bool) -> tuple[np.ndarray, n
         right.append(j[may])
         differ.append(apart[may] / (small + large)[may])
     if not left:
-        return rows[:0], rows[:0]
+        return rows[:0], rows[:0], key[:0]
     left, right, differ = map(np.concatenate, (left, right, differ))
-    if nearest and len(left):
-        row, partner = np.r_[left, right], np.r_[right, left]
-        order = np.lexsort((partner, np.r_[differ, differ], row))
-        first = order[np.r_[True, row[order][1:] != row[order][:-1]]]
-        left, right = row[first], partner[first]
-    return left, right
-
-
-def _candidates(entries: DataFrame, nodes: DataFrame, percent: int,
-                labels: DataFrame | None) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of nodes that may be similar; see the module's text.  With
-    ``labels`` the pairs of different components, without the closest ones."""
-    # a little wider than the ratio, so that rounding can't part two linked sizes by two bands
-    width = max(math.log(100 / percent), 0.01) * 1.000001
-    band = F.floor(F.log("n") / F.lit(width)).cast("int")
-    light = nodes.select("node", "n", "bits", band.alias("band"))
-    if labels is None:
-        light = light.withColumn("component", F.col("node"))
-    else:
-        light = light.join(labels, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-    placed = entries.join(light, "node").withColumn("_band", F.explode(F.array("band", F.col("band") + 1)))
-    placed = placed.withColumn("home", F.col("_band") == F.col("band"))
-    calm = placed.filter(F.col("sharing") <= TILE_ROWS).withColumn("blocks", F.lit(1))
-    hot = placed.filter(F.col("sharing") > TILE_ROWS)
-    counts = hot.groupBy("key", "_band").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).cast("int").alias("blocks"))
-    placed = calm.unionByName(hot.join(counts, ["key", "_band"]))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = placed.select(
-        F.xxhash64("key", "_band", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
-        "node", "n", "home", "block", (F.col("block") == F.col("other")).alias("diagonal"),
-        "component", "bits")
-    nearest = labels is None
+    if not nearest:
+        return left, right, key[:0]
+    number = np.cumsum(np.r_[False, key[1:] != key[:-1]])
+    crowded = np.bincount(number[left], minlength=number[-1] + 1) > CROWDED * np.bincount(number)
+    calm, busy = ~crowded[number[left]], crowded[number[left]]
+    row, partner = np.r_[left[busy], right[busy]], np.r_[right[busy], left[busy]]
+    order = np.lexsort((partner, np.r_[differ[busy], differ[busy]], row))
+    first = order[np.r_[True, row[order][1:] != row[order][:-1]]] if len(order) else order
+    return (np.r_[left[calm], row[first]], np.r_[right[calm], partner[first]],
+            np.unique(key[crowded[number]]))
+
+
+def _tiles(entries: DataFrame) -> DataFrame:
+    """Light rows of all tiles.  A shingle that only two sets share makes one tile; the others a
+    tile for every two neighbouring size bands: rows of the upper band are at ``home``, rows of
+    the lower are compared with them.  A tile of more than about TILE_ROWS rows is a grid: a row
+    goes with its block to the meeting with each block."""
+    pairs = entries.filter("sharing = 2").select(
+        "key", "node", "n", F.lit(-1).alias("tile_band"), F.lit(True).alias("home"),
+        F.lit(1).alias("blocks"))
+    more = (entries.filter("sharing > 2")
+            .withColumn("tile_band", F.explode(F.array("band", F.col("band") + 1)))
+            .withColumn("home", F.col("tile_band") == F.col("band")))
+    counts = more.groupBy("key", "tile_band").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).cast("int").alias("blocks"),
+        F.count(F.lit(1)).alias("rows"), F.count_if("home").alias("at_home"))
+    more = more.join(counts.filter("rows > 1 AND at_home > 0"), ["key", "tile_band"])
+    placed = pairs.unionByName(more.select(*pairs.columns))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = placed.withColumn("block", block).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.select(
+        F.xxhash64("key", "tile_band", F.least("block", "other"),
+                   F.greatest("block", "other")).alias("tile"),
+        "node", "n", "home", "block", (F.col("block") == F.col("other")).alias("diagonal"))
+
+
+def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Distinct pairs ``a`` < ``b`` of nodes of different components that may be similar.  A row
+    without ``b`` names in ``a`` a crowded tile, of which only the closest pairs are there."""
+    rows = tiles.join(bitmaps, "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in whole_groups(batches, "tile"):
-            left, right = _compare(tile, percent, nearest)
+            left, right, crowded = _compare(tile, percent, nearest)
             node = tile.column("node").to_numpy()
-            a, b = node[left], node[right]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])],
-                                             names=["a", "b"])
+            x, y = node[left], node[right]
+            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[pairs[0], crowded]),
+                 pa.array([*pairs[1].tolist(), *[None] * len(crowded)], pa.int64())],
+                names=["a", "b"])
 
-    return (tiles.repartition("tile").sortWithinPartitions("tile", "n", "node")
+    return (rows.repartition("tile").sortWithinPartitions("tile", "n", "node")
             .mapInArrow(compare, "a long, b long").distinct())
 
 
@@ -214,12 +225,20 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     nodes = first_per_key(light.filter("n > 0"), ["digest"],
                           [F.col("doc_id").asc_nulls_last(), F.col("text_hash")])
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    entries = nodes.select("node", F.explode("prefix").alias("key"))
+    # a little wider than the ratio, so that rounding can't part two linked sizes by two bands
+    width = max(math.log(100 / percent), 0.01) * 1.000001
+    band = F.floor(F.log("n") / F.lit(width)).cast("int").alias("band")
+    entries = nodes.select("node", "n", band, F.explode("prefix").alias("key"))
     # counted in the tasks first, so a key that very many sets share is a row per task
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("sharing")).filter("sharing > 1")
-    entries = materialise(entries.join(shared, "key"), "shared-prefixes")
-    pairs = materialise(_candidates(entries, nodes, percent, None), "closest-pairs")
-    # every node with any candidate is in its closest pair, so these sets serve both rounds
+    shared = (entries.groupBy("key")
+              .agg(F.count(F.lit(1)).alias("sharing"), F.min("n").alias("small"), F.max("n").alias("large"))
+              .filter(f"sharing > 2 OR sharing = 2 AND 100L * small >= {percent}L * large"))
+    entries = materialise(entries.join(shared.select("key", "sharing"), "key"), "shared-prefixes")
+    tiles = _tiles(entries)
+    bitmaps = nodes.select("node", "bits", F.col("node").alias("component"))
+    found = materialise(_candidates(tiles, bitmaps, percent, True), "first-pairs")
+    pairs, crowded = found.filter("b IS NOT NULL"), found.filter("b IS NULL").select(F.col("a").alias("tile"))
+    # every node with any candidate is in one of these pairs, so the sets serve both rounds
     members = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.join(members, "node").select(
@@ -237,9 +256,11 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     sets = materialise(sets, "sets")
     links = materialise(_verified(pairs, sets, percent), "links")
     labels = materialise(connected(links), "components")
-    more = _candidates(entries, nodes, percent, labels)
-    more = materialise(_verified(more, sets, percent), "more-links")
-    if not more.isEmpty():
+    if not crowded.isEmpty():
+        bitmaps = nodes.select("node", "bits").join(labels, "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
+        again = _candidates(tiles.join(crowded, "tile", "left_semi"), bitmaps, percent, False)
+        more = materialise(_verified(again, sets, percent), "more-links")
         labels = materialise(connected(links.unionByName(more)), "components")
     named = nodes.select("node", "digest", "doc_id", "text_hash").join(labels, "node", "left")
     named = materialise(named.withColumn("component", F.coalesce("component", "node")), "named")

@@ -60,7 +60,7 @@ ORACLES: dict[str, str] = {
 WITH RECURSIVE doc_words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[s:s + 3], ' ') AS g

@@ -72,9 +72,11 @@ def made_rows(seed, n_bases=12):
     return rows
 
 
-@pytest.mark.parametrize("words, percent, tile_rows", [(4, 85, 1024), (5, 80, 8), (2, 50, 1024), (3, 100, 4)])
-def test_components_equal_brute_force(spark, monkeypatch, words, percent, tile_rows):
+@pytest.mark.parametrize("words, percent, tile_rows, crowded", [
+    (4, 85, 1024, 2), (5, 80, 8, 0), (2, 50, 1024, 0.2), (3, 100, 4, 2)])
+def test_components_equal_brute_force(spark, monkeypatch, words, percent, tile_rows, crowded):
     monkeypatch.setattr(near_duplicates, "TILE_ROWS", tile_rows)
+    monkeypatch.setattr(near_duplicates, "CROWDED", crowded)
     rows = made_rows(words)
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit("x"))
     got = near_duplicates.near_duplicates(docs, words, percent)
