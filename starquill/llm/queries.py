@@ -7,12 +7,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starquill.llm import decontaminate, language, near_duplicates, packing, sharding, tokens
+from starquill.llm import (chat, decontaminate, html_text, language, near_duplicates, packing,
+                            scoring, sharding, tokens, top_k)
 from starquill.llm.common import fold, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = chat.with_foreign_reply(table(spark, sf_dir, "conversations"))
+    rows = chat.format_preferences(chosen, rejected)
+
+    def told(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return rows.withColumns({"chosen_spans": told("chosen_spans"),
+                             "rejected_spans": told("rejected_spans")})
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -38,6 +49,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=1024)
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10,
+                       scale=1024)
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "html")).withColumns({
+        "n_chars": F.length("text"), "n_lines": F.size(F.split("text", "\n"))})
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", (fold(F.col("doc_id"), 4) == 2).alias("held_out"))
@@ -46,6 +67,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               fold(F.col("doc_id"), 7) == 2)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = sharding.even_tree(16)
     grown = sharding.add_shard(tree, sharding.Leaf(16, "region0", "rack0"))
@@ -53,7 +79,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_ngram_jaccard, op3_decontamination, op4_token_counts, op5_best_fit_packing, op8_language_id, op10_sharding)}
+    op1_preference_format, op2_ngram_jaccard, op3_decontamination, op4_token_counts,
+    op5_best_fit_packing, op6_exact_top_k, op7_html_text, op8_language_id, op9_lm_scores,
+    op10_sharding)}
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": r"""
@@ -103,8 +131,8 @@ hits AS (
   SELECT p.doc_id, p.s, p.size, x.item_id
   FROM places p JOIN windows x ON p.win = x.win AND p.size = x.size),
 hit_words AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit
-  FROM (SELECT doc_id, unnest(range(s, s + size)) AS at FROM hits) GROUP BY doc_id),
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + size)) AS place FROM hits) GROUP BY doc_id),
 hit_items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
@@ -112,5 +140,65 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_
        coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.names, '')) AS items_sha256,
        coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
+""",
+    "op6_exact_top_k": r"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+         AS rank, vec_id, score
+  FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op1_preference_format": r"""
+WITH last AS (
+  SELECT conv_id, max(turn) AS ends, arg_max(coalesce(text, ''), turn) AS reply
+  FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+pairs AS (
+  SELECT a.conv_id AS pair_id, a.ends, b.reply FROM last a JOIN last b ON b.conv_id = a.conv_id + 1),
+turns AS (
+  SELECT pair_id, 'chosen' AS side, turn, role, text
+  FROM conversations JOIN pairs ON conv_id = pair_id
+  UNION ALL
+  SELECT pair_id, 'rejected', turn, role, text
+  FROM conversations JOIN pairs ON conv_id = pair_id WHERE turn < ends
+  UNION ALL
+  SELECT pair_id, 'rejected', ends, 'assistant', reply FROM pairs),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) AS place,
+         '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS header,
+         replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
+  FROM turns),
+met AS (
+  SELECT pair_id, place, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS same
+  FROM placed GROUP BY pair_id, place),
+splits AS (
+  SELECT pair_id, coalesce(min(place) FILTER (NOT same) - 1, max(place)) AS shared
+  FROM met GROUP BY pair_id),
+parts AS (
+  SELECT p.*, s.shared, CASE WHEN place <= shared THEN 'prompt' ELSE side END AS part
+  FROM placed p JOIN splits s USING (pair_id)),
+measured AS (
+  SELECT *, sum(length(header) + length(body)) OVER (
+           PARTITION BY pair_id, side, part ORDER BY place) AS stop
+  FROM parts)
+SELECT pair_id, CAST(0 AS INTEGER) AS segment,
+       coalesce(string_agg(header || body, '' ORDER BY place)
+                FILTER (part = 'prompt' AND side = 'chosen'), '') AS prompt,
+       coalesce(string_agg(header || body, '' ORDER BY place) FILTER (part = 'chosen'), '') AS chosen,
+       coalesce(string_agg(header || body, '' ORDER BY place) FILTER (part = 'rejected'), '') AS rejected,
+       coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY place)
+                FILTER (part = 'chosen' AND role = 'assistant'), '') AS chosen_spans,
+       coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY place)
+                FILTER (part = 'rejected' AND role = 'assistant'), '') AS rejected_spans,
+       any_value(shared) AS prompt_turns, count(*) FILTER (part = 'chosen') AS chosen_turns,
+       count(*) FILTER (part = 'rejected') AS rejected_turns
+FROM measured GROUP BY pair_id
 """,
 }
