@@ -32,7 +32,7 @@ from starquill.session import materialise
 
 ORDER = 2
 PRIOR = 4.0
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 20
 
 # no word holds a space
@@ -112,6 +112,12 @@ def _blocks(docs: DataFrame, held: Column) -> DataFrame:
     return docs.select("doc_id", held.alias("held"), "text").mapInArrow(gather, schema)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Row by row: a batch may hold many blocks."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a block: token hashes, starts of the documents, which tokens train, documents' lengths."""
     vocabulary = unsqueeze(row["vocabulary"], np.uint64)
@@ -132,7 +138,7 @@ def _questions(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 tokens, starts, trains, _ = _opened(row)
                 for width in range(1, order + 1):
                     keys, index = np.unique(ngrams(tokens, starts, width), return_inverse=True)
@@ -245,7 +251,7 @@ def score_texts(docs: DataFrame, held: Column, order: int = ORDER, prior: float
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kind = batch.column("doc_ids").type.value_type
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 tokens, starts, _, lengths = _opened(row)
                 grams, counts = [], []
                 for width in range(1, order + 1):
