@@ -28,10 +28,11 @@ def row_filter(spark, folder):
 
 
 ROLES = """roles AS (
-  SELECT regexp_replace(lower('client_Customer_' || c_name), '[^a-zA-Z0-9]+', '_', 'g')
-           AS role_name, c_custkey
+  SELECT lower('client_Customer_' || regexp_replace(c_name, '[^a-zA-Z0-9]+', '_', 'g'))
+           AS role_name, min(c_custkey) AS c_custkey
   FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
-    AND c_custkey IN (SELECT user_id FROM events WHERE event_type = 'purchase'))"""
+    AND c_custkey IN (SELECT user_id FROM events WHERE event_type = 'purchase')
+  GROUP BY 1)"""
 
 ROW_FILTER = f"""
 WITH {ORDERS}, {ROLES}

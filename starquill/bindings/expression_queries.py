@@ -150,8 +150,8 @@ def maths(spark, folder):
     net = (price * (1 - discount)).cast("decimal(18,4)")
     return (Star(spark, folder)["lineitem"]
             .groupBy("l_returnflag", "l_linestatus").agg(
-                F.sum(net).cast("decimal(18,4)").alias("net"),
-                F.round(F.sum(net), 2).cast("decimal(18,2)").alias("net_rounded"),
+                F.sum(net).cast("decimal(38,4)").alias("net"),
+                F.round(F.sum(net), 2).cast("decimal(38,2)").alias("net_rounded"),
                 F.sum(F.ceil(price / 100)).cast("long").alias("hundreds"),
                 F.sum(F.greatest(quantity - 25, F.lit(0))).alias("above_25"),
                 F.sum(F.least(quantity, F.lit(25))).alias("up_to_25"),

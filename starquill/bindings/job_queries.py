@@ -316,10 +316,10 @@ def token_index(spark, folder):
     return jobs.token_index(Star(spark, folder)["documents"], "doc_id", "text")
 
 
-TOKENS = """
+TOKENS = r"""
 WITH words AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-           'abcdefghijklmnopqrstuvwxyz'), '[^a-z]+'), lambda w : w <> '') AS terms
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{M}]+'),
+                             lambda w : w <> '') AS terms
   FROM documents)
 SELECT term, doc_id, count(*) AS occurrences, CAST(min(position) AS INTEGER) AS first_position
 FROM (SELECT doc_id, unnest(terms) AS term, generate_subscripts(terms, 1) AS position FROM words)
@@ -331,11 +331,10 @@ PREFIX = "a_long_row_of_text_no_"
 
 def delete_modulo(spark, folder):
     """Delete the rows whose number, read back from the text, divides by three."""
-    rows = Star(spark, folder)["orders"].select(
-        F.concat(F.lit(PREFIX), "o_orderkey").alias("col"))
+    rows = Star(spark, folder)["orders"].withColumn("col", F.concat(F.lit(PREFIX), "o_orderkey"))
     number = F.replace("col", F.lit(PREFIX), F.lit("")).cast("long")
-    kept = files.delete_where(rows, number % 3 == 0)
-    return kept.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(number).alias("number_sum"))
+    kept = files.stage_table(files.delete_where(rows, number % 3 == 0), "kept-orders")
+    return spark.read.parquet(kept).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(number).alias("number_sum"))
 
 
 DELETE_MODULO = """
@@ -345,20 +344,23 @@ FROM orders WHERE NOT (o_orderkey % 3 = 0)
 
 
 def compact(spark, folder):
-    """Orders in many files, rewritten to few; the rows must be the same."""
+    """Orders in many files below a folder per month, rewritten to few; rows and folders stay."""
     source = new_table_path(spark, "scattered")
-    orders = Star(spark, folder)["orders"].select("o_orderkey", money("o_totalprice").alias("amt"))
-    orders.repartition(24, "o_orderkey").write.parquet(source)
-    target = files.compact(spark, source, "compacted")
+    orders = Star(spark, folder)["orders"].withColumns(
+        {"amt": money("o_totalprice"), "month": F.month("o_orderdate")})
+    orders.repartition(24, "o_orderkey").write.partitionBy("month").parquet(source)
+    target = files.compact(spark, source, "compacted", partition=["month"])
     fewer = files.table_files(spark, target).count() < files.table_files(spark, source).count()
     return spark.read.parquet(target).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("amt").cast("decimal(18,2)").alias("total")
+        F.count(F.lit(1)).alias("n_rows"), F.sum("amt").cast("decimal(38,2)").alias("total"),
+        F.count_if(F.col("month") == F.month("o_orderdate")).alias("in_place")
     ).withColumn("fewer_files", F.lit(fewer))
 
 
 COMPACT = f"""
 WITH {ORDERS}
-SELECT count(*) AS n_rows, CAST(sum(amt) AS DECIMAL(18,2)) AS total, true AS fewer_files FROM ord
+SELECT count(*) AS n_rows, CAST(sum(amt) AS DECIMAL(38,2)) AS total,
+       count(o_orderdate) AS in_place, true AS fewer_files FROM ord
 """
 
 

@@ -71,15 +71,10 @@ WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-04
 """
 
 
-def table_sizes(spark, folder):
-    return files.footprint(spark, folder, "%")
-
-
 QUERIES = {
     "src_values": inline_values,
     "src_series_ctas": series_table,
     "src_partitioned_fact": partitioned_fact,
-    "src_footprint": table_sizes,
 }
 
 ORACLES = {

@@ -73,9 +73,11 @@ def balance_charge(days: Column, duration: Column, rate: Column, replacement: Co
 
 
 def name_slug(prefix: str, first: Column, last: Column) -> Column:
-    """Lower-case account name; each run of other characters becomes one underscore."""
-    raw = F.lower(F.concat(F.lit(prefix), first, F.lit("_"), last))
-    return F.regexp_replace(raw, "[^a-zA-Z0-9]+", "_")
+    """Lower-case account name; in each of the two names a run of other characters becomes one
+    underscore, and one more stands between them."""
+    def cleaned(name: Column) -> Column:
+        return F.regexp_replace(name, "[^a-zA-Z0-9]+", "_")
+    return F.lower(F.concat(F.lit(prefix), cleaned(first), F.lit("_"), cleaned(last)))
 
 
 def pretty_size(n_bytes: Column) -> Column:

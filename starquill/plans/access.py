@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starquill.functions.scalars import name_slug
+from starquill.operators.rows import first_per_key
 
 ACCOUNT_PREFIX = "client_"
 
@@ -43,14 +44,28 @@ def allowed_columns(df: DataFrame, allowed: Sequence[str], masked: Sequence[str]
         for c in df.columns if c in allowed or c in masked])
 
 
-def principals(customer: DataFrame, rental: DataFrame, payment: DataFrame) -> DataFrame:
-    """Account name of every customer with both rentals and payments."""
+def _accounts(customer: DataFrame, rental: DataFrame, payment: DataFrame) -> DataFrame:
+    """Account name of every customer with both rentals and payments; names may repeat."""
     slug = name_slug(ACCOUNT_PREFIX, F.col("first_name"), F.col("last_name"))
     return (customer.join(rental.select("customer_id").distinct(), "customer_id", "left_semi")
             .join(payment.select("customer_id").distinct(), "customer_id", "left_semi")
             .select(slug.alias("role_name"), "customer_id"))
 
 
+def principals(customer: DataFrame, rental: DataFrame, payment: DataFrame) -> DataFrame:
+    """The customer of every account.  Of customers with equal account names the one with the
+    least id has the account, so no principal ever sees two customers."""
+    return first_per_key(_accounts(customer, rental, payment), ["role_name"], ["customer_id"])
+
+
+def refused_principals(customer: DataFrame, rental: DataFrame, payment: DataFrame) -> DataFrame:
+    """Customers that qualify, but whose account name another one has."""
+    accounts = _accounts(customer, rental, payment)
+    held = first_per_key(accounts, ["role_name"], ["customer_id"])
+    return accounts.join(held.select("customer_id"), "customer_id", "left_anti").select(
+        "role_name", "customer_id")
+
+
 def first_principal(customer: DataFrame, rental: DataFrame, payment: DataFrame) -> DataFrame:
     """The account of the least customer id that qualifies."""
     return principals(customer, rental, payment).orderBy("customer_id").limit(1)

@@ -269,19 +269,19 @@ def add_films(film: DataFrame, language: DataFrame, candidates: DataFrame,
     """
     film_titles = film.select(same_text(F.col("title")).alias("_title"))
     checked = candidates.withColumn("_title", same_text(F.col("title")))
-    fresh = absent_rows(checked, film_titles, [F.col("_title")]).select(
-        "line_no", F.lit(True).alias("_fresh"))
+    known_titles = film_titles.join(checked.select("_title").distinct(), "_title", "left_semi")
+    known_titles = known_titles.distinct().withColumn("_known", F.lit(True))
     known_languages = first_per_key(
         language.select(same_text(F.col("name")).alias("_language"), "language_id"),
         ["_language"], ["language_id"])
-    checked = (checked.join(fresh, "line_no", "left")
+    checked = (checked.join(known_titles, "_title", "left")
                .withColumn("_language", same_text(F.col("language")))
                .join(known_languages, "_language", "left"))
     reason = (F.when(is_blank(F.col("title")), "blank title")
               .when(F.col("release_year").isNull(), "no year")
               .when(~F.col("release_year").between(FIRST_YEAR, LAST_YEAR), "year out of range")
               .when(is_blank(F.col("language")), "blank language")
-              .when(F.col("_fresh").isNull(), "title exists"))
+              .when(F.col("_known"), "title exists"))
     if strict:
         reason = reason.when(F.col("language_id").isNull(), "unknown language")
     checked = checked.withColumn("reason", reason)
@@ -327,14 +327,14 @@ def stamp_changed(df: DataFrame, changed: Column, moment: dt.datetime,
 def token_index(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     """Postings (term, document, occurrences, first position) of whole texts.
 
-    Terms are runs of the letters a-z after lower-casing; there is neither stemming nor a
-    stop list.  Positions count from 1.  The text is split as it stands and the single
+    Terms are runs of letters of any script, with their marks, lower-cased; there is neither
+    stemming nor a stop list.  Positions count from 1.  The text is split as it stands and the single
     terms are lower-cased: Catalyst repeats the split in a filter on empty results, and a
     dearer expression under it would be repeated as well.
     """
     # a text that starts with another character splits into an empty first token
-    skipped = F.when(F.substring(text, 1, 1).rlike("[^a-zA-Z]"), 1).otherwise(0)
-    tokens = F.posexplode(F.split(text, "[^a-zA-Z]+"))
+    skipped = F.when(F.col(text).rlike(r"^[^\p{L}\p{M}]"), 1).otherwise(0)
+    tokens = F.posexplode(F.split(text, r"[^\p{L}\p{M}]+"))
     return (documents.select(id_column, text, skipped.alias("skipped"))
             .select(id_column, "skipped", tokens.alias("position", "term"))
             .filter(F.col("term") != "")
@@ -362,6 +362,8 @@ def load_through_lookups(seed: DataFrame, lookups: Sequence[Lookup], target: Dat
     """
     rows = seed
     for i, lookup in enumerate(lookups):
+        if not lookup.on:
+            raise ValueError("a lookup needs a column to match on")
         side = lookup.table.select(
             *[F.col(c).alias(f"_on{i}_{c}") for c in lookup.on],
             *[F.col(c).alias(name) for c, name in lookup.take.items()])

@@ -123,16 +123,24 @@ def _copies(inventory: DataFrame, film_id=None, store_id=None) -> DataFrame:
     return copies
 
 
+def _out(copies: DataFrame, rental: DataFrame, film_id, store_id) -> DataFrame:
+    """Copies with an open rental.  A choice of film or store cuts the rentals down first."""
+    open_ = _open_rentals(rental).select("inventory_id")
+    if film_id is not None or store_id is not None:
+        open_ = open_.join(copies.select("inventory_id"), "inventory_id", "left_semi")
+    return open_.distinct()
+
+
 def copies_in_stock(inventory, rental, film_id=None, store_id=None) -> DataFrame:
     """Copies that were never rented or have all come back."""
-    out = _open_rentals(rental).select("inventory_id").distinct()
-    return _copies(inventory, film_id, store_id).join(out, "inventory_id", "left_anti")
+    copies = _copies(inventory, film_id, store_id)
+    return copies.join(_out(copies, rental, film_id, store_id), "inventory_id", "left_anti")
 
 
 def copies_not_in_stock(inventory, rental, film_id=None, store_id=None) -> DataFrame:
     """Copies with a rental that is still open."""
-    out = _open_rentals(rental).select("inventory_id").distinct()
-    return _copies(inventory, film_id, store_id).join(out, "inventory_id", "left_semi")
+    copies = _copies(inventory, film_id, store_id)
+    return copies.join(_out(copies, rental, film_id, store_id), "inventory_id", "left_semi")
 
 
 def copy_holders(inventory, rental) -> DataFrame:
@@ -149,15 +157,16 @@ def films_in_stock(film, language, inventory, rental, customer, pattern: str) ->
     such a copy; one message row if there is none.
 
     One pass over the rentals gives both the latest rental of a copy and whether any is
-    open.  It is grouped ahead of the join, so a copy with very many rentals is down to a
-    row per task before anything is shuffled.
+    open.  It is cut down to the copies asked for, and grouped ahead of the join, so that a
+    copy with very many rentals is down to a row per task.
     """
     pattern = title_pattern(pattern)
     titles = (film.filter(F.col("title").like(pattern)).select("film_id", "title", "language_id")
               .join(language.select("language_id", F.col("name").alias("language")),
                     "language_id"))
     copies = titles.join(inventory.select("film_id", "inventory_id"), "film_id")
-    history = (rental.groupBy("inventory_id")
+    asked = copies.select("inventory_id")
+    history = (rental.join(asked, "inventory_id", "left_semi").groupBy("inventory_id")
                .agg(F.max(F.col("return_date").isNull()).alias("is_out"),
                     F.max(F.struct("rental_date", "rental_id", "customer_id")).alias("last")))
     available = (copies.join(history, "inventory_id", "left")

@@ -61,14 +61,23 @@ def footprint(spark: SparkSession, folder: str, like: str = "%") -> DataFrame:
     return sizes.withColumn("total_size", pretty_size(F.col("total_bytes")))
 
 
-def compact(spark: SparkSession, path: str, label: str, file_bytes: int = 128 << 20) -> str:
+def compact(spark: SparkSession, path: str, label: str, file_bytes: int = 128 << 20,
+            partition: Sequence[str] = ()) -> str:
     """Rewrite a table of many small files into files of about ``file_bytes``.
 
-    Neighbouring input splits are merged without a shuffle.
+    Neighbouring input splits are merged without a shuffle.  A table that has a folder per value
+    of ``partition`` keeps them: its rows are range-partitioned on those columns and, within a
+    large folder, on a hash of the row.
     """
     size = table_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     n_files = max(1, math.ceil(size / file_bytes))
-    return stage_table(spark.read.parquet(path).coalesce(n_files), label)
+    table = spark.read.parquet(path)
+    if not partition:
+        return stage_table(table.coalesce(n_files), label)
+    target = new_table_path(spark, label)
+    (table.repartitionByRange(n_files, *partition, F.xxhash64(*table.columns))
+     .write.partitionBy(*partition).parquet(target))
+    return target
 
 
 def truncate(df: DataFrame) -> DataFrame:

@@ -187,13 +187,14 @@ def test_audit_column(spark):
 
 
 def test_token_index(spark):
-    texts = {1: "Red ring, RED-Ring!", 2: " ...blue", 3: "", 4: "Éa über 42", 5: "end.", 6: None}
+    texts = {1: "Red ring, RED-Ring!", 2: " ...blue", 3: "", 4: "Éa über 42", 5: "end.", 6: None,
+             7: "Größe über naïve café", 8: "Привет, мир", 9: "日本 語"}
     df = values(spark, list(texts.items()), "id int, text string")
     got = sorted(rows(jobs.token_index(df, "id", "text")))
     import re
     want = []
     for key, text in texts.items():
-        words = [w.lower() for w in re.split("[^a-zA-Z]+", text or "") if w]
+        words = [w.lower() for w in re.split(r"[\W\d_]+", text or "") if w]
         want += [(w, key, words.count(w), words.index(w) + 1) for w in set(words)]
     assert got == sorted(want)
 

@@ -160,6 +160,8 @@ def test_scalars(spark):
         0, 1, 1, 2, -1, 0]
     slug = spark.range(1).select(sc.name_slug("client_", F.lit("Mary-Ann"), F.lit("O' Neil")))
     assert slug.first()[0] == "client_mary_ann_o_neil"
+    slug = spark.range(1).select(sc.name_slug("client_", F.lit("Jan."), F.lit("Poe")))
+    assert slug.first()[0] == "client_jan__poe"
 
 
 def test_shared_dir_comes_from_the_session(spark):
