@@ -35,8 +35,13 @@ class Shard:
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.postings = np.argsort(-vectors, axis=0, kind="stable")
-        self.values = np.take_along_axis(vectors, self.postings, axis=0)
+        columns = np.ascontiguousarray(vectors.T)
+        falling = np.argsort(-columns, axis=1, kind="stable")
+        values = np.take_along_axis(columns, falling, axis=1)
+        # from the greatest for a positive weight, from the least for a negative one
+        self.postings = {1: falling, -1: np.ascontiguousarray(falling[:, ::-1])}
+        self.values = {1: values, -1: np.ascontiguousarray(values[:, ::-1])}
+        self.rising = {1: -values, -1: self.values[-1]}
 
     def search(self, query: np.ndarray, own: int | None, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best scores and their rows, ties to the first row; row ``own`` is left out.
@@ -55,8 +60,9 @@ class Shard:
         k = min(k, int(live.sum()))
         if not k:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        ends = np.where(query >= 0, self.values[-1], self.values[0]) * query
-        tops = np.where(query >= 0, self.values[0], self.values[-1]) * query - ends
+        low, high = self.values[1][:, -1], self.values[1][:, 0]
+        ends = np.where(query >= 0, low, high) * query
+        tops = np.where(query >= 0, high, low) * query - ends
         steps = np.linspace(tops.max(initial=0), 0, LEVELS + 1)[1:]
         added = np.zeros(n, np.int64)
         unseen = np.ones((n, width))
@@ -69,12 +75,10 @@ class Shard:
                 if not q or done[d] == n:
                     left[d] = 0
                     continue
-                # impacts of the postings, falling; from the other end for a negative weight
-                values = self.values[:, d] if q > 0 else self.values[::-1, d]
-                rows = self.postings[:, d] if q > 0 else self.postings[::-1, d]
-                bound = (level + int(ends[d])) / q
-                stop = int(np.searchsorted(-values, -bound, "right") if q > 0
-                           else np.searchsorted(values, bound, "right")) if level > 0 else n
+                sign = 1 if q > 0 else -1
+                values, rows = self.values[sign][d], self.postings[sign][d]
+                stop = int(np.searchsorted(self.rising[sign][d], -sign * (level + int(ends[d])) / q,
+                                           "right")) if level > 0 else n
                 if stop > done[d]:
                     part = rows[done[d]:stop]
                     added[part] += values[done[d]:stop] * q - int(ends[d])
