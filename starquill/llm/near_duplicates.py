@@ -241,8 +241,10 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     # every node with any candidate is in one of these pairs, so the sets serve both rounds
     members = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(members, "node").select(
-        "node", *_document_key(F.col("doc_id"), F.col("text_hash")))
+    # written first, so its size is known: texts are moved to it only where it is too large to
+    # be sent to them
+    wanted = materialise(nodes.select("node", *_document_key(F.col("doc_id"), F.col("text_hash")))
+                         .join(members, "node"), "wanted")
     bodies = docs.select("text", *_document_key(F.col("doc_id"), F.col("text_hash")))
 
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
