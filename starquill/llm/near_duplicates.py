@@ -31,7 +31,7 @@ from starquill.session import materialise
 
 TILE_ROWS = 1024
 CROWDED = 2
-LEAST_BITS = 256
+LEAST_BITS = 128
 
 _hashes = WordHashes()
 
@@ -54,8 +54,10 @@ def prefix_size(n: int, percent: int) -> int:
 
 def bitmap(hashes: np.ndarray) -> bytes:
     """A bit per bucket of hashes, the parity of its count.  Sets of one size class have bitmaps
-    of equal length; a longer one folds to a shorter."""
-    bits = max(LEAST_BITS, 1 << (len(hashes) - 1).bit_length())
+    of equal length, half a bit to one bit per member; a longer one folds to a shorter.  Bitmaps
+    of unrelated sets differ in about half their bits, a quarter of a member or more, where
+    similar sets differ in less."""
+    bits = max(LEAST_BITS, 1 << (len(hashes) - 1).bit_length() >> 1)
     counts = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts.astype(np.uint8) & 1).tobytes()
 
