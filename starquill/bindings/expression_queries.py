@@ -115,7 +115,13 @@ SELECT p_brand, p_type, p_partkey, p_retailprice FROM (
 
 
 def random_pick(spark, folder):
-    return pick_random(Star(spark, folder)["supplier"], seed=7).select("s_suppkey", "s_name")
+    return pick_random(Star(spark, folder)["supplier"], seed=7, key="s_suppkey").select(
+        "s_suppkey", "s_name")
+
+
+RANDOM_PICK = """
+SELECT s_suppkey, s_name FROM supplier ORDER BY sha256(s_suppkey || ':7'), s_suppkey LIMIT 1
+"""
 
 
 def strings(spark, folder):
@@ -261,6 +267,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "srt_random_pick": RANDOM_PICK,
     "flt_membership_or": MEMBERSHIP,
     "flt_null_blank": NULL_BLANK,
     "jn_role_playing": ROLE_PLAYING,

@@ -253,7 +253,7 @@ def customer_priorities(spark, folder):
     """One text per customer: the different priorities of its orders, five at most."""
     kinds = Star(spark, folder)["orders"].select("o_custkey", "o_orderpriority").distinct()
     return text_concat(kinds, ["o_custkey"], "o_orderpriority", ["o_orderpriority"], ", ",
-                       name="priorities")
+                       part_size=None, name="priorities")
 
 
 BRAND_NAMES = f"""

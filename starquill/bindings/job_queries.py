@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starquill.bindings.star import ORDERS, PART_FILMS, Star, money
@@ -12,6 +14,13 @@ from starquill.session import new_table_path
 from starquill.sources import files
 from starquill.sources.inline import values
 
+MOMENT = dt.datetime(2002, 1, 1, 8)
+
+
+def before():
+    return F.lit("2001-01-01 00:00:00").cast("timestamp_ntz").alias("last_update")
+
+
 NEW_FILMS = [("RED RING", 2000, " promo"), ("Copper Kettle", 2003, "SMALL"),
              ("copper kettle", 2003, "promo"), ("Blue Bolt", 2099, "large"),
              ("Lost Film", 2001, "no such language")]
@@ -19,9 +28,9 @@ NEW_FILMS = [("RED RING", 2000, " promo"), ("Copper Kettle", 2003, "SMALL"),
 
 def insert_films(spark, folder):
     t = Star(spark, folder)
-    film = t.part_films().select("film_id", "title", "release_year", "language_id")
+    film = t.part_films().select("film_id", "title", "release_year", "language_id", before())
     seed = values(spark, NEW_FILMS, "title string, release_year int, language string")
-    return jobs.insert_films(film, t.type_languages(), seed).state
+    return jobs.insert_films(film, t.type_languages(), seed, MOMENT).state
 
 
 INSERT_FILMS = f"""
@@ -31,39 +40,45 @@ seed(title, release_year, language) AS (VALUES
 fresh AS (SELECT * FROM seed WHERE NOT EXISTS (
   SELECT 1 FROM film WHERE lower(film.title) = lower(seed.title)
                        AND film.release_year = seed.release_year))
-SELECT film_id, title, release_year, language_id FROM film
+SELECT film_id, title, release_year, language_id, TIMESTAMP '2001-01-01 00:00:00' AS last_update
+FROM film
 UNION ALL
 SELECT (SELECT max(film_id) FROM film) + row_number() OVER (ORDER BY title, release_year),
-       title, release_year, language FROM fresh
+       title, release_year, language, TIMESTAMP '2002-01-01 08:00:00' FROM fresh
 """
 
-CREDITS = [("supplier", "SUPPLIER#000000003", "red ring"), ("Supplier", "Guest 1", "Hot Rod"),
-           ("supplier", "guest 1", "cold plate"), ("Supplier", "Guest 0", "no such part"),
-           ("Supplier", "Supplier#000000005", "old bolt")]
+CREDITS = [("supplier", "SUPPLIER#000000003", "red ring", None),
+           ("Supplier", "Guest 1", "Hot Rod", None), ("supplier", "guest 1", "cold plate", None),
+           ("Supplier", "Guest 0", "no such part", None),
+           ("Supplier", "Supplier#000000005", "old bolt", 2000)]
 
 
 def load_bridge(spark, folder):
     t = Star(spark, folder)
     actors = t["supplier"].select(F.col("s_suppkey").alias("actor_id"),
                                   F.lit("Supplier").alias("first_name"),
-                                  F.col("s_name").alias("last_name"))
+                                  F.col("s_name").alias("last_name"), before())
     links = t["lineitem"].select(F.col("l_suppkey").alias("actor_id"),
-                                 F.col("l_partkey").alias("film_id")).distinct()
-    seed = values(spark, CREDITS, "first_name string, last_name string, title string")
-    return jobs.load_bridge(actors, t.part_films(), links, seed).film_actor
+                                 F.col("l_partkey").alias("film_id"), before()).distinct()
+    seed = values(spark, CREDITS, "first_name string, last_name string, title string, "
+                                  "release_year int")
+    return jobs.load_bridge(actors, t.part_films(), links, seed, MOMENT).film_actor
 
 
 BRIDGE = """
-WITH seed(last_name, title) AS (VALUES
-  ('supplier#000000003', 'red ring'), ('guest 1', 'hot rod'), ('guest 1', 'cold plate'),
-  ('supplier#000000005', 'old bolt')),
+WITH seed(last_name, title, of_year) AS (VALUES
+  ('supplier#000000003', 'red ring', NULL), ('guest 1', 'hot rod', NULL),
+  ('guest 1', 'cold plate', NULL), ('supplier#000000005', 'old bolt', 2000)),
 guests AS (SELECT (SELECT max(s_suppkey) FROM supplier) + 2 AS actor_id, 'guest 1' AS last_name),
 people AS (SELECT s_suppkey AS actor_id, lower(s_name) AS last_name FROM supplier
-           UNION ALL SELECT * FROM guests)
-SELECT DISTINCT l_suppkey AS actor_id, l_partkey AS film_id FROM lineitem
-UNION
-SELECT actor_id, p_partkey FROM seed JOIN people USING (last_name)
-JOIN part ON p_name = title
+           UNION ALL SELECT * FROM guests),
+links AS (SELECT DISTINCT l_suppkey AS actor_id, l_partkey AS film_id FROM lineitem)
+SELECT *, TIMESTAMP '2001-01-01 00:00:00' AS last_update FROM links
+UNION ALL
+SELECT *, TIMESTAMP '2002-01-01 08:00:00' FROM (
+  SELECT actor_id, p_partkey FROM seed JOIN people USING (last_name)
+  JOIN part ON p_name = title AND (of_year IS NULL OR p_size + 1990 = of_year)
+  EXCEPT SELECT * FROM links)
 """
 
 
@@ -144,11 +159,12 @@ def rent_and_pay(spark, folder):
     wishes = values(spark, [(*w, w[3] + dt.timedelta(minutes=5)) for w in WISHES],
                     "movie_no int, title string, priority int, rental_date timestamp_ntz, "
                     "return_date timestamp_ntz, payment_date timestamp_ntz")
-    done = jobs.rent_and_pay(wishes, payer, t.part_films(), copies, staff, t.line_rentals())
+    done = jobs.rent_and_pay(wishes, payer, t.part_films(), copies, staff,
+                             t.line_rentals().select("*", before()), MOMENT)
     paid = done.new_payments.select("rental_id", "amount", "payment_date")
     return done.new_rentals.join(paid, "rental_id").select(
         "rental_id", "inventory_id.*", "customer_id", "staff_id", "rental_date", "return_date",
-        "amount", "payment_date")
+        "amount", "payment_date", "last_update")
 
 
 RENT_AND_PAY = f"""
@@ -173,7 +189,8 @@ SELECT (SELECT max(l_orderkey) FROM lineitem) + row_number() OVER (ORDER BY movi
        CAST(CASE WHEN days <= rental_duration THEN rental_rate
                  ELSE rental_rate + (days - rental_duration) * rental_rate END
             AS DECIMAL(5,2)) AS amount,
-       rental_date + INTERVAL 5 MINUTE AS payment_date
+       rental_date + INTERVAL 5 MINUTE AS payment_date,
+       TIMESTAMP '2002-01-01 08:00:00' AS last_update
 FROM fee
 """
 
@@ -182,18 +199,20 @@ def open_and_close(spark, folder):
     rentals = Star(spark, folder)["orders"].select(
         F.col("o_orderkey").alias("rental_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("rental_date"),
-        F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("return_date"))
-    opened = jobs.open_rental_like_first(rentals, dt.datetime(2002, 1, 5, 9))
-    return jobs.close_newest_rental(opened.state, dt.datetime(2002, 1, 7, 18, 30)).state
+        F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("return_date"), before())
+    start, end = dt.datetime(2002, 1, 5, 9), dt.datetime(2002, 1, 7, 18, 30)
+    opened = jobs.open_rental_like_first(rentals, start, start)
+    return jobs.close_newest_rental(opened.state, end, end).state
 
 
 OPEN_CLOSE = """
 SELECT o_orderkey AS rental_id, o_custkey AS customer_id, o_orderdate AS rental_date,
-       CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS return_date
+       CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS return_date,
+       TIMESTAMP '2001-01-01 00:00:00' AS last_update
 FROM orders
 UNION ALL
 SELECT (SELECT max(o_orderkey) + 1 FROM orders), o_custkey, TIMESTAMP '2002-01-05 09:00:00',
-       TIMESTAMP '2002-01-07 18:30:00'
+       TIMESTAMP '2002-01-07 18:30:00', TIMESTAMP '2002-01-07 18:30:00'
 FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)
 """
 
@@ -217,6 +236,53 @@ def upsert_ignore(spark, folder):
     return jobs.upsert_ignore(target, batch, ["customer_id"], ["name"]).state
 
 
+def upsert_ignore_any(spark, folder):
+    """Ids and names are both unique: a supplier comes with an id that may be taken, again
+    under that id, and under its name with another id."""
+    t = Star(spark, folder)
+    target, _ = _accounts(t)
+    offers = [(F.col("s_suppkey") * 20, F.col("s_name")),
+              (F.col("s_suppkey") * 20, F.concat("s_name", F.lit(" again"))),
+              (-1 - F.col("s_suppkey"), F.col("s_name"))]
+    batch = reduce(DataFrame.unionByName, [
+        t["supplier"].select(F.lit(i).alias("turn"), key.alias("customer_id"), name.alias("name"),
+                             F.col("s_nationkey").alias("nation_id"))
+        for i, (key, name) in enumerate(offers)])
+    return jobs.upsert_ignore_any(target, batch, [["customer_id"], ["name"]],
+                                  ["turn", "customer_id"]).state.drop("turn")
+
+
+UPSERT_IGNORE_ANY = """
+SELECT c_custkey AS customer_id, c_name AS name, c_nationkey AS nation_id FROM customer
+UNION ALL
+SELECT CASE WHEN s_suppkey * 20 IN (SELECT c_custkey FROM customer) THEN -1 - s_suppkey
+            ELSE s_suppkey * 20 END, s_name, s_nationkey
+FROM supplier
+"""
+
+
+def append_and_truncate(spark, folder):
+    """Open orders appended to a stored table of the others, and the table emptied."""
+    orders = Star(spark, folder)["orders"]
+    path = files.stage_table(orders.filter("o_orderstatus <> 'O'"), "orders")
+    files.append_rows(orders.filter("o_orderstatus = 'O'"), path)
+    stored = spark.read.parquet(path)
+    emptied = spark.read.parquet(files.stage_table(files.truncate(stored), "emptied"))
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("n_rows"),
+               F.coalesce(F.sum("o_orderkey"), F.lit(0)).alias("key_sum"),
+               F.min("o_orderdate").alias("first_date"))
+        .withColumn("state", F.lit(state))
+        for state, df in (("appended", stored), ("truncated", emptied))])
+
+
+APPEND_TRUNCATE = """
+SELECT 'appended' AS state, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+       min(o_orderdate) AS first_date FROM orders
+UNION ALL SELECT 'truncated', 0, 0, NULL
+"""
+
+
 def upsert_update(spark, folder):
     target, batch = _accounts(Star(spark, folder))
     return jobs.upsert_update(target, batch, ["customer_id"], ["name", "nation_id"],
@@ -261,15 +327,16 @@ CANDIDATES = [(1, " Copper Kettle ", 2003, "promo"), (2, "  ", 2003, "promo"),
 
 def new_entity(spark, folder):
     t = Star(spark, folder)
-    film = t.part_films().select("film_id", "title", "release_year")
+    film = t.part_films().select("film_id", "title", "release_year", before())
     rows = values(spark, CANDIDATES,
                   "line_no int, title string, release_year int, language string")
-    done = jobs.add_films(film, t.numbered_languages(), rows)
+    done = jobs.add_films(film, t.numbered_languages(), rows, moment=MOMENT)
     good = done.accepted.select("line_no", "title", "film_id", "language_id",
-                                F.lit("accepted").alias("outcome"))
+                                F.lit("accepted").alias("outcome"), "last_update")
     bad = done.rejected.select("line_no", "title", F.lit(None).cast("long").alias("film_id"),
                                F.lit(None).cast("long").alias("language_id"),
-                               F.col("reason").alias("outcome"))
+                               F.col("reason").alias("outcome"),
+                               F.lit(None).cast("timestamp_ntz").alias("last_update"))
     return good.unionByName(bad)
 
 
@@ -278,6 +345,8 @@ WITH top AS (SELECT (SELECT max(p_partkey) FROM part) AS f,
                     (SELECT max(k) FROM (SELECT min(p_partkey) AS k FROM part GROUP BY p_type))
                       AS l,
                     (SELECT min(p_partkey) FROM part WHERE p_type = 'PROMO') AS promo)
+SELECT *, CASE outcome WHEN 'accepted' THEN TIMESTAMP '2002-01-01 08:00:00' END AS last_update
+FROM (
 SELECT 1 AS line_no, 'Copper Kettle' AS title, f + 1 AS film_id, promo AS language_id,
        'accepted' AS outcome FROM top
 UNION ALL SELECT 8, 'Brass Lamp', f + 2, l + 2, 'accepted' FROM top
@@ -289,7 +358,7 @@ UNION ALL SELECT 4, 'Tin Whistle', NULL, NULL, 'year out of range'
 UNION ALL SELECT 5, 'Tin Whistle', NULL, NULL, 'blank language'
 UNION ALL SELECT 6, 'RED ring', NULL, NULL, 'title exists'
           WHERE EXISTS (SELECT 1 FROM part WHERE p_name = 'red ring')
-UNION ALL SELECT 7, 'copper KETTLE', NULL, NULL, 'title exists'
+UNION ALL SELECT 7, 'copper KETTLE', NULL, NULL, 'title exists')
 """
 
 
@@ -415,7 +484,9 @@ QUERIES = {
     "job_rent_and_pay": rent_and_pay,
     "job_open_close": open_and_close,
     "job_upsert_ignore": upsert_ignore,
+    "job_upsert_ignore_any": upsert_ignore_any,
     "job_upsert_update": upsert_update,
+    "job_append_truncate": append_and_truncate,
     "job_assign_ids": assign_ids,
     "job_new_entity": new_entity,
     "job_audit_column": audit_column,
@@ -434,7 +505,9 @@ ORACLES = {
     "job_rent_and_pay": RENT_AND_PAY,
     "job_open_close": OPEN_CLOSE,
     "job_upsert_ignore": UPSERT_IGNORE,
+    "job_upsert_ignore_any": UPSERT_IGNORE_ANY,
     "job_upsert_update": UPSERT_UPDATE,
+    "job_append_truncate": APPEND_TRUNCATE,
     "job_assign_ids": ASSIGN_IDS,
     "job_new_entity": NEW_ENTITY,
     "job_audit_column": AUDIT,

@@ -8,8 +8,10 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the form of a period after trimming and upper-casing.
-PERIOD_PATTERN = r"^[0-9]{4}-Q[1-4]$"
+# Fixed value: the form of a period after trimming and upper-casing; there is no year 0.
+PERIOD_PATTERN = r"^(?!0000)[0-9]{4}-Q[1-4]$"
+# What follows the last moment that Python can write.
+AFTER_LAST = "+10000-01-01 00:00:00"
 
 
 class EmptyPeriod(ValueError):
@@ -34,18 +36,24 @@ def period_of(day: dt.date) -> str:
     return f"{day.year:04d}-Q{(day.month - 1) // 3 + 1}"
 
 
-def quarter_bounds(year: int, quarter: int) -> tuple[dt.datetime, dt.datetime]:
-    """First instant of the quarter and first instant after it."""
-    start = dt.datetime(year, 3 * quarter - 2, 1)
-    after = dt.datetime(year + quarter // 4, 3 * quarter % 12 + 1, 1)
-    return start, after
+Bounds = tuple[dt.datetime, dt.datetime | None]
 
 
-def month_bounds(day: dt.date) -> tuple[dt.datetime, dt.datetime]:
+def _month_start(year: int, month: int) -> dt.datetime | None:
+    """None for the month after the last of year 9999."""
+    return dt.datetime(year, month, 1) if year <= dt.MAXYEAR else None
+
+
+def quarter_bounds(year: int, quarter: int) -> Bounds:
+    """First instant of the quarter and first instant after it (None if that is in 10000)."""
+    return (dt.datetime(year, 3 * quarter - 2, 1),
+            _month_start(year + quarter // 4, 3 * quarter % 12 + 1))
+
+
+def month_bounds(day: dt.date) -> Bounds:
     """First instant of the month of ``day`` and first instant after it."""
-    start = dt.datetime(day.year, day.month, 1)
-    after = dt.datetime(day.year + day.month // 12, day.month % 12 + 1, 1)
-    return start, after
+    return (dt.datetime(day.year, day.month, 1),
+            _month_start(day.year + day.month // 12, day.month % 12 + 1))
 
 
 def period_status(text: Column) -> Column:
@@ -56,8 +64,9 @@ def period_status(text: Column) -> Column:
             .otherwise("valid"))
 
 
-def within(moment: Column, bounds: tuple[dt.datetime, dt.datetime]) -> Column:
+def within(moment: Column, bounds: Bounds) -> Column:
     """Half-open range test on the raw column, so that it reaches the Parquet scan."""
     start, after = bounds
+    end = after.isoformat(" ") if after else AFTER_LAST
     return (moment >= F.lit(start.isoformat(" ")).cast("timestamp_ntz")) & \
-           (moment < F.lit(after.isoformat(" ")).cast("timestamp_ntz"))
+           (moment < F.lit(end).cast("timestamp_ntz"))

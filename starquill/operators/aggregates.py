@@ -26,14 +26,13 @@ def conditional_distinct_counts(df: DataFrame, group: str, item: str,
 
 
 def text_concat(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str],
-                separator: str = ", ", part_size: int | None = None,
+                separator: str = ", ", part_size: int | None = 1000,
                 name: str = "texts") -> DataFrame:
     """Values of a group joined to one text, NULL values left out.
 
-    Without ``part_size`` the result is one text per group, for groups that fit a single
-    value.  With it, a group is split into consecutive texts of at most ``part_size``
-    values with a part number; no task then holds more than one part, and the parts read
-    in order give the whole group.
+    A group is split into consecutive texts of at most ``part_size`` values with a part
+    number; no task then holds more than one part, and the parts read in order give the whole
+    group.  With None the result is one text per group, for groups that fit a single value.
     """
     rows = df.filter(F.col(value).isNotNull()).select(
         *dict.fromkeys([*keys, *order, value]))

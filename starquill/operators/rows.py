@@ -28,9 +28,13 @@ def pick_first(df: DataFrame, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(1)
 
 
-def pick_random(df: DataFrame, seed: int | None = None) -> DataFrame:
-    """One row at random."""
-    return df.orderBy(F.rand(seed)).limit(1)
+def pick_random(df: DataFrame, seed: int | None = None, key: str | None = None) -> DataFrame:
+    """One row at random.  With a ``key``, the row whose key and ``seed`` have the least
+    SHA-256, which depends neither on partitions nor on the order of rows."""
+    if key is None:
+        return df.orderBy(F.rand(seed)).limit(1)
+    text = F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))
+    return df.orderBy(F.sha2(text, 256), key).limit(1)
 
 
 def at_extremum(df: DataFrame, column: str, greatest: bool = True) -> DataFrame:
@@ -58,9 +62,14 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_num",
 
     Rows are range-partitioned on group and order columns together, so neither the whole
     table nor one large group meets in one task.  Every task numbers its own rows, and
-    the rows counted before it are added as an offset.
+    the rows counted before it are added as an offset.  Rows that are equal in these columns
+    follow a hash of the others, so they can be split between tasks too.
     """
     sort = [F.col(c) for c in (*within, *order)]
+    others = [f.name for f in df.schema if f.name not in (*within, *order)
+              and "map<" not in f.dataType.simpleString()]
+    if others:
+        sort.append(F.xxhash64(*others))
     placed = materialise(
         df.repartitionByRange(*sort).sortWithinPartitions(*sort)
         .withColumn("_place", F.monotonically_increasing_id()), "numbered")

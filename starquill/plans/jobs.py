@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from starquill.functions.scalars import is_blank, late_fee_amount, same_text, whole_days
 from starquill.operators.rows import first_per_key, number_rows, pick_first
+from starquill.session import materialise
 
 # Terms of a newly added film and the years a film may carry.
 NEW_FILM_DURATION = 3
@@ -81,10 +82,59 @@ def assign_ids(batch: DataFrame, target: DataFrame, id_column: str,
     return number_rows(batch, order, id_column, after=greatest_id(target, id_column))
 
 
+def _moment(moment: dt.datetime | None) -> Column:
+    return F.current_timestamp() if moment is None else F.lit(moment.isoformat(" "))
+
+
+def dated(rows: DataFrame, table: DataFrame, moment: dt.datetime | None,
+          name: str = "last_update") -> DataFrame:
+    """``rows`` with ``moment`` (now, if None) as update time, if ``table`` keeps one."""
+    if name not in table.columns:
+        return rows
+    return rows.withColumn(name, _moment(moment).cast(table.schema[name].dataType))
+
+
+def without_any_repeats(batch: DataFrame, keys: Sequence[Sequence[str]],
+                        order: Sequence[str]) -> DataFrame:
+    """The rows that remain if rows are taken in ``order`` and each that shares any of
+    ``keys`` with an earlier taken one is passed over.
+
+    In each round the rows that come first under all their keys are taken, and the rows that
+    share a key with one of them go.  Runs jobs while it is called, a few per round.
+    """
+    open_ = materialise(number_rows(batch, order, "_row"), "open-batch")
+    taken = open_.limit(0)
+    while not open_.isEmpty():
+        ranked = open_.withColumn("_first", F.lit(True))
+        for key in keys:
+            names = [f"_k{i}" for i in range(len(key))]
+            least = (open_.dropna(subset=list(key)).groupBy(*key)
+                     .agg(F.min("_row").alias("_least"))
+                     .select("_least", *[F.col(c).alias(n) for c, n in zip(key, names)]))
+            match = reduce(and_, [F.col(c) == F.col(n) for c, n in zip(key, names)])
+            earlier = F.coalesce(F.col("_least") < F.col("_row"), F.lit(False))
+            ranked = (ranked.join(least, match, "left")
+                      .withColumn("_first", F.col("_first") & ~earlier).drop("_least", *names))
+        ranked = materialise(ranked, "ranked-batch")
+        first = ranked.filter("_first").drop("_first")
+        rest = ranked.filter("NOT _first").drop("_first")
+        for key in keys:
+            rest = absent_rows(rest, first, [F.col(c) for c in key])
+        taken = taken.unionByName(first)
+        open_ = materialise(rest, "open-batch")
+    return taken.drop("_row")
+
+
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[Column],
-                     id_column: str | None = None, order: Sequence[str] = ()) -> Loaded:
-    """Add the rows whose key is new; of equal keys in the batch the first in ``order``."""
-    new = absent_rows(without_repeats(batch, keys, order), target, keys)
+                     id_column: str | None = None, order: Sequence[str] = (),
+                     moment: dt.datetime | None = None) -> Loaded:
+    """Add the rows whose key is new; of equal keys in the batch the first in ``order``.
+
+    New rows get ``moment`` as ``last_update`` where the table has that column.  The batch
+    without repeats is written out once, so this runs a job while it is called.
+    """
+    reduced = materialise(without_repeats(batch, keys, order), "batch")
+    new = dated(absent_rows(reduced, target, keys), target, moment)
     if id_column:
         new = assign_ids(new, target, id_column, order)
     return Loaded(target.unionByName(new, allowMissingColumns=True), new)
@@ -96,27 +146,60 @@ def upsert_ignore(target: DataFrame, batch: DataFrame, key: Sequence[str],
     return insert_if_absent(target, batch, [F.col(k) for k in key], order=[*key, *order])
 
 
+def upsert_ignore_any(target: DataFrame, batch: DataFrame, keys: Sequence[Sequence[str]],
+                      order: Sequence[str], id_column: str | None = None) -> Loaded:
+    """Add, in ``order``, the rows that share none of several unique keys with a row that is
+    there or was added before them."""
+    new = batch
+    for key in keys:
+        new = absent_rows(new, target, [F.col(c) for c in key])
+    new = without_any_repeats(new, keys, order)
+    if id_column:
+        new = assign_ids(new, target, id_column, order)
+    return Loaded(target.unionByName(new, allowMissingColumns=True), new)
+
+
 def upsert_update(target: DataFrame, batch: DataFrame, key: Sequence[str],
                   columns: Sequence[str], order: Sequence[str]) -> Loaded:
-    """Add new keys and take ``columns`` of present ones from the batch, NULL included."""
+    """Add new keys and take ``columns`` of present ones from the batch, NULL included.
+
+    One outer join on the key, which is unique on both sides; rows with a NULL in the key meet
+    nothing and are spread by a hash, so that they don't fall into one task.
+    """
     batch = without_repeats(batch, [F.col(k) for k in key], order)
-    given = batch.select(*key, F.lit(True).alias("_hit"),
-                         *[F.col(c).alias(f"_new_{c}") for c in columns])
-    updated = target.join(given, list(key), "left").select(*[
-        (F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-         if c in columns else F.col(c)) for c in target.columns])
-    new = absent_rows(batch, target, [F.col(k) for k in key])
-    return Loaded(updated.unionByName(new, allowMissingColumns=True), batch)
 
+    def spread(df: DataFrame) -> Column:
+        complete = reduce(and_, [F.col(k).isNotNull() for k in key])
+        return F.when(complete, F.lit(0).cast("long")).otherwise(F.xxhash64(*df.columns))
 
-def insert_films(film: DataFrame, language: DataFrame, seed: DataFrame) -> Loaded:
+    held = target.select("*", F.lit(True).alias("_held"), spread(target).alias("_spread"))
+    given = batch.select(*[F.col(c).alias(f"_new_{c}") for c in batch.columns],
+                         F.lit(True).alias("_hit"), spread(batch).alias("_new_spread"))
+    match = reduce(and_, [F.col(k) == F.col(f"_new_{k}") for k in key],
+                   F.col("_spread") == F.col("_new_spread"))
+
+    def state(c: str) -> Column:
+        if c not in batch.columns:
+            return F.col(c)
+        new = F.col(f"_new_{c}")
+        if c not in target.columns:
+            return F.when(F.col("_held").isNull(), new).alias(c)
+        from_batch = F.col("_hit") if c in columns else F.col("_held").isNull()
+        return F.when(from_batch, new).otherwise(F.col(c)).alias(c)
+
+    states = [state(c) for c in dict.fromkeys([*target.columns, *batch.columns])]
+    return Loaded(held.join(given, match, "full").select(*states), batch)
+
+
+def insert_films(film: DataFrame, language: DataFrame, seed: DataFrame,
+                 moment: dt.datetime | None = None) -> Loaded:
     """Add films (title, year, language name, ...) that are not yet there by title and year."""
     known = language.select("language_id", F.lower(F.btrim("name")).alias("_language"))
     known = first_per_key(known, ["_language"], ["language_id"])
     rows = (seed.withColumn("_language", F.lower(F.btrim("language")))
             .join(known, "_language").drop("_language", "language"))
     keys = [F.lower("title"), F.col("release_year")]
-    return insert_if_absent(film, rows, keys, "film_id", ["title", "release_year"])
+    return insert_if_absent(film, rows, keys, "film_id", ["title", "release_year"], moment)
 
 
 class BridgeLoad(NamedTuple):
@@ -127,33 +210,43 @@ class BridgeLoad(NamedTuple):
 
 
 def load_bridge(actor: DataFrame, film: DataFrame, film_actor: DataFrame,
-                seed: DataFrame) -> BridgeLoad:
+                seed: DataFrame, moment: dt.datetime | None = None) -> BridgeLoad:
     """Load (first_name, last_name, title) rows: missing actors first, then the links of
-    old and new actors to the films of that title."""
+    old and new actors to the films of that title.  If the seed has a ``release_year``, a
+    row that names one means only the films of that year."""
     names = seed.select("first_name", "last_name").distinct()
     actor_key = [F.lower("first_name"), F.lower("last_name")]
-    actors = insert_if_absent(actor, names, actor_key, "actor_id", ["last_name", "first_name"])
+    actors = insert_if_absent(actor, names, actor_key, "actor_id", ["last_name", "first_name"],
+                              moment)
     people = actors.state.select("actor_id", F.lower("first_name").alias("_first"),
                                  F.lower("last_name").alias("_last"))
-    titles = film.select("film_id", F.lower("title").alias("_title"))
+    dates = "release_year" in seed.columns
+    titles = film.select("film_id", F.lower("title").alias("_title"),
+                         *(["release_year"] if dates else []))
     wanted = seed.select(F.lower("first_name").alias("_first"),
                          F.lower("last_name").alias("_last"),
-                         F.lower("title").alias("_title")).distinct()
-    links = (people.join(wanted, ["_first", "_last"]).join(titles, "_title")
-             .select("actor_id", "film_id").distinct())
-    new_links = absent_rows(links, film_actor, [F.col("actor_id"), F.col("film_id")])
+                         F.lower("title").alias("_title"),
+                         *([F.col("release_year").alias("_year")] if dates else [])).distinct()
+    links = people.join(wanted, ["_first", "_last"]).join(titles, "_title")
+    if dates:
+        links = links.filter(F.col("_year").isNull() | (F.col("_year") == F.col("release_year")))
+    links = links.select("actor_id", "film_id").distinct()
+    new_links = dated(absent_rows(links, film_actor, [F.col("actor_id"), F.col("film_id")]),
+                      film_actor, moment)
     return BridgeLoad(actors.state, film_actor.unionByName(new_links, allowMissingColumns=True),
                       actors.changed, new_links)
 
 
-def insert_copies(inventory: DataFrame, film: DataFrame, store_id: Column) -> Loaded:
+def insert_copies(inventory: DataFrame, film: DataFrame, store_id: Column,
+                  moment: dt.datetime | None = None) -> Loaded:
     """One copy of every given film at one store, where the pair is not there yet.
 
     ``store_id`` is a scalar subquery (one chosen store) or a literal, so the pairing is a
     projection and no join.
     """
     pairs = film.select("film_id", store_id.alias("store_id")).filter("store_id IS NOT NULL")
-    new = absent_rows(pairs, inventory, [F.col("film_id"), F.col("store_id")])
+    new = dated(absent_rows(pairs, inventory, [F.col("film_id"), F.col("store_id")]),
+                inventory, moment)
     return Loaded(inventory.unionByName(new, allowMissingColumns=True), new)
 
 
@@ -200,7 +293,8 @@ class RentAndPay(NamedTuple):
 
 
 def rent_and_pay(candidates: DataFrame, customer_id: Column, film: DataFrame,
-                 inventory: DataFrame, staff: DataFrame, rental: DataFrame) -> RentAndPay:
+                 inventory: DataFrame, staff: DataFrame, rental: DataFrame,
+                 moment: dt.datetime | None = None) -> RentAndPay:
     """Rent the wanted films to one customer and pay for them, late fee included.
 
     ``candidates`` has movie_no, title, priority, rental_date, return_date, payment_date.
@@ -226,12 +320,13 @@ def rent_and_pay(candidates: DataFrame, customer_id: Column, film: DataFrame,
     rented = assign_ids(absent_rows(wanted, rental, keys), rental, "rental_id",
                         ["movie_no"])
     return RentAndPay(
-        rented.select("rental_id", "rental_date", "inventory_id", "customer_id", "return_date",
-                      "staff_id"),
+        dated(rented.select("rental_id", "rental_date", "inventory_id", "customer_id",
+                            "return_date", "staff_id"), rental, moment),
         rented.select("customer_id", "staff_id", "rental_id", "amount", "payment_date"))
 
 
-def open_rental_like_first(rental: DataFrame, rental_date: dt.datetime) -> Loaded:
+def open_rental_like_first(rental: DataFrame, rental_date: dt.datetime,
+                           moment: dt.datetime | None = None) -> Loaded:
     """Add an open rental copied from the one with the least id."""
     new_id = greatest_id(rental, "rental_id") + 1
     opened = pick_first(rental, "rental_id").select(*[
@@ -240,16 +335,21 @@ def open_rental_like_first(rental: DataFrame, rental_date: dt.datetime) -> Loade
         if c == "rental_date"
         else F.lit(None).cast(rental.schema[c].dataType).alias(c) if c == "return_date"
         else F.col(c) for c in rental.columns])
+    opened = dated(opened, rental, moment)
     return Loaded(rental.unionByName(opened), opened)
 
 
-def close_newest_rental(rental: DataFrame, return_date: dt.datetime) -> Loaded:
+def close_newest_rental(rental: DataFrame, return_date: dt.datetime,
+                        moment: dt.datetime | None = None) -> Loaded:
     """Set the return date of the rental with the greatest id."""
     newest = F.col("rental_id") == rental.agg(F.max("rental_id")).scalar()
-    moment = F.lit(return_date.isoformat(" ")).cast("timestamp_ntz")
-    state = rental.withColumn(
-        "return_date", F.when(newest, moment).otherwise(F.col("return_date")))
-    return Loaded(state, rental.filter(newest).withColumn("return_date", moment))
+    returned = F.lit(return_date.isoformat(" ")).cast("timestamp_ntz")
+    changes = {"return_date": returned}
+    if "last_update" in rental.columns:
+        changes["last_update"] = _moment(moment).cast(rental.schema["last_update"].dataType)
+    state = rental.withColumns({
+        c: F.when(newest, value).otherwise(F.col(c)) for c, value in changes.items()})
+    return Loaded(state, rental.filter(newest).withColumns(changes))
 
 
 class NewFilms(NamedTuple):
@@ -260,13 +360,22 @@ class NewFilms(NamedTuple):
 
 
 def add_films(film: DataFrame, language: DataFrame, candidates: DataFrame,
-              strict: bool = False) -> NewFilms:
+              strict: bool = False, moment: dt.datetime | None = None) -> NewFilms:
     """Add films given as (line_no, title, release_year, language), each checked.
 
+    A batch without the column ``release_year`` means the year of ``moment`` (now, if None),
+    one without ``language`` the language DEFAULT_LANGUAGE; new rows get ``moment`` as
+    ``last_update``.  The checked batch is written out while this is called, so that repeated
+    line numbers do no harm.
+
     Refused are a blank title, a missing or impossible year, a blank language, and a title
     that exists or came up earlier in the batch.  A missing language is added, or refused
     with ``strict``.  Titles and languages compare by trimmed upper case.
     """
+    if "release_year" not in candidates.columns:
+        candidates = candidates.withColumn("release_year", F.year(_moment(moment).cast("timestamp")))
+    if "language" not in candidates.columns:
+        candidates = candidates.withColumn("language", F.lit(DEFAULT_LANGUAGE))
     film_titles = film.select(same_text(F.col("title")).alias("_title"))
     checked = candidates.withColumn("_title", same_text(F.col("title")))
     known_titles = film_titles.join(checked.select("_title").distinct(), "_title", "left_semi")
@@ -284,17 +393,18 @@ def add_films(film: DataFrame, language: DataFrame, candidates: DataFrame,
               .when(F.col("_known"), "title exists"))
     if strict:
         reason = reason.when(F.col("language_id").isNull(), "unknown language")
-    checked = checked.withColumn("reason", reason)
+    checked = materialise(checked.withColumns({
+        "reason": reason, "_row": F.monotonically_increasing_id()}), "candidates")
     valid = checked.filter("reason IS NULL")
-    winners = first_per_key(valid, ["_title"], ["line_no"])
-    repeated = (valid.join(winners.select("line_no"), "line_no", "left_anti")
+    winners = materialise(first_per_key(valid, ["_title"], ["line_no", "_row"]), "winners")
+    repeated = (valid.join(winners.select("_row"), "_row", "left_anti")
                 .withColumn("reason", F.lit("title exists")))
     rejected = (checked.filter("reason IS NOT NULL").unionByName(repeated)
                 .select("line_no", "title", "release_year", "language", "reason"))
 
     missing = first_per_key(winners.filter("language_id IS NULL"), ["_language"], ["line_no"])
-    added = assign_ids(missing.select(F.btrim("language").alias("name"), "_language"),
-                       language, "language_id", ["name"])
+    added = dated(assign_ids(missing.select(F.btrim("language").alias("name"), "_language"),
+                             language, "language_id", ["name"]), language, moment)
     named = winners.join(added.select("_language", F.col("language_id").alias("_added_id")),
                          "_language", "left")
     rows = named.select("line_no", F.btrim("title").alias("title"), "release_year",
@@ -303,7 +413,7 @@ def add_films(film: DataFrame, language: DataFrame, candidates: DataFrame,
                         F.lit(NEW_FILM_RATE).cast("decimal(4,2)").alias("rental_rate"),
                         F.lit(NEW_FILM_REPLACEMENT).cast("decimal(5,2)")
                         .alias("replacement_cost"))
-    accepted = assign_ids(rows, film, "film_id", ["line_no"])
+    accepted = dated(assign_ids(rows, film, "film_id", ["line_no", "title"]), film, moment)
     return NewFilms(film.unionByName(accepted.drop("line_no"), allowMissingColumns=True),
                     language.unionByName(added.drop("_language"), allowMissingColumns=True),
                     accepted, rejected)

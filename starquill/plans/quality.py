@@ -116,7 +116,8 @@ def descendants(df: DataFrame, key: str, parent: str, roots: DataFrame) -> DataF
 
     Each round lets a row look twice as far up as before, so a reply chain of n rows takes
     about log2(n) rounds.  Only rows that have not found a root and have not reached the
-    top take part in a round, and each round is written out to cut the lineage.
+    top take part in a round, and only they are written out by it, which cuts the lineage.
+    Runs jobs while it is called.
     """
     hit = roots.select(F.col(key), F.lit(True).alias("_root")).distinct()
     state = df.join(hit, key, "left").select(
@@ -124,17 +125,19 @@ def descendants(df: DataFrame, key: str, parent: str, roots: DataFrame) -> DataF
         F.coalesce("_root", F.lit(False)).alias("_hit"))
     state = materialise(state, "closure")
     looking = ~F.col("_hit") & F.col("_up").isNotNull()
+    settled, open_ = state.filter(~looking), state.filter(looking)
     n_rows, reach = state.count(), 1
     # once the reach covers the table, a row still looking is on a cycle without a root
-    while reach <= n_rows and not state.filter(looking).isEmpty():
-        above = state.select(F.col(key).alias("_at"), F.col("_up").alias("_next"),
+    while reach <= n_rows and not open_.isEmpty():
+        above = settled.unionByName(open_).select(F.col(key).alias("_at"), F.col("_up").alias("_next"),
                              F.col("_hit").alias("_found"))
-        moved = (state.filter(looking).join(above, F.col("_up") == F.col("_at"), "left")
+        moved = (open_.join(above, F.col("_up") == F.col("_at"), "left")
                  .select(F.col(key), F.col("_next").alias("_up"),
                          F.coalesce("_found", F.lit(False)).alias("_hit")))
-        state = materialise(state.filter(~looking).unionByName(moved), "closure")
+        moved = materialise(moved, "closure")
+        settled, open_ = settled.unionByName(moved.filter(~looking)), moved.filter(looking)
         reach *= 2
-    return state.filter("_hit").select(key)
+    return settled.filter("_hit").select(key)
 
 
 def cascade_closure(tables: dict[str, DataFrame], keys: dict[str, tuple[str, ...]],

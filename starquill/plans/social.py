@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starquill.plans import quality as q
-from starquill.plans.jobs import (Loaded, Lookup, absent_rows, insert_if_absent,
-                                  load_through_lookups, with_audit_column)
+from starquill.plans.jobs import (Loaded, Lookup, load_through_lookups, upsert_ignore_any,
+                                  with_audit_column)
 
 # What a visibility and a media type may be.
 VISIBILITIES = ["public", "private", "followers_only"]
@@ -139,9 +139,10 @@ _LOADS = [
 
 
 def _load_users(seed: DataFrame, users: DataFrame) -> Loaded:
-    """A user is new if neither the name nor the e-mail is taken."""
-    fresh = absent_rows(seed, users, [F.col("email")])
-    return insert_if_absent(users, fresh, [F.col("username")], "user_id", ["username"])
+    """A user is new if neither the name nor the e-mail is taken, in the table or by a user
+    of the batch with a lesser name."""
+    return upsert_ignore_any(users, seed, [["username"], ["email"]], ["username", "email"],
+                             "user_id")
 
 
 def load(tables: dict[str, DataFrame], seeds: dict[str, DataFrame],

@@ -140,6 +140,53 @@ def test_rows_without_a_key_are_all_added(spark):
     assert sorted(rows(done.changed), key=repr) == [(2, "f"), (None, "c"), (None, "d")]
 
 
+def test_upsert_update_spreads_null_keys_and_keeps_extra_columns(spark):
+    target = values(spark, [(None, "a", 1), (None, "a", 1), (1, "b", 2), (2, "c", 3)],
+                    "k int, name string, n int")
+    batch = values(spark, [(None, "x", 9), (1, None, 8), (3, "y", 7)], "k int, name string, more int")
+    done = jobs.upsert_update(target, batch, ["k"], ["name"], ["name"])
+    assert sorted(rows(done.state.select("k", "name", "n", "more")), key=repr) == sorted([
+        (None, "a", 1, None), (None, "a", 1, None), (1, None, 2, None), (2, "c", 3, None),
+        (None, "x", None, 9), (3, "y", None, 7)], key=repr)
+
+
+def one_after_another(target, batch):
+    """Rows of (name, mail, n) added in order unless the name or the mail is taken."""
+    names, mails, added = {t[0] for t in target}, {t[1] for t in target}, []
+    for row in sorted(batch, key=lambda r: r[2]):
+        if row[0] not in names - {None} and row[1] not in mails - {None}:
+            added.append(row)
+            names.add(row[0])
+            mails.add(row[1])
+    return added
+
+
+def test_upsert_ignore_any_adds_rows_as_if_one_after_another(spark):
+    import random
+    picks = random.Random(5)
+    target = [("n0", "m9", -1), (None, "m8", -2)]
+    # a chain in which each row shares a key with the next, and rows drawn at random
+    batch = [("n1", "m1", 0), ("n2", "m1", 1), ("n2", "m2", 2), ("n3", "m2", 3), ("n3", "m3", 4)]
+    batch += [(picks.choice(["a", "b", "c", "d", "e", "n0", None]),
+               picks.choice(["p", "q", "r", "s", "m9", None]), 10 + i) for i in range(30)]
+    schema = "name string, mail string, n int"
+    first = jobs.upsert_ignore_any(values(spark, target, schema), values(spark, batch, schema),
+                                   [["name"], ["mail"]], ["n"])
+    assert sorted(rows(first.changed), key=repr) == sorted(one_after_another(target, batch), key=repr)
+
+
+def test_new_rows_carry_their_update_time(rental, spark):
+    at = dt.datetime(2020, 3, 4, 5)
+    candidates = values(spark, [(1, "Glass Sea"), (1, "Stone Sea")], "line_no int, title string")
+    done = jobs.add_films(rental.film, rental.language, candidates, moment=at)
+    got = rows(done.accepted.select("title", "release_year", "last_update"))
+    assert sorted(got) == [("Glass Sea", 2020, at), ("Stone Sea", 2020, at)]
+    assert rows(done.language.filter("name = 'Klingon'").select("last_update")) == [(at,)]
+    closed = jobs.close_newest_rental(
+        jobs.open_rental_like_first(rental.rental, at, at).state, at, at + dt.timedelta(days=1))
+    assert rows(closed.changed.select("last_update")) == [(at + dt.timedelta(days=1),)]
+
+
 def test_ids_follow_the_greatest_and_stay(spark):
     batch = spark.range(1000).select((F.col("id") % 7).alias("g"), F.col("id").alias("v"))
     empty = values(spark, [], "k long")

@@ -83,7 +83,7 @@ def test_text_concat(skewed, part_size):
 
 def test_text_concat_skips_null(spark):
     df = values(spark, [(1, "b"), (1, None), (1, "a"), (2, None)], "g int, v string")
-    assert rows(agg.text_concat(df, ["g"], "v", ["v"], "' | ")) == [(1, "a' | b")]
+    assert rows(agg.text_concat(df, ["g"], "v", ["v"], "' | ", None)) == [(1, "a' | b")]
 
 
 def test_conditional_distinct_counts(skewed):

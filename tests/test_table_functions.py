@@ -64,6 +64,17 @@ def test_bounds():
     assert periods.month_bounds(dt.date(2017, 12, 9)) == (dt.datetime(2017, 12, 1),
                                                          dt.datetime(2018, 1, 1))
     assert periods.period_of(dt.date(2017, 9, 30)) == "2017-Q3"
+    assert periods.quarter_bounds(9999, 4) == (dt.datetime(9999, 10, 1), None)
+    assert periods.month_bounds(dt.date(9999, 12, 9)) == (dt.datetime(9999, 12, 1), None)
+    with pytest.raises(periods.MalformedPeriod):
+        periods.parse_period("0000-Q1")
+
+
+def test_the_last_quarter_has_an_end(spark):
+    df = spark.sql("SELECT timestamp_ntz'9999-12-31 23:59:59.999999' AS m UNION ALL "
+                   "SELECT timestamp_ntz'9999-09-30 23:59:59' UNION ALL "
+                   "SELECT CAST('+10000-01-01 00:00:00' AS timestamp_ntz)")
+    assert df.filter(periods.within(df.m, periods.quarter_bounds(9999, 4))).count() == 1
 
 
 def test_period_status_column(spark):
