@@ -146,13 +146,15 @@ def _compare(tile: pa.Table, percent: int,
 
 
 def _tiles(entries: DataFrame) -> DataFrame:
-    """Light rows of all tiles.  A shingle that only two sets share makes one tile; the others a
-    tile for every two neighbouring size bands: rows of the upper band are at ``home``, rows of
-    the lower are compared with them.  A tile of more than about TILE_ROWS rows is a grid: a row
-    goes with its block to the meeting with each block."""
-    pairs = entries.filter("sharing = 2").select(
-        "key", "node", "n", F.lit(-1).alias("tile_band"), F.lit(True).alias("home"),
-        F.lit(1).alias("blocks"))
+    """Light rows of all tiles.  Shingles that only two sets share make one tile for all that
+    these two share; the others a tile for every two neighbouring size bands: rows of the upper
+    band are at ``home``, rows of the lower are compared with them.  A tile of more than about
+    TILE_ROWS rows is a grid: a row goes with its block to the meeting with each block."""
+    pairs = (entries.filter("sharing = 2").groupBy("key")
+             .agg(F.min("node").alias("a"), F.max("node").alias("b")).select("a", "b").distinct())
+    pairs = pairs.select(
+        F.xxhash64("a", "b").alias("tile"), F.explode(F.array("a", "b")).alias("node"),
+        F.lit(True).alias("home"), F.lit(0).alias("block"), F.lit(True).alias("diagonal"))
     more = (entries.filter("sharing > 2")
             .withColumn("tile_band", F.explode(F.array("band", F.col("band") + 1)))
             .withColumn("home", F.col("tile_band") == F.col("band")))
@@ -160,14 +162,13 @@ def _tiles(entries: DataFrame) -> DataFrame:
         F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).cast("int").alias("blocks"),
         F.count(F.lit(1)).alias("rows"), F.count_if("home").alias("at_home"))
     more = more.join(counts.filter("rows > 1 AND at_home > 0"), ["key", "tile_band"])
-    placed = pairs.unionByName(more.select(*pairs.columns))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = placed.withColumn("block", block).withColumn(
+    more = more.withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return placed.select(
+    return pairs.unionByName(more.select(
         F.xxhash64("key", "tile_band", F.least("block", "other"),
                    F.greatest("block", "other")).alias("tile"),
-        "node", "n", "home", "block", (F.col("block") == F.col("other")).alias("diagonal"))
+        "node", "home", "block", (F.col("block") == F.col("other")).alias("diagonal")))
 
 
 def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, nearest: bool) -> DataFrame:
@@ -237,7 +238,7 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
               .filter(f"sharing > 2 OR sharing = 2 AND 100L * small >= {percent}L * large"))
     entries = materialise(entries.join(shared.select("key", "sharing"), "key"), "shared-prefixes")
     tiles = _tiles(entries)
-    bitmaps = nodes.select("node", "bits", F.col("node").alias("component"))
+    bitmaps = nodes.select("node", "n", "bits", F.col("node").alias("component"))
     found = materialise(_candidates(tiles, bitmaps, percent, True), "first-pairs")
     pairs, crowded = found.filter("b IS NOT NULL"), found.filter("b IS NULL").select(F.col("a").alias("tile"))
     # every node with any candidate is in one of these pairs, so the sets serve both rounds
@@ -261,7 +262,7 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     links = materialise(_verified(pairs, sets, percent), "links")
     labels = materialise(connected(links), "components")
     if not crowded.isEmpty():
-        bitmaps = nodes.select("node", "bits").join(labels, "node", "left").withColumn(
+        bitmaps = nodes.select("node", "n", "bits").join(labels, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
         again = _candidates(tiles.join(crowded, "tile", "left_semi"), bitmaps, percent, False)
         more = materialise(_verified(again, sets, percent), "more-links")
