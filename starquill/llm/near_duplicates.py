@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starquill.llm.common import WordHashes, lists_of, runs, schema_with, texts_of, whole_groups
+from starquill.llm.common import (WordHashes, lists_of, mix, runs, schema_with, texts_of,
+                                  whole_groups)
 from starquill.llm.components import connected
 from starquill.operators.rows import first_per_key
 from starquill.session import materialise
@@ -32,6 +33,8 @@ from starquill.session import materialise
 TILE_ROWS = 1024
 CROWDED = 2
 LEAST_BITS = 128
+DEALT_KEYS = 1 << 20
+CHUNK = 2048
 
 _hashes = WordHashes()
 
@@ -145,17 +148,135 @@ def _compare(tile: pa.Table, percent: int,
             np.unique(key[crowded[number]]))
 
 
-def _tiles(entries: DataFrame) -> DataFrame:
+def _planes(numbers: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then their next bytes and so on: equal bytes stand
+    together, so they compress."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _numbers(planes: list[bytes], kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.concatenate([np.empty(0, kind), *(
+        np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(width, -1).T).view(kind).ravel()
+        for p in planes)])
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of each run of equal values."""
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:len(key)])
+    return starts, np.diff(np.r_[starts, len(key)])
+
+
+_DEALT = "bucket long, keys binary, nodes binary, sizes binary, weights binary"
+
+
+def _deal(nodes: list[pa.RecordBatch], buckets: int) -> pa.RecordBatch:
+    """The prefix shingles of some nodes, a row per bucket of keys.  A key that more than two of
+    them share is sent once, with a weight that says so; its entries, already known to be
+    shared, go in rows of their own with a bucket below 0."""
+    table = pa.Table.from_batches(nodes)
+    keys, at = lists_of(table.column("prefix").combine_chunks())
+    key = mix(keys.view(np.uint64))  # a prefix holds small hashes; these are spread evenly
+    row = np.repeat(np.arange(len(table)), np.diff(at))
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[order]
+    node, n = table.column("node").to_numpy()[row], table.column("n").to_numpy()[row]
+    starts, lengths = _groups(key)
+    count = np.repeat(lengths, lengths)
+    first = np.zeros(len(key), bool)
+    first[starts] = True
+    rows = []
+
+    def pack(bucket: int, part: np.ndarray) -> None:
+        rows.append((bucket, _planes(key[part]), _planes(node[part]), _planes(n[part]),
+                     np.where(count[part] > 2, 3, 1).astype(np.uint8).tobytes()))
+
+    sent = np.flatnonzero((count <= 2) | first)
+    bucket = ((key[sent] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    for start, length in zip(*_groups(bucket)):
+        pack(int(bucket[start]), sent[start:start + length])
+    known = np.flatnonzero(count > 2)
+    for start in range(0, len(known), CHUNK):
+        part = known[start:start + CHUNK]
+        pack(-1 - int(key[part[0]] >> np.uint64(32)), part)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(
+            zip(*rows) if rows else [[]] * 5, [pa.int64(), *[pa.binary()] * 4])],
+        names=["bucket", "keys", "nodes", "sizes", "weights"])
+
+
+def _shared(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """What whole buckets share: an entry ``key``, ``node``, ``n`` per set for a key of more than
+    two sets, and ``node``, ``partner`` for two sets that may be similar and alone share a key."""
+    key, node, n, weight = (_numbers(rows.column(c).to_pylist(), kind) for c, kind in (
+        ("keys", np.uint64), ("nodes", np.int64), ("sizes", np.int32), ("weights", np.uint8)))
+    known = np.repeat(rows.column("bucket").to_numpy() < 0,
+                      [len(w) for w in rows.column("weights").to_pylist()])
+    counted = np.flatnonzero(~known)
+    counted = counted[np.argsort(key[counted], kind="stable")]
+    starts, lengths = _groups(key[counted])
+    total = np.add.reduceat(weight[counted].astype(np.int64), starts) if len(starts) else lengths
+    more = np.r_[np.flatnonzero(known),
+                 counted[(np.repeat(total, lengths) > 2) & (weight[counted] == 1)]]
+    i = starts[total == 2]
+    i, j = counted[i], counted[i + 1]
+    near = (100 * np.minimum(n[i], n[j]).astype(np.int64)
+            >= percent * np.maximum(n[i], n[j]).astype(np.int64))
+    x, y = node[i[near]], node[j[near]]
+    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    absent = [None] * pairs.shape[1]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([*key[more].view(np.int64).tolist(), *absent], pa.int64()),
+         pa.array(np.r_[node[more], pairs[0]], pa.int64()),
+         pa.array([*n[more].tolist(), *absent], pa.int32()),
+         pa.array([*[None] * len(more), *pairs[1].tolist()], pa.int64())],
+        names=["key", "node", "n", "partner"])
+
+
+def _shared_prefixes(nodes: DataFrame, percent: int) -> DataFrame:
+    """The prefix shingles that more than one node has, as ``_shared`` gives them.
+
+    One shuffle: each task sends, for many nodes together, one row per bucket of keys, with the
+    numbers side by side, sorted and compressible.  Of a key, however many nodes share it, a
+    bucket gets two entries at most from about DEALT_KEYS."""
+    spark = nodes.sparkSession
+    # some to a partition, so that partitions are of about equal size
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, keys = [], 0
+        for batch in batches:
+            held.append(batch)
+            keys += len(batch.column("prefix").flatten())
+            if keys >= DEALT_KEYS:
+                yield _deal(held, buckets)
+                held, keys = [], 0
+        if keys:
+            yield _deal(held, buckets)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "bucket"):
+            yield _shared(rows, percent)
+
+    return (nodes.select("node", "n", "prefix").mapInArrow(deal, _DEALT)
+            .repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(gather, "key long, node long, n int, partner long"))
+
+
+def _tiles(entries: DataFrame, percent: int) -> DataFrame:
     """Light rows of all tiles.  Shingles that only two sets share make one tile for all that
     these two share; the others a tile for every two neighbouring size bands: rows of the upper
     band are at ``home``, rows of the lower are compared with them.  A tile of more than about
     TILE_ROWS rows is a grid: a row goes with its block to the meeting with each block."""
-    pairs = (entries.filter("sharing = 2").groupBy("key")
-             .agg(F.min("node").alias("a"), F.max("node").alias("b")).select("a", "b").distinct())
+    pairs = (entries.filter("partner IS NOT NULL")
+             .select(F.col("node").alias("a"), F.col("partner").alias("b")).distinct())
     pairs = pairs.select(
         F.xxhash64("a", "b").alias("tile"), F.explode(F.array("a", "b")).alias("node"),
         F.lit(True).alias("home"), F.lit(0).alias("block"), F.lit(True).alias("diagonal"))
-    more = (entries.filter("sharing > 2")
+    # a little wider than the ratio, so that rounding can't part two linked sizes by two bands
+    width = max(math.log(100 / percent), 0.01) * 1.000001
+    band = F.floor(F.log("n") / F.lit(width)).cast("int")
+    more = (entries.filter("partner IS NULL").select("key", "node", band.alias("band"))
             .withColumn("tile_band", F.explode(F.array("band", F.col("band") + 1)))
             .withColumn("home", F.col("tile_band") == F.col("band")))
     counts = more.groupBy("key", "tile_band").agg(
@@ -228,16 +349,7 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     nodes = first_per_key(light.filter("n > 0"), ["digest"],
                           [F.col("doc_id").asc_nulls_last(), F.col("text_hash")])
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    # a little wider than the ratio, so that rounding can't part two linked sizes by two bands
-    width = max(math.log(100 / percent), 0.01) * 1.000001
-    band = F.floor(F.log("n") / F.lit(width)).cast("int").alias("band")
-    entries = nodes.select("node", "n", band, F.explode("prefix").alias("key"))
-    # counted in the tasks first, so a key that very many sets share is a row per task
-    shared = (entries.groupBy("key")
-              .agg(F.count(F.lit(1)).alias("sharing"), F.min("n").alias("small"), F.max("n").alias("large"))
-              .filter(f"sharing > 2 OR sharing = 2 AND 100L * small >= {percent}L * large"))
-    entries = materialise(entries.join(shared.select("key", "sharing"), "key"), "shared-prefixes")
-    tiles = _tiles(entries)
+    tiles = _tiles(materialise(_shared_prefixes(nodes, percent), "shared-prefixes"), percent)
     bitmaps = nodes.select("node", "n", "bits", F.col("node").alias("component"))
     found = materialise(_candidates(tiles, bitmaps, percent, True), "first-pairs")
     pairs, crowded = found.filter("b IS NOT NULL"), found.filter("b IS NULL").select(F.col("a").alias("tile"))

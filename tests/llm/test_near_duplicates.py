@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +125,44 @@ def test_bitmaps_bound_the_difference():
         assert (len(a) + len(b) - apart) // 2 >= len(np.intersect1d(a, b))
 
 
+@pytest.mark.parametrize("parts, buckets, percent", [(1, 1, 85), (4, 7, 80), (30, 64, 50)])
+def test_shared_prefixes(parts, buckets, percent):
+    rng = np.random.default_rng(parts)
+    hot = rng.integers(0, 2**63, 40).astype(np.int64)
+    nodes = []
+    for node in range(120):
+        own = rng.integers(-2**63, 2**63, rng.integers(0, 9), dtype=np.int64)
+        prefix = np.unique(np.r_[own, rng.choice(hot, rng.integers(0, 4)), hot[:node % 3 == 0]])
+        nodes.append((node << 33, int(rng.integers(1, 60)), prefix.tolist()))
+    schema = pa.schema({"node": pa.int64(), "n": pa.int32(), "prefix": pa.list_(pa.int64())})
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in nodes[i::parts]], schema)
+               for i in range(parts)]
+    dealt = pa.Table.from_batches([near_duplicates._deal([b], buckets) for b in batches])
+    got = near_duplicates._shared(dealt.sort_by("bucket"), percent).to_pylist()
+    holders = {}
+    for node, n, prefix in nodes:
+        for key in prefix:
+            holders.setdefault(key, []).append((node, n))
+    more = Counter(frozenset(h) for h in holders.values() if len(h) > 2)
+    pairs = {tuple(sorted(node for node, _ in h)) for h in holders.values()
+             if len(h) == 2 and 100 * min(h[0][1], h[1][1]) >= percent * max(h[0][1], h[1][1])}
+    found = {}
+    for row in got:
+        if row["partner"] is None:
+            found.setdefault(row["key"], []).append((row["node"], row["n"]))
+    assert all(len(set(h)) == len(h) for h in found.values())
+    assert Counter(map(frozenset, found.values())) == more
+    assert {(r["node"], r["partner"]) for r in got if r["partner"] is not None} == pairs
+
+
+def test_nothing_to_deal():
+    batch = pa.RecordBatch.from_pydict({"node": pa.array([5], pa.int64()), "n": pa.array([0], pa.int32()),
+                                        "prefix": pa.array([[]], pa.list_(pa.int64()))})
+    dealt = near_duplicates._deal([batch], 4)
+    assert dealt.num_rows == 0
+    assert near_duplicates._shared(pa.Table.from_batches([dealt]), 80).num_rows == 0
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = random.Random(seed)
