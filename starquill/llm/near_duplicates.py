@@ -9,8 +9,9 @@ pairs that may reach the threshold are verified on the sorted arrays of shingle
 
 A group of copies is not turned into all its pairs.  The first round takes all pairs of a tile
 that may reach the threshold only if they are at most CROWDED per row, and else, for each node, the
-most promising partner.  The second round goes through the other tiles again and takes all pairs
-whose nodes are not yet connected.  No link between components can stay unseen.
+most promising partner.  The second round goes through the other tiles again, those that hold more
+than one component, and takes all pairs whose nodes are not yet connected; its bitmaps are
+longer, because sets just below the threshold are what such tiles are left with.  No link between components can stay unseen.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from starquill.session import materialise
 TILE_ROWS = 1024
 CROWDED = 2
 LEAST_BITS = 128
+WIDER = 8
 DEALT_KEYS = 1 << 20
 CHUNK = 2048
 
@@ -55,12 +57,12 @@ def prefix_size(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
+def bitmap(hashes: np.ndarray, times: int = 1) -> bytes:
     """A bit per bucket of hashes, the parity of its count.  Sets of one size class have bitmaps
-    of equal length, half a bit to one bit per member; a longer one folds to a shorter.  Bitmaps
-    of unrelated sets differ in about half their bits, a quarter of a member or more, where
-    similar sets differ in less."""
-    bits = max(LEAST_BITS, 1 << (len(hashes) - 1).bit_length() >> 1)
+    of equal length, half a bit to one bit per member (or ``times`` as many, a power of two); a
+    longer one folds to a shorter.  Bitmaps of unrelated sets differ in about half their bits, a
+    quarter of a member or more, where similar sets differ in less."""
+    bits = max(LEAST_BITS, (1 << (len(hashes) - 1).bit_length()) * times >> 1)
     counts = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts.astype(np.uint8) & 1).tobytes()
 
@@ -312,6 +314,29 @@ def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, nearest: boo
             .mapInArrow(compare, "a long, b long").distinct())
 
 
+def _wide_bitmaps(sets: DataFrame) -> DataFrame:
+    """Bitmaps long enough to tell sets just below the threshold from those above it."""
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, at = lists_of(batch.column("hashes"))
+            values = values.view(np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(np.diff(at), pa.int32()),
+                 pa.array([bitmap(values[i:j], WIDER) for i, j in zip(at[:-1], at[1:])],
+                          pa.binary())], names=["node", "n", "bits"])
+
+    return sets.mapInArrow(draw, "node long, n int, bits binary")
+
+
+def _open_tiles(tiles: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the tiles that hold nodes of more than one component."""
+    several = (tiles.join(labels, "node", "left")
+               .withColumn("component", F.coalesce("component", "node")).groupBy("tile")
+               .agg(F.min("component").alias("least"), F.max("component").alias("last"))
+               .filter("least < last").select("tile"))
+    return tiles.join(several, "tile", "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that are similar, by intersecting their sorted hashes."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")), "a")
@@ -356,8 +381,6 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     # every node with any candidate is in one of these pairs, so the sets serve both rounds
     members = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))).distinct()
-    # written first, so its size is known: texts are moved to it only where it is too large to
-    # be sent to them
     wanted = materialise(nodes.select("node", *_document_key(F.col("doc_id"), F.col("text_hash")))
                          .join(members, "node"), "wanted")
     bodies = docs.select("text", *_document_key(F.col("doc_id"), F.col("text_hash")))
@@ -374,9 +397,10 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     links = materialise(_verified(pairs, sets, percent), "links")
     labels = materialise(connected(links), "components")
     if not crowded.isEmpty():
-        bitmaps = nodes.select("node", "n", "bits").join(labels, "node", "left").withColumn(
+        bitmaps = _wide_bitmaps(sets).join(labels, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
-        again = _candidates(tiles.join(crowded, "tile", "left_semi"), bitmaps, percent, False)
+        open_tiles = _open_tiles(tiles.join(crowded, "tile", "left_semi"), labels)
+        again = _candidates(open_tiles, bitmaps, percent, False)
         more = materialise(_verified(again, sets, percent), "more-links")
         labels = materialise(connected(links.unionByName(more)), "components")
     named = nodes.select("node", "digest", "doc_id", "text_hash").join(labels, "node", "left")

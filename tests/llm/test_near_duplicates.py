@@ -113,12 +113,13 @@ def test_no_documents(spark):
     assert near_duplicates.distinct_documents(docs).count() == 0
 
 
-def test_bitmaps_bound_the_difference():
+@pytest.mark.parametrize("times", [1, near_duplicates.WIDER])
+def test_bitmaps_bound_the_difference(times):
     rng = np.random.default_rng(2)
     for n in (1, 30, 200, 700, 3000):
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
         b = np.unique(np.r_[a[: n // 2], rng.integers(0, 2**63, n // 3 + 1).astype(np.uint64)])
-        x, y = (np.frombuffer(near_duplicates.bitmap(s), np.uint64) for s in (a, b))
+        x, y = (np.frombuffer(near_duplicates.bitmap(s, times), np.uint64) for s in (a, b))
         size = min(len(x), len(y))
         x, y = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (x, y))
         apart = int(np.bitwise_count(x ^ y).sum())
