@@ -391,7 +391,8 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
 
-    sets = (bodies.join(wanted, ["_ka", "_kb"]).select("node", "text").dropDuplicates(["node"])
+    # the wanted nodes grow with the input: moved by their keys at every size
+    sets = (bodies.join(wanted.hint("merge"), ["_ka", "_kb"]).select("node", "text").dropDuplicates(["node"])
             .mapInArrow(hash_all, "node long, hashes array<long>"))
     sets = materialise(sets, "sets")
     links = materialise(_verified(pairs, sets, percent), "links")
