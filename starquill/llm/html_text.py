@@ -34,14 +34,18 @@ IMPLIED_END = {
     "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "option": ({"option"}, {"select", "datalist"}),
     "optgroup": ({"option", "optgroup"}, {"select"}),
-    "tr": ({"tr", "td", "th", "caption"}, {"table"}),
-    "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
-    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
-    "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
+    "tr": ({"tr", "td", "th", "caption"}, {"table", "template"}),
+    "td": ({"td", "th"}, {"tr", "table", "template"}), "th": ({"td", "th"}, {"tr", "table", "template"}),
+    "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table", "template"}),
+    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table", "template"}),
+    "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table", "template"}),
     "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
 }
-TABLE_PARTS = frozenset("table caption thead tbody tfoot tr td th body html".split())
+SECTIONS = frozenset("thead tbody tfoot".split())
+# a start tag of a table's part closes all that is open in the table but these
+PART_OF = {"tr": SECTIONS, "td": SECTIONS | {"tr"}, "th": SECTIONS | {"tr"},
+           **dict.fromkeys("caption colgroup col thead tbody tfoot".split(), frozenset())}
+TABLE_PARTS = frozenset("table caption thead tbody tfoot tr td th body html template".split())
 IN_HEAD = frozenset("base link meta script style title template noscript".split())
 
 _MARKUP = re.compile(
@@ -95,6 +99,11 @@ def parse(html: str) -> Element:
         if cut:
             del open_[cut:]
 
+    def part_of(names: frozenset[str]) -> None:
+        if any(e.name == "table" for e in open_):
+            while open_[-1].name not in names:
+                open_.pop()
+
     def text(part: str) -> None:
         if part:
             if open_[-1].name == "head" and part.strip():
@@ -123,6 +132,8 @@ def parse(html: str) -> Element:
             close({"p"}, {"td", "th", "table", "button", "li", "div", "article", "section", "body"})
         if name in IMPLIED_END:
             close(*IMPLIED_END[name])
+        if name in PART_OF:
+            part_of(PART_OF[name] | {"table", "template"})
         open_[-1].children.append(element)
         if name in RAW:
             end = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.IGNORECASE).search(html, at)
@@ -130,6 +141,8 @@ def parse(html: str) -> Element:
             body = html[at:stop]
             element.children.append(unescape(body) if name in ("textarea", "title") else body)
             at = end.end() if end else len(html)
+        elif name == "form" and (open_[-1].name in SECTIONS or open_[-1].name in ("table", "tr")):
+            pass  # stays empty, as its rows are the table's
         elif name not in VOID and len(open_) < DEPTH:
             open_.append(element)
     text(html[at:])
@@ -267,52 +280,69 @@ def _list(element: Element) -> Block:
     return page.whole(True)
 
 
-def _rows(element: Element) -> Iterator[Element]:
-    """Rows of a table, the head first and the foot last; cells outside a row make one."""
-    parts: dict[str, list[Element]] = {"thead": [], "tbody": [], "tfoot": []}
-    for child in element.children:
-        if isinstance(child, Element) and child.visible():
-            if child.name in parts:
-                parts[child.name] += _rows(child)
+def _parts(table: Element) -> tuple[list[Element], list[list[Element | str]]]:
+    """Rows of a table, the head first and the foot last, where cells outside a row make one; and
+    runs of what stands neither in a cell nor in a nested part: captions and stray content."""
+    rows: dict[str, list[Element]] = {"thead": [], "tbody": [], "tfoot": []}
+    stray: list[list[Element | str]] = [[]]
+
+    def row(cells: Element) -> Element:
+        kept = Element("tr")
+        for child in cells.children:
+            if isinstance(child, str) or child.name not in ("td", "th"):
+                stray[-1].append(child)
+            else:
+                stray.append([])
+                if child.visible():
+                    kept.children.append(child)
+        stray.append([])
+        return kept
+
+    def part(element: Element, section: str) -> None:
+        loose = None  # row of cells that have none
+        for child in element.children:
+            if isinstance(child, str) or child.name not in PART_OF or child.name == "caption":
+                stray[-1].append(child)
+                continue
+            stray.append([])
+            if not child.visible():
+                continue
+            if child.name in SECTIONS or child.name == "colgroup":
+                part(child, section if child.name == "colgroup" else child.name)
+                stray.append([])
             elif child.name == "tr":
-                parts["tbody"].append(child)
+                rows[section].append(row(child))
             elif child.name in ("td", "th"):
-                if not parts["tbody"] or parts["tbody"][-1].name != "cells":
-                    parts["tbody"].append(Element("cells"))
-                parts["tbody"][-1].children.append(child)
-    for rows in parts.values():
-        yield from rows
+                if loose is None:
+                    loose = Element("tr")
+                    rows[section].append(loose)
+                loose.children.append(child)
+                continue
+            loose = None
+
+    part(table, "tbody")
+    return [r for section in rows.values() for r in section], stray
 
 
 def _table(element: Element) -> Block:
     """Captions and stray content, then the rows with cells padded to the width of their column.
     A cell may have several lines; it spans columns and rows as its attributes say."""
     page = Page()
-    for child in element.children:
-        if isinstance(child, str):
-            page.text(child)
-        elif child.visible() and child.name not in ("thead", "tbody", "tfoot", "tr", "td", "th",
-                                                    "colgroup", "col"):
-            page.block(_block(child if child.name in BLOCK else Element("div", {}, [child])))
-    page.end_line()
+    rows, stray = _parts(element)
+    for run in stray:
+        page.block(_block(Element("div", {}, run)))
     grid: list[dict[int, tuple[int, list[str]]]] = []
     held: dict[int, int] = {}  # rows for which a column is still taken from above
-    for row in _rows(element):
+    for row in rows:
         cells: dict[int, tuple[int, list[str]]] = {}
         taken = {c for c, n in held.items() if n > 0}
         held = {c: n - 1 for c, n in held.items() if n > 1}
         column = 0
         for cell in row.children:
-            if not isinstance(cell, Element) or not cell.visible():
-                if isinstance(cell, str) and cell.strip():
-                    page.block(Block([" ".join(cell.split())]))
-                continue
             while column in taken:
                 column += 1
             span, down = cell.number("colspan", 1, 1000), cell.number("rowspan", 1, 65534)
-            if cell.name not in ("td", "th"):
-                span = down = 1
-            lines = _block(cell if cell.name in BLOCK else Element("div", {}, [cell])).lines
+            lines = _block(cell).lines
             cells[column] = span, [line for line in lines if line]
             for c in range(column, column + span):
                 if down > 1:

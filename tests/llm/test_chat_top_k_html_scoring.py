@@ -195,6 +195,25 @@ def test_layout(page, text):
     assert html_text.visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><tbody><form><tr><td>a</td></tr></form></tbody></table>", "a"),
+    ("<table><form><tr><td>a<td>b</tr></form><tr><td>cc<td>d</table>", "a   b\ncc  d"),
+    ("<table><tr><form><td>a<td>b</form><tr><td>cc<td>d</table>", "a   b\ncc  d"),
+    ("<table><tbody>loose<tr><td>a</td></tr>more</tbody></table>", "loose\nmore\na"),
+    ("<table><tbody><div>x</div><b>y</b> z<tr><td>a</table>", "x\ny z\na"),
+    ("<table><thead><tr><td>h<tbody><caption>c</caption><tr><td>a</table>", "c\nh\na"),
+    ("<table><tbody><div><span><tr><td>a</td><td>b</td></tr></span></div></table>", "a  b"),
+    ("<table><tfoot><tr><td>f</tfoot>s<tbody><tr>t<td>a</table>u", "s\nt\na\nf\n\nu"),
+    ("<table><colgroup><col><col><tr><td>a<td>b</table>", "a  b"),
+    ("<table><colgroup>s<tbody><td>a<td>b</table>", "s\na  b"),
+    ("<table><tbody hidden>no<tr><td>no</tbody><tr hidden><td>no<tr><td>a</table>", "a"),
+    ("<table><tr><td>a<template><tr><td>no</template><td>b</table>", "a  b"),
+    ("<table><tbody><p hidden>no</p><script>no</script><tr><td>a</table>", "a"),
+])
+def test_tables_keep_stray_content(page, text):
+    assert html_text.visible_text(page) == text
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     rows = [(1, None), (2, ""), (None, "<p>x"), (3, deep), (3, deep), (4, "<td>" * 3000 + "y"),
