@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from html import unescape
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,8 +16,8 @@ from pyspark.sql import functions as F
 
 from starquill.llm.common import schema_with
 
-DEPTH = 150  # of the tree; deeper elements become children of the last level
-GAP = "  "   # between table cells
+GAP = "  "           # between table cells
+INDENT = " " * 300   # lines that begin with it are not indented further
 
 # rules of the HTML standard that the layout needs
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -48,11 +50,13 @@ PART_OF = {"tr": SECTIONS, "td": SECTIONS | {"tr"}, "th": SECTIONS | {"tr"},
 TABLE_PARTS = frozenset("table caption thead tbody tfoot tr td th body html template".split())
 IN_HEAD = frozenset("base link meta script style title template noscript".split())
 
+# a quote opens a value only behind the equals sign; elsewhere it is part of a name or value
+_VALUE = r"[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^ \t\n\r\f>\"'][^ \t\n\r\f>]*+))?+"
+_ATTRIBUTE = re.compile(r"([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)(?:" + _VALUE + ")?+")
 _MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)",
-    re.DOTALL)
-_ATTRIBUTE = re.compile(r"([^\s/=>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^ \t\n\r\f/>]*+)(?P<rest>(?:[ \t\n\r\f/]++|"
+    + _ATTRIBUTE.pattern + r")*+)(?:>|\Z)", re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 
@@ -86,28 +90,39 @@ def parse(html: str) -> Element:
     an open element is dropped; elements that are open at the end are closed."""
     root = Element("html")
     open_: list[Element] = [root]
+    places: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements, by name
+
+    def push(element: Element) -> None:
+        places[element.name].append(len(open_))
+        open_.append(element)
+
+    def cut(depth: int) -> None:
+        while len(open_) > depth:
+            places[open_.pop().name].pop()
+
+    def last(names: set[str] | frozenset[str]) -> int:
+        return max((places[n][-1] for n in names if places[n]), default=0)
 
     def close(names: set[str], until: set[str], innermost: bool = False) -> None:
-        cut = 0
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i].name in names:
-                cut = i
-                if innermost:
-                    break
-            elif open_[i].name in until:
-                break
-        if cut:
-            del open_[cut:]
+        if not any(places[n] for n in names):
+            return
+        least = last(until)
+        if innermost:
+            depths = [last(names)]
+        else:
+            depths = [places[n][bisect_right(places[n], least)] for n in names
+                      if places[n] and places[n][-1] > least]
+        if depths and min(depths) > least:
+            cut(min(depths))
 
     def part_of(names: frozenset[str]) -> None:
-        if any(e.name == "table" for e in open_):
-            while open_[-1].name not in names:
-                open_.pop()
+        if places["table"]:
+            cut(last(names) + 1)
 
     def text(part: str) -> None:
         if part:
             if open_[-1].name == "head" and part.strip():
-                open_.pop()
+                cut(len(open_) - 1)
             open_[-1].children.append(unescape(part) if "&" in part else part)
 
     at = 0
@@ -124,10 +139,10 @@ def parse(html: str) -> Element:
                 close({name}, set() if name in TABLE_PARTS else {"td", "th", "table"}, True)
             continue
         element = Element(name, _attributes(m["rest"]) if m["rest"] else {})
-        if name in ("html", "body") and (name == "html" or any(e.name == "body" for e in open_)):
+        if name in ("html", "body") and (name == "html" or places["body"]):
             continue
         if open_[-1].name == "head" and name not in IN_HEAD:
-            open_.pop()
+            cut(len(open_) - 1)
         if name in CLOSES_P:
             close({"p"}, {"td", "th", "table", "button", "li", "div", "article", "section", "body"})
         if name in IMPLIED_END:
@@ -143,8 +158,8 @@ def parse(html: str) -> Element:
             at = end.end() if end else len(html)
         elif name == "form" and (open_[-1].name in SECTIONS or open_[-1].name in ("table", "tr")):
             pass  # stays empty, as its rows are the table's
-        elif name not in VOID and len(open_) < DEPTH:
-            open_.append(element)
+        elif name not in VOID:
+            push(element)
     text(html[at:])
     return root
 
@@ -187,7 +202,10 @@ class Page:
                 self.lines.append("")
             self.lead |= self.gap and not self.lines
             self.gap = False
-            self.lines += lines
+            if self.lines:
+                self.lines += lines
+            else:
+                self.lines = lines
 
     def block(self, block: Block) -> None:
         self.end_line()
@@ -201,7 +219,25 @@ class Page:
         return Block(self.lines, spaced or self.lead, spaced or self.gap)
 
 
-def _flow(page: Page, element: Element) -> None:
+# Elements may be nested as deep as a page is long, so the functions of the layout don't call
+# each other: they yield the layout of a child, and get its result back.
+Steps = Generator["Steps", Any, Any]
+
+
+def _run(steps: Steps) -> Any:
+    """The result of a layout function."""
+    stack, result = [steps], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(result))
+            result = None
+        except StopIteration as end:
+            stack.pop()
+            result = end.value
+    return result
+
+
+def _flow(page: Page, element: Element) -> Steps:
     for child in element.children:
         if isinstance(child, str):
             page.text(child)
@@ -213,17 +249,17 @@ def _flow(page: Page, element: Element) -> None:
         elif not child.visible():
             continue
         elif child.name in BLOCK or child.name == "textarea":
-            page.block(_block(child))
+            page.block((yield _block(child)))
         else:
-            _flow(page, child)
+            yield _flow(page, child)
 
 
-def _block(element: Element) -> Block:
+def _block(element: Element) -> Steps:
     """The lines of a block element."""
     if element.name == "table":
-        return _table(element)
+        return (yield _table(element))
     if element.name in ("ul", "ol", "menu", "dir"):
-        return _list(element)
+        return (yield _list(element))
     if element.name in ("pre", "textarea", "xmp"):
         lines = _verbatim(element).removeprefix("\n").expandtabs(8).split("\n")
         while lines and not lines[-1].strip():
@@ -232,32 +268,35 @@ def _block(element: Element) -> Block:
         return Block([line.rstrip() for line in lines], spaced, spaced)
     if element.name == "details" and "open" not in element.attributes:
         shown = next((c for c in element.children if isinstance(c, Element) and c.name == "summary"), None)
-        return _block(shown) if shown and shown.visible() else Block([])
+        return (yield _block(shown)) if shown and shown.visible() else Block([])
     page = Page()
-    _flow(page, element)
+    yield _flow(page, element)
     block = page.whole(element.name in SPACED)
     if element.name in ("dd", "blockquote"):
         return block._replace(lines=_indented(block.lines))
     return block
 
 
-def _indented(lines: list[str]) -> list[str]:
-    return ["  " + line if line else line for line in lines]
+def _indented(lines: list[str], by: str = "  ") -> list[str]:
+    return [by + line if line and not line.startswith(INDENT) else line for line in lines]
 
 
 def _verbatim(element: Element) -> str:
-    parts = []
-    for child in element.children:
-        if isinstance(child, str):
+    parts, left = [], [iter(element.children)]
+    while left:
+        child = next(left[-1], None)
+        if child is None:
+            left.pop()
+        elif isinstance(child, str):
             parts.append(child.replace("\r\n", "\n").replace("\r", "\n"))
         elif child.name == "br":
             parts.append("\n")
         elif child.visible():
-            parts.append(_verbatim(child))
+            left.append(iter(child.children))
     return "".join(parts)
 
 
-def _list(element: Element) -> Block:
+def _list(element: Element) -> Steps:
     """Items behind a dash or their number; nested lists are indented below their item."""
     page = Page()
     number = element.number("start", -10**8, 10**8)
@@ -270,13 +309,13 @@ def _list(element: Element) -> Block:
             number = child.number("value", -10**8, 10**8, number)
             mark = f"{number}. " if element.name == "ol" else "- "
             number += 1
-            lines = [line for line in _block(child).lines if line]
-            page.block(Block([(mark if i == 0 else " " * len(mark)) + line
-                              for i, line in enumerate(lines)]))
+            lines = [line for line in (yield _block(child)).lines if line]
+            page.block(Block([*(mark + line for line in lines[:1]),
+                              *_indented(lines[1:], " " * len(mark))]))
         elif child.name in BLOCK:
-            page.block(Block(_indented(_block(child).lines)))
+            page.block(Block(_indented((yield _block(child)).lines)))
         else:
-            _flow(page, child)
+            yield _flow(page, child)
     return page.whole(True)
 
 
@@ -324,13 +363,13 @@ def _parts(table: Element) -> tuple[list[Element], list[list[Element | str]]]:
     return [r for section in rows.values() for r in section], stray
 
 
-def _table(element: Element) -> Block:
+def _table(element: Element) -> Steps:
     """Captions and stray content, then the rows with cells padded to the width of their column.
     A cell may have several lines; it spans columns and rows as its attributes say."""
     page = Page()
     rows, stray = _parts(element)
     for run in stray:
-        page.block(_block(Element("div", {}, run)))
+        page.block((yield _block(Element("div", {}, run))))
     grid: list[dict[int, tuple[int, list[str]]]] = []
     held: dict[int, int] = {}  # rows for which a column is still taken from above
     for row in rows:
@@ -342,7 +381,7 @@ def _table(element: Element) -> Block:
             while column in taken:
                 column += 1
             span, down = cell.number("colspan", 1, 1000), cell.number("rowspan", 1, 65534)
-            lines = _block(cell).lines
+            lines = (yield _block(cell)).lines
             cells[column] = span, [line for line in lines if line]
             for c in range(column, column + span):
                 if down > 1:
@@ -374,7 +413,7 @@ def _table(element: Element) -> Block:
 
 def visible_text(html: str) -> str:
     """All visible text of a page, see ``extract``."""
-    return "\n".join(_block(parse(html)).lines)
+    return "\n".join(_run(_block(parse(html))).lines)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

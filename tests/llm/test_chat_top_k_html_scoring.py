@@ -214,6 +214,38 @@ def test_tables_keep_stray_content(page, text):
     assert html_text.visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<a href="x"">link</a><b class="y">z', "linkz"), ("<a title=don't>text</a> it's", "text it's"),
+    ("<p a='>' b = \">\" c=x>y", "y"), ('<p "a>b" c>d', 'b" c>d'), ("<p =\"x>y\">z", 'y">z'),
+    ("<p a=>b", "b"), ("<p a=b'c'>d</p ' >e", "d\n\ne"), ("<p/a='b>'/>c", "c"),
+    ("<p hidden\">yes", "yes"), ("<p style='display:none'hidden>no</p>yes", "yes"),
+    ("x<b a='never ends>y", "x"), ("<a\xa0b>c", "c"),
+])
+def test_quotes_open_values_only(page, text):
+    assert html_text.visible_text(page) == text
+
+
+@pytest.mark.parametrize("tag", ["font", "b", "span", "div"])
+@pytest.mark.parametrize("deep", [10, 149, 150, 3000])
+def test_depth_changes_nothing(tag, deep):
+    page = ("<p>a<p>b<ul><li>c<li>d</ul><table><tr><td>e<td>f<tr><td>gg<td>h</table><i>i</i>"
+            f"<div hidden>no<{tag}>no</{tag}>no</div><div style='display:none'><div>no</div>no</div>"
+            "<pre>j\n  <b>k</b></pre><ol start=4><li>l</ol>m")
+    assert html_text.visible_text(f"<{tag}>" * deep + page) == html_text.visible_text(f"<{tag}>" + page)
+    assert html_text.visible_text(f"<{tag}>" * deep + f"x</{tag}>" * deep).count("x") == deep
+
+
+def test_deep_pages_end():
+    n = 20_000
+    assert html_text.visible_text("<b>" * n + "<p>x</i></p>" * n).count("x") == n
+    assert html_text.visible_text("<p><table><b>" + "<b>" * n + "x</p>" * n).count("x") == n
+    assert html_text.visible_text("<table><tr><td>" * 2000 + "x").strip() == "x"
+    assert html_text.visible_text("<pre>" + "<b>" * n + "x") == "x"
+    assert html_text.visible_text("<ul><li>x" * 2000).count("- x") == 2000
+    assert html_text.visible_text("<ul><li>" * 2000 + "x") == "- " * 2000 + "x"
+    assert html_text.visible_text("<blockquote>x" * 2000).count("x") == 2000
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     rows = [(1, None), (2, ""), (None, "<p>x"), (3, deep), (3, deep), (4, "<td>" * 3000 + "y"),
