@@ -12,6 +12,7 @@ that may reach the threshold only if they are at most CROWDED per row, and else,
 most promising partner.  The second round goes through the other tiles again, those that hold more
 than one component, and takes all pairs whose nodes are not yet connected; its bitmaps are
 longer, because sets just below the threshold are what such tiles are left with.  No link between components can stay unseen.
+That is enough for components only: ``links`` verifies the pairs of all tiles.
 """
 
 from __future__ import annotations
@@ -364,9 +365,9 @@ def _document_key(doc_id: Column, text_hash: Column) -> list[Column]:
             text_hash.alias("_kb")]
 
 
-def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Light rows of all documents, and for every node its ``component_id``, with the id and
-    text hash of the document that stands for its whole component."""
+def _prepared(docs: DataFrame, words: int,
+              percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Documents with a hash of their text, their light rows, the nodes and their tiles."""
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1 to 100")
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
@@ -375,10 +376,11 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
                           [F.col("doc_id").asc_nulls_last(), F.col("text_hash")])
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     tiles = _tiles(materialise(_shared_prefixes(nodes, percent), "shared-prefixes"), percent)
-    bitmaps = nodes.select("node", "n", "bits", F.col("node").alias("component"))
-    found = materialise(_candidates(tiles, bitmaps, percent, True), "first-pairs")
-    pairs, crowded = found.filter("b IS NOT NULL"), found.filter("b IS NULL").select(F.col("a").alias("tile"))
-    # every node with any candidate is in one of these pairs, so the sets serve both rounds
+    return docs, light, nodes, tiles
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """The sorted hashes of every node that is in one of the pairs."""
     members = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))).distinct()
     wanted = materialise(nodes.select("node", *_document_key(F.col("doc_id"), F.col("text_hash")))
@@ -394,7 +396,18 @@ def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Dat
     # the wanted nodes grow with the input: moved by their keys at every size
     sets = (bodies.join(wanted.hint("merge"), ["_ka", "_kb"]).select("node", "text").dropDuplicates(["node"])
             .mapInArrow(hash_all, "node long, hashes array<long>"))
-    sets = materialise(sets, "sets")
+    return materialise(sets, "sets")
+
+
+def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Light rows of all documents, and for every node its ``component_id``, with the id and
+    text hash of the document that stands for its whole component."""
+    docs, light, nodes, tiles = _prepared(docs, words, percent)
+    bitmaps = nodes.select("node", "n", "bits", F.col("node").alias("component"))
+    found = materialise(_candidates(tiles, bitmaps, percent, True), "first-pairs")
+    pairs, crowded = found.filter("b IS NOT NULL"), found.filter("b IS NULL").select(F.col("a").alias("tile"))
+    # every node with any candidate is in one of these pairs, so the sets serve both rounds
+    sets = _sets(docs, nodes, pairs, words)
     links = materialise(_verified(pairs, sets, percent), "links")
     labels = materialise(connected(links), "components")
     if not crowded.isEmpty():
@@ -434,6 +447,42 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return filled.unionByName(empty)
 
 
+def links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links of ``near_duplicates``: pairs of different sets, and what set each row has.
+
+    The first table has a row per link of two different sets: ``set_id`` < ``other_set``, and
+    ``doc_id`` and ``other_id``, the least ids that have them.  The second has a row per row of
+    ``docs``: ``doc_id``, ``n_shingles``, ``set_id`` and ``n_links``, its links with all other rows.
+    Rows of equal sets link with each other, and with all rows of the sets theirs is linked to, so
+    the two tables are all links; half the sum of ``n_links`` is their number.  Rows without
+    shingles have a null set and no links.  Numbers of sets hold for one call.
+
+    The pairs of every tile are verified, also within a component, so the work grows with the
+    number of links between different sets: the square of a group of near copies.
+    """
+    docs, light, nodes, tiles = _prepared(docs, words, percent)
+    bitmaps = nodes.select("node", "n", "bits", F.col("node").alias("component"))
+    pairs = materialise(_candidates(tiles, bitmaps, percent, False), "all-pairs")
+    found = materialise(_verified(pairs, _sets(docs, nodes, pairs, words), percent), "all-links")
+    sizes = light.filter("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("size"))
+    sets = materialise(nodes.select("digest", "node", "doc_id").join(sizes, "digest"), "set-sizes")
+    degrees = (found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+               .join(sets.select(F.col("node").alias("b"), "size"), "b")
+               .groupBy(F.col("a").alias("node")).agg(F.sum("size").alias("degree")))
+    linked = materialise(sets.join(degrees, "node", "left").select(
+        "digest", F.col("node").alias("set_id"),
+        (F.col("size") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links")), "set-links")
+    filled = light.filter("n > 0").join(linked, "digest").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "set_id", "n_links")
+    empty = light.filter("n = 0").select(
+        "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("set_id"),
+        F.lit(0).cast("long").alias("n_links"))
+    told = found.select(F.col("a").alias("set_id"), F.col("b").alias("other_set"))
+    told = told.join(sets.select(F.col("node").alias("set_id"), "doc_id"), "set_id").join(
+        sets.select(F.col("node").alias("other_set"), F.col("doc_id").alias("other_id")), "other_set")
+    return (told.select("set_id", "other_set", "doc_id", "other_id"), filled.unionByName(empty))
+
+
 def distinct_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component of ``near_duplicates``: the one with the least
     id (null last, then by a hash of the text).  Rows without words all stay."""

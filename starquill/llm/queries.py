@@ -28,6 +28,11 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op2_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, members = near_duplicates.links(table(spark, sf_dir, "documents"), words=4, percent=85)
+    return members.select("doc_id", "n_shingles", "n_links")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -79,7 +84,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_preference_format, op2_ngram_jaccard, op3_decontamination, op4_token_counts,
+    op1_preference_format, op2_ngram_jaccard, op2_ngram_links, op3_decontamination, op4_token_counts,
     op5_best_fit_packing, op6_exact_top_k, op7_html_text, op8_language_id, op9_lm_scores,
     op10_sharding)}
 
@@ -107,6 +112,27 @@ reached AS (
   SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a)
 SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
 FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+""",
+    "op2_ngram_links": r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + 3], ' ') AS g
+  FROM doc_words, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s)
+  WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common_runs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+degrees AS (
+  SELECT a AS doc_id, count(*) AS n_links
+  FROM common_runs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * n_both >= 85 * (x.n + y.n - n_both) GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.n_links, 0) AS n_links
+FROM doc_words d LEFT JOIN sizes s USING (doc_id) LEFT JOIN degrees l USING (doc_id)
 """,
     "op3_decontamination": r"""
 WITH item_words AS (

@@ -107,6 +107,40 @@ def test_query_equals_sql(spark, sf_dir, duck):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("words, percent, tile_rows", [(4, 85, 1024), (2, 50, 8)])
+def test_links_equal_brute_force(spark, monkeypatch, words, percent, tile_rows):
+    monkeypatch.setattr(near_duplicates, "TILE_ROWS", tile_rows)
+    rng = random.Random(words)
+    base = [f"v{rng.randrange(500)}" for _ in range(200)]
+    crowd = [(2000 + i, " ".join(edited(rng, base, 2))) for i in range(40)]  # near copies
+    rows = made_rows(words) + crowd
+    sets = [frozenset(shingle_set(t, words)) for _, t in rows]
+
+    def similar(x, y):
+        return bool(x & y) and 100 * len(x & y) >= percent * len(x | y)
+    pairs, members = near_duplicates.links(spark.createDataFrame(rows, "doc_id long, text string"), words, percent)
+    members = members.collect()
+    want = [sum(similar(x, y) for j, y in enumerate(sets) if i != j) for i, x in enumerate(sets)]
+    assert Counter((r["doc_id"], r["n_shingles"], r["n_links"]) for r in members) == Counter(
+        (key, len(x), n) for (key, _), x, n in zip(rows, sets, want))
+    heads = {x: least([key for (key, _), y in zip(rows, sets) if x == y]) for x in sets if x}
+    distinct = list(heads)
+    expected = Counter(frozenset((heads[x], heads[y])) for i, x in enumerate(distinct)
+                       for y in distinct[:i] if similar(x, y))
+    got = pairs.collect()
+    assert Counter(frozenset((r["doc_id"], r["other_id"])) for r in got) == expected
+    size = Counter(r["set_id"] for r in members if r["set_id"] is not None)
+    assert len(size) == len(distinct) and all(r["set_id"] < r["other_set"] for r in got)
+    assert (sum(n * (n - 1) // 2 for n in size.values())
+            + sum(size[r["set_id"]] * size[r["other_set"]] for r in got)) == sum(want) // 2
+
+
+def test_links_equal_sql(spark, sf_dir, duck):
+    got = queries.op2_ngram_links(spark, sf_dir)
+    want = duck.execute(queries.ORACLES["op2_ngram_links"]).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates.near_duplicates(docs).count() == 0
