@@ -105,8 +105,8 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, pair: str = "pair
 def with_foreign_reply(turns: DataFrame, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
     """Preference pairs from plain conversations: each one that has an assistant turn is chosen;
     in its rejected twin the last assistant turn and all behind it give way to the last assistant
-    turn of the conversation with the next id.  Conversations without such a next one are left.
-    Returns turns of the chosen and of the rejected, by ``pair_id``."""
+    turn of the conversation with the next id.  Conversations without such a next one are left out;
+    ``with_next_reply`` keeps them.  Returns turns of the chosen and of the rejected, by ``pair_id``."""
     last = turns.filter(F.col("role") == LEARNED_ROLE).groupBy(key).agg(
         F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last"))
     foreign = last.select((F.col(key) - 1).alias(key), F.col("last.text").alias("reply"))
@@ -117,3 +117,26 @@ def with_foreign_reply(turns: DataFrame, key: str = "conv_id") -> tuple[DataFram
     columns = [F.col(key).alias("pair_id"), "turn", "role", "text"]
     return (chosen.select(*columns),
             chosen.filter("turn < end").select(*columns).unionByName(replies))
+
+
+def with_next_reply(turns: DataFrame, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
+    """Preference pairs from all plain conversations, however their ids lie: as
+    ``with_foreign_reply``, but the reply is that of the following conversation with an assistant
+    turn in the order of ids, and that of the first for the last one.  A conversation without an
+    assistant turn is the same on both sides, so it is all prompt.  Rows with a null id are left
+    out.  Numbers the conversations by range partitioning, which runs jobs."""
+    turns = turns.filter(F.col(key).isNotNull())
+    last = turns.filter(F.col("role") == LEARNED_ROLE).groupBy(key).agg(
+        F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last"))
+    last = number_rows(last, [key], "place")
+    n = F.lit(max(1, last.count()))
+    following = last.select((F.pmod(F.col("place") - 2, n) + 1).alias("place"),
+                            F.col("last.text").alias("reply"))
+    ends = last.select(key, F.col("last.turn").alias("end"), F.lit(True).alias("ended"), "place").join(
+        following, "place").drop("place")
+    chosen = turns.select(key, "turn", "role", "text").join(ends, key, "left")
+    replies = ends.select(F.col(key).alias("pair_id"), F.col("end").alias("turn"),
+                          F.lit(LEARNED_ROLE).alias("role"), F.col("reply").alias("text"))
+    columns = [F.col(key).alias("pair_id"), "turn", "role", "text"]
+    return (chosen.select(*columns),
+            chosen.filter("ended IS NULL OR turn < end").select(*columns).unionByName(replies))

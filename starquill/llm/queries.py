@@ -15,7 +15,14 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen, rejected = chat.with_foreign_reply(table(spark, sf_dir, "conversations"))
+    return _formatted(*chat.with_foreign_reply(table(spark, sf_dir, "conversations")))
+
+
+def op1_preference_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _formatted(*chat.with_next_reply(table(spark, sf_dir, "conversations")))
+
+
+def _formatted(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     rows = chat.format_preferences(chosen, rejected)
 
     def told(spans: str):
@@ -84,8 +91,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_preference_format, op2_ngram_jaccard, op2_ngram_links, op3_decontamination, op4_token_counts,
-    op5_best_fit_packing, op6_exact_top_k, op7_html_text, op8_language_id, op9_lm_scores,
+    op1_preference_format, op1_preference_all, op2_ngram_jaccard, op2_ngram_links,
+    op3_decontamination, op4_token_counts, op5_best_fit_packing, op6_exact_top_k, op7_html_text, op8_language_id, op9_lm_scores,
     op10_sharding)}
 
 ORACLES: dict[str, str] = {
@@ -228,3 +235,21 @@ SELECT pair_id, CAST(0 AS INTEGER) AS segment,
 FROM measured GROUP BY pair_id
 """,
 }
+
+# all conversations: pairs by order of ids; what follows is as above
+ORACLES["op1_preference_all"] = r"""
+WITH last AS (
+  SELECT conv_id, max(turn) AS ends, arg_max(coalesce(text, ''), turn) AS reply
+  FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+pairs AS (
+  SELECT conv_id AS pair_id, ends, coalesce(lead(reply) OVER (ORDER BY conv_id),
+                                            first_value(reply) OVER (ORDER BY conv_id)) AS reply
+  FROM last),
+turns AS (
+  SELECT conv_id AS pair_id, 'chosen' AS side, turn, role, text FROM conversations
+  UNION ALL
+  SELECT conv_id, 'rejected', turn, role, text
+  FROM conversations LEFT JOIN pairs ON conv_id = pair_id WHERE ends IS NULL OR turn < ends
+  UNION ALL
+  SELECT pair_id, 'rejected', ends, 'assistant', reply FROM pairs),
+""" + ORACLES["op1_preference_format"][ORACLES["op1_preference_format"].index("placed AS ("):]

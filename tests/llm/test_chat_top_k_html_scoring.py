@@ -92,6 +92,36 @@ def test_preference_query_equals_sql(spark, sf_dir, duck):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_every_conversation_has_a_row(spark, sf_dir, duck):
+    rows = [(7, 0, "user", "a"), (7, 1, "assistant", "r7"), (7, 2, "user", "end"),
+            (90, 0, "user", "b"), (90, 1, "assistant", "r90"), (90, 3, "assistant", None),
+            (-5000, 0, "user", "c"), (-5000, 1, "assistant", "r5000"), (8, 0, "user", "silent"),
+            (8, 1, "user", "still"), (None, 0, "assistant", "x")]
+    schema = "conv_id long, turn long, role string, text string"
+    chosen, rejected = chat.with_next_reply(spark.createDataFrame(rows, schema))
+    got = {r["pair_id"]: r for r in chat.format_preferences(chosen, rejected).collect()}
+    convs = {k: [r[1:] for r in rows if r[0] == k] for k in (7, 8, 90, -5000)}
+    twins = {-5000: [(0, "user", "c"), (1, "assistant", "r7")], 7: [(0, "user", "a"), (1, "assistant", "")],
+             90: [(0, "user", "b"), (1, "assistant", "r90"), (3, "assistant", "r5000")], 8: convs[8]}
+    assert set(got) == set(twins)
+    for key, twin in twins.items():
+        row, want = got[key], brute_pair(convs[key], twin)
+        assert (row["prompt"], row["chosen"], row["rejected"]) == (want[0], want[1], want[3]), key
+        assert [tuple(x) for x in row["rejected_spans"]] == want[4], key
+    assert got[8]["chosen"] == got[8]["rejected"] == ""
+    nothing = chat.format_preferences(*chat.with_next_reply(spark.createDataFrame([], schema)))
+    assert nothing.count() == 0
+
+    got = queries.op1_preference_all(spark, sf_dir)
+    result = duck.execute(queries.ORACLES["op1_preference_all"])
+    names = [c[0] for c in result.description]
+    found = sorted(map(tuple, got.select(*names).collect()))
+    assert found == sorted(result.fetchall())
+    assert len(found) == duck.execute("SELECT count(DISTINCT conv_id) FROM conversations").fetchone()[0]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 # -- top-k
 
 
