@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starquill.llm.common import mix, schema_with
+from starquill.sources.inline import values
 
 UNDETERMINED = "und"
 MATRIX_BYTES = 64 << 20  # of the broadcast matrix, at most
 LEAST_BITS = 8
+LEAST_ROWS = 200         # of a label are in the sample, or all it has
 
 
 @dataclass(frozen=True)
@@ -59,26 +61,52 @@ def _slices(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, list[
         yield start, texts[start:]
 
 
+def quota(counts: list[int], total: int) -> int:
+    """The most rows of one label, if the labels have so many and all share ``total``."""
+    left = total
+    for i, n in enumerate(sorted(counts)):
+        if n * (len(counts) - i) > left:
+            return max(LEAST_ROWS, left // (len(counts) - i))
+        left -= n
+    return max(LEAST_ROWS, *counts)
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", orders: int = 3,
         bits: int = 15, sample_rows: int = 40_000, smoothing: float = 0.5) -> Model:
-    """Fit on at most about ``sample_rows`` rows that have text and label, spread evenly over
-    the table by a hash of the text (a documented bound: the model is small, and more rows don't
-    change it).  The matrix holds at most MATRIX_BYTES: with many languages it gets fewer
-    buckets.  Without labelled rows the model has no language."""
+    """Fit on a sample of the rows that have text and label (a documented bound: the model is small).
+
+    Labels share ``sample_rows`` evenly: each has the same quota, at least LEAST_ROWS, and what
+    labels with fewer rows leave goes to the others.  A label with no more rows than the quota has
+    all of them in the sample; of another, about the quota, picked by a hash of the row and its
+    place, so equal rows are picked one by one.  So about ``sample_rows`` are fitted, or up to LEAST_ROWS
+    for each label if that is more.  Priors come from all rows.
+
+    Empty texts have no n-grams and are not picked; a label that has no others is left out.  The matrix holds at most MATRIX_BYTES: with
+    many languages it gets fewer buckets.  Without labelled rows the model has no language."""
     rows = labelled.filter(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
-        F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
+        F.col(text).alias("text"), F.col(label).cast("string").alias("label"),
+        F.monotonically_increasing_id().alias("place"))
     most = MATRIX_BYTES // (8 << LEAST_BITS)
-    counted = {r["label"]: r["count"] for r in rows.groupBy("label").count().take(most + 1)}
-    if len(counted) > most:
+    has_text = F.col("text") != ""
+    found = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(has_text).alias("told"))
+    found = found.take(most + 1)
+    counted = {r["label"]: r["n"] for r in found if r["told"]}
+    told = {r["label"]: r["told"] for r in found if r["told"]}
+    if len(found) > most:
         raise ValueError(f"more than {most} labels are too many for a broadcast matrix")
     languages = tuple(sorted(counted))
     if not languages:
         return Model((), np.zeros(((1 << bits) + 1, 0)), orders)
     while (8 << bits) * len(languages) > MATRIX_BYTES:
         bits -= 1
-    share = min(1.0, sample_rows / sum(counted.values()))
-    picked = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) < F.lit(
-        int(share * (1 << 30)) + 1)
+    rows = rows.filter(has_text)
+    most_rows = quota(list(told.values()), sample_rows)
+    shares = {name: -(-most_rows * (1 << 30) // n) for name, n in told.items() if n > most_rows}
+    if shares:  # at most as many entries as the matrix has columns
+        share = values(rows.sparkSession, list(shares.items()), "label string, share long")
+        rows = rows.join(F.broadcast(share), "label", "left").filter(
+            F.col("share").isNull()
+            | (F.pmod(F.xxhash64("text", "place", F.lit("sample")), F.lit(1 << 30)) < F.col("share")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -96,7 +124,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", orders: in
                 "label": pa.array([name] * len(where), pa.string()),
                 "bucket": pa.array(where, pa.int32()), "n": pa.array(held[where], pa.int64())})
 
-    grams = (rows.filter(picked).mapInArrow(count, "label string, bucket int, n long")
+    grams = (rows.select("text", "label").mapInArrow(count, "label string, bucket int, n long")
              .groupBy("label", "bucket").agg(F.sum("n").alias("n")))
     # bounded by buckets times languages, see above
     found = grams.toArrow()

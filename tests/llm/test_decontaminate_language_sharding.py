@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +174,40 @@ def test_sharding_odd_rows(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == len(rows)
     with pytest.raises(ValueError):
         sharding.add_shard(tree, sharding.Leaf(3, "r", "k"))
+
+
+def test_rare_labels_are_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "LEAST_ROWS", 20)
+    rows = [("the cat sat on the mat %d" % (i % 7), "en") for i in range(4000)]
+    rows += [("same words each time", "eq")] * 3000   # one hot text
+    rows += [("der hund schläft im haus %d" % i, "de") for i in range(15)]
+    rows += [("", "none"), ("", "none")] + [("", "de")] * 5000
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    model = language.fit(docs, sample_rows=400)
+    assert model.languages == ("de", "en", "eq")  # a label without n-grams has no column
+    names, _ = language.score_batch(["der hund im haus", "the cat on the mat", "same words"], model)
+    assert names == ["de", "en", "eq"]
+    # of single characters, each row of a label adds its length: the sample's sizes can be told
+    model = language.fit(docs, orders=1, sample_rows=400, smoothing=1e-9)
+    share = np.exp(model.log_p[:-1])
+    assert np.allclose(share.sum(axis=0), 1)
+    alone = language.fit(docs.filter("lang = 'de'"), orders=1, smoothing=1e-9)
+    assert np.allclose(share[:, 0], np.exp(alone.log_p[:-1, 0]))  # all rows of the rare label
+    assert np.allclose(np.exp(model.log_p[-1]), np.array([5015, 4000, 3000]) / 12015)
+
+
+def test_equal_rows_are_picked_one_by_one(spark):
+    docs = spark.createDataFrame([("aaaa", "eq")] * 5000 + [("b", "x")] * 5000, "text string, lang string")
+    # with smoothing s over 2^8 buckets a column of k rows of n characters tells k
+    model = language.fit(docs, orders=1, bits=8, sample_rows=1000, smoothing=1.0)
+    chance = np.exp(model.log_p[:-1]).max(axis=0)
+    n = (256 * chance - 1) / (1 - chance)
+    for rows in (n[0] / 4, n[1]):
+        assert 400 < rows < 600
+
+
+@pytest.mark.parametrize("counts, total, most", [
+    ([250, 10_000_000], 40_000, 39_750), ([5, 5], 100, 200), ([1000] * 1000, 40_000, 200),
+    ([30_000, 30_000, 100], 40_000, 19_950), ([20_000, 20_000], 40_000, 20_000)])
+def test_quota(counts, total, most):
+    assert language.quota(counts, total) == most
