@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starquill.llm import (chat, decontaminate, html_text, language, near_duplicates, packing,
-                            scoring, sharding, tokens, top_k)
+from starquill.llm import (chat, collocations, decontaminate, html_text, language, merkle,
+                            near_duplicates, packing, scoring, sharding, tokens, top_k, url_rules)
 from starquill.llm.common import fold, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -90,10 +90,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), tree, grown)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), least=100, first=2000)
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(touched, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), {"text": text})
+
+
 QUERIES = {f.__name__: f for f in (
     op1_preference_format, op1_preference_all, op2_ngram_jaccard, op2_ngram_links,
     op3_decontamination, op4_token_counts, op5_best_fit_packing, op6_exact_top_k, op7_html_text, op8_language_id, op9_lm_scores,
-    op10_sharding)}
+    op10_sharding, op11_collocations, op12_url_filters, op13_merkle_manifest)}
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": r"""
@@ -253,3 +267,137 @@ turns AS (
   UNION ALL
   SELECT pair_id, 'rejected', ends, 'assistant', reply FROM pairs),
 """ + ORACLES["op1_preference_format"][ORACLES["op1_preference_format"].index("placed AS ("):]
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, list_filter(regexp_split_to_array(t, '[\x20\x09]+'),
+                                                          lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]+')) AS t FROM documents)),
+grams AS (
+  SELECT lang, m, array_to_string(w[s:s + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s
+        FROM pieces, (SELECT unnest(range(1, 6)) AS m)) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+frequent AS (SELECT * FROM grams WHERE f >= 100),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w
+               FROM frequent WHERE m >= 2),
+covers AS (
+  SELECT lang, a, array_to_string(w[s:s + k - 1], ' ') AS phrase
+  FROM (SELECT lang, a, w, k, unnest(range(1, m - k + 2)) AS s
+        FROM candidates, (SELECT unnest(range(2, 5)) AS k) WHERE k < m)),
+covered AS (SELECT lang, phrase, max(a) AS most FROM covers GROUP BY ALL),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN covered v USING (lang, phrase)
+         WHERE v.most IS NULL OR 100 * v.most < 100 * c.a),
+cuts AS (
+  SELECT c.lang, c.phrase, a, n, x.f AS l, y.f AS r, k,
+         CAST(1000 AS HUGEINT) * a * n // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c
+  JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.m], ' ')
+  JOIN totals t ON t.lang = c.lang),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS pick FROM cuts),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+  FROM lowest WHERE pick = 1)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES["op12_url_filters"] = r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END
+                  AS t FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(t, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(t, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest),
+rules(rule, rule_host, rule_path, verdict) AS (VALUES
+  ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+  ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow'))
+SELECT page_id, host, path,
+       (SELECT arg_max(rule, len(rule)) FROM rules
+        WHERE (host = rule_host OR ends_with(host, '.' || rule_host))
+          AND starts_with(path, rule_path)) AS rule,
+       coalesce((SELECT arg_max(verdict, len(rule)) FROM rules
+        WHERE (host = rule_host OR ends_with(host, '.' || rule_host))
+          AND starts_with(path, rule_path)), 'allow') AS verdict
+FROM parts
+"""
+
+# A row per node and level; the lowest level of the upper tree has the subroots, by source.
+ORACLES["op13_merkle_manifest"] = r"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, source, coalesce('s' || source, 'n') AS tree, lang, n_chars, text, text AS shown,
+         false AS is_touched
+  FROM documents
+  UNION ALL
+  SELECT doc_id, source, coalesce('s' || source, 'n'), lang, n_chars, text,
+         replace(text, chr(10), ''), true FROM documents),
+hashed AS (
+  SELECT doc_id, tree, is_touched, text, sha256(concat(
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'),
+    coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-'),
+    coalesce(strlen(shown) || ':' || shown, '-'))) AS h
+  FROM given),
+leaves AS (
+  SELECT a.doc_id, a.tree, a.h AS leaf, b.h AS touched,
+         row_number() OVER (PARTITION BY a.tree ORDER BY a.doc_id NULLS FIRST, a.h) - 1 AS pos,
+         count(*) OVER (PARTITION BY a.tree) AS total
+  FROM hashed a JOIN hashed b ON a.doc_id = b.doc_id AND NOT a.is_touched AND b.is_touched),
+nodes AS (
+  SELECT tree, 0 AS level, pos, total, leaf AS h FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (any_value(total) + 2) // 3,
+         sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE total > 1 GROUP BY tree, level, pos // 3),
+subroots AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS total
+  FROM nodes WHERE total = 1),
+upper AS (
+  SELECT 0 AS level, pos, total, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, (any_value(total) + 2) // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM upper WHERE total > 1 GROUP BY level, pos // 3),
+crcs AS (  -- a byte at a time, eight steps each, by the reversed polynomial
+  SELECT doc_id, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                            lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents)),
+climb AS (
+  SELECT doc_id, l.tree, l.leaf, 0 AS level, l.pos, l.total, '' AS proof, false AS is_top,
+         CASE WHEN crc % 2 = 0 THEN touched ELSE l.leaf END AS folded
+  FROM leaves l JOIN crcs USING (doc_id)
+  UNION ALL
+  (WITH below AS (
+     SELECT c.doc_id, c.tree, c.leaf, c.level, c.pos, c.total, c.proof, c.is_top, c.folded
+     FROM climb c WHERE c.total > 1),
+   met AS (
+     SELECT b.doc_id, b.leaf, any_value(b.tree) AS tree, any_value(b.level) AS level,
+            any_value(b.pos) AS pos, any_value(b.total) AS total, any_value(b.proof) AS proof,
+            any_value(b.is_top) AS is_top, any_value(b.folded) AS folded,
+            coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (x.pos < b.pos), '') AS before,
+            coalesce(string_agg(x.h, '' ORDER BY x.pos) FILTER (x.pos > b.pos), '') AS after
+     FROM below b JOIN (
+       SELECT false AS is_top, tree, level, pos, h FROM nodes
+       UNION ALL SELECT true, '', level, pos, h FROM upper) x
+       ON x.is_top = b.is_top AND x.tree = CASE WHEN b.is_top THEN '' ELSE b.tree END
+          AND x.level = b.level AND x.pos // 3 = b.pos // 3
+     GROUP BY b.doc_id, b.leaf)
+   SELECT doc_id, tree, leaf, level + 1, pos // 3, (total + 2) // 3, proof || before || after,
+          is_top, sha256(before || folded || after)
+   FROM met
+   UNION ALL
+   SELECT c.doc_id, c.tree, c.leaf, 0, s.pos, s.total, c.proof, true, c.folded
+   FROM climb c JOIN subroots s ON s.tree = c.tree WHERE c.total = 1 AND NOT c.is_top))
+SELECT c.doc_id, c.leaf, s.h AS subroot, u.h AS root, sha256(c.proof) AS proof_sha256,
+       c.folded AS folded_root, c.folded = u.h AS verified
+FROM climb c JOIN subroots s ON s.tree = c.tree JOIN upper u ON u.total = 1
+WHERE c.is_top AND c.total = 1
+"""
