@@ -10,12 +10,14 @@ path; such paths are compacted to passages, found by pointer doubling.  What lie
 and has its weight occurs nowhere else.
 
 Most links of two words are rare and cannot be in a phrase that occurs ``least`` times, so the
-pieces are first cut at rare links.  No list of links is in one place: documents are read in blocks, a
-block asks buckets of the links' hashes, and each bucket answers every block with a bit per link.
+pieces are first cut at rare links, and what is left where three words are a rare sequence.  No
+list of sequences is in one place: documents are read in blocks, a block asks buckets of the
+sequences' hashes, and each bucket answers every block with a bit per sequence.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -36,8 +38,11 @@ from starquill.session import materialise
 LONGEST = 5
 LEAST = 100
 BLOCK_BYTES = 2 << 20
-BUCKET_KEYS = 1 << 20
-WALK_WORDS = 1 << 12      # longer walks go on in a further row
+BUCKET_KEYS = 1 << 19
+# Sequences whose keys agree are counted as one, so some rare ones are not cut; which of those
+# occur often enough is then counted by their words.
+KEY_BITS = 48
+SALTS = 32                # a language's phrases are dealt to so many tasks
 PASSAGE_EDGES = 1 << 10   # longer passages go on in a further part
 UNKNOWN = "und"
 
@@ -45,7 +50,7 @@ UNKNOWN = "und"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t",
                         b"abcdefghijklmnopqrstuvwxyz.......... ")
 
-TOTAL, WORD, WALK, OPEN_WALK = 0, 1, 2, 3  # kinds of counted rows
+TOTAL, WORD = 0, 1  # widths of counted rows that are no sequences: all words, a single word
 
 
 class Words(NamedTuple):
@@ -82,64 +87,81 @@ def slices(text: bytes, size: int = BLOCK_BYTES) -> Iterator[bytes]:
 
 
 class Keys(NamedTuple):
-    """What a block asks for: 64-bit keys of its words and links in order, their counts, and the
-    position in them of every word and of the link that begins at every place (-1: none)."""
+    """What a block asks for: hashed keys of its sequences of some width (and of its words) in
+    order, their counts, and the position in them of the sequence that begins at every place
+    (-1: none) and of every word."""
 
     keys: np.ndarray
     counts: np.ndarray
+    places: list[np.ndarray]
     words: list[np.ndarray]
-    links: list[np.ndarray]
 
 
-def keys_of(groups: list[Words]) -> Keys:
-    keys, counts, parts = [], [], []
+def _whole(index: np.ndarray, width: int) -> np.ndarray:
+    """Whether ``width`` words of one piece begin at a place."""
+    inside = index >= 0
+    ahead = np.r_[inside, np.zeros(width - 1, bool)]
+    return reduce(np.logical_and, (ahead[i:i + len(index)] for i in range(width)))
+
+
+def keys_of(groups: list[Words], width: int, words: bool) -> Keys:
+    keys, counts, begins = [], [], []
     for lang, vocabulary, index in groups:
         salt = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
         hashes = mix(np.fromiter(map(xxhash.xxh64_intdigest, vocabulary), np.uint64,
                                  len(vocabulary)) + salt)
-        linked = np.flatnonzero((index[:-1] >= 0) & (index[1:] >= 0))
-        pairs = index[linked].astype(np.int64) * len(vocabulary) + index[linked + 1]
-        pairs, link = np.unique(pairs, return_inverse=True)
-        first, second = np.divmod(pairs, max(len(vocabulary), 1))
-        both = np.empty(2 * len(pairs), np.uint64)
-        both[0::2], both[1::2] = hashes[first], hashes[second]
-        keys += [hashes, runs(both, 2)[0::2]]
-        counts += [np.bincount(index[index >= 0], minlength=len(vocabulary)),
-                   np.bincount(link, minlength=len(pairs))]
-        parts.append((linked, link, len(index)))
-    whole = np.concatenate(keys) if keys else np.empty(0, np.uint64)
+        begin = np.flatnonzero(_whole(index, width))
+        found = runs(hashes[index], width)[begin] if len(begin) else np.empty(0, np.uint64)
+        distinct, which = np.unique(found, return_inverse=True)
+        begins.append((begin, which, len(index)))
+        keys += [distinct, hashes if words else hashes[:0]]
+        counts += [np.bincount(which, minlength=len(distinct)),
+                   np.bincount(index[index >= 0], minlength=len(vocabulary))[:len(keys[-1])]]
+    whole = np.concatenate([np.empty(0, np.uint64), *keys]) >> np.uint64(64 - KEY_BITS)
     order = np.argsort(whole)
     rank = np.empty(len(whole), np.int64)
     rank[order] = np.arange(len(whole))
-    words, links, at = [], [], 0
-    for (linked, link, size), own, pairs in zip(parts, keys[0::2], keys[1::2]):
-        words.append(rank[at:at + len(own)])
-        at += len(own)
-        places = np.full(size, -1, np.int64)
-        places[linked] = rank[at:at + len(pairs)][link]
-        links.append(places)
-        at += len(pairs)
-    return Keys(whole[order], np.concatenate(counts)[order] if counts else np.empty(0, np.int64),
-                words, links)
-
-
-def walks_of(group: Words, heavy: np.ndarray) -> dict[tuple[int, bytes], int]:
-    """The longest runs of words that only heavy links join, with the kind of row and how often
-    they occur.  ``heavy`` tells it for the link that begins at each place."""
-    edges = np.flatnonzero(np.diff(np.r_[False, heavy, False].astype(np.int8)))
-    found: dict[tuple[int, bytes], int] = {}
-    reach = LONGEST - 1
-    for start, end in zip(edges[0::2].tolist(), edges[1::2].tolist()):
-        words = [group.vocabulary[i] for i in group.index[start:end + 1].tolist()]
-        while len(words) > WALK_WORDS + reach:
-            key = (OPEN_WALK, b" ".join(words[:WALK_WORDS + reach]))
-            found[key] = found.get(key, 0) + 1
-            words = words[WALK_WORDS:]
-        key = (WALK, b" ".join(words))
-        found[key] = found.get(key, 0) + 1
+    own = np.split(rank, np.cumsum([len(k) for k in keys])[:-1]) if keys else []
+    places = []
+    for (begin, which, size), ranks in zip(begins, own[0::2]):
+        places.append(np.full(size, -1, np.int64))
+        places[-1][begin] = ranks[which]
+    return Keys(whole[order], np.concatenate([np.empty(0, np.int64), *counts])[order], places,
+                own[1::2])
+
+
+def cut(index: np.ndarray, joined: np.ndarray, width: int) -> list[np.ndarray]:
+    """The runs of words that are left if pieces are cut wherever the sequence of ``width`` words
+    that begins at a place is not ``joined``.  Each sequence of one word less is in one run;
+    single words are left out."""
+    inside = _whole(index, width - 1)
+    starts = np.flatnonzero(inside & ~np.r_[False, joined[:-1]])
+    ends = np.flatnonzero(inside & ~joined) + width - 1
+    return [index[a:b] for a, b in zip(starts.tolist(), ends.tolist()) if b - a > 1]
+
+
+def edges_of(vocabulary: list[bytes], runs_left: list[np.ndarray]) -> Counter:
+    """The edges in runs of words, and the shorter ends of these runs (of two words at least), as
+    (width, text), with how often they occur."""
+    found: Counter = Counter()
+    for run in runs_left:
+        words = [vocabulary[i] for i in run.tolist()]
+        size = len(words)
+        found.update((min(LONGEST, size - i), b" ".join(words[i:i + LONGEST]))
+                     for i in range(size - 1))
     return found
 
 
+def reduced(group: Words, runs_left: list[np.ndarray]) -> Words:
+    """The group with the given runs as its pieces."""
+    end = np.array([-1], np.int32)
+    index = np.concatenate([x for run in runs_left for x in (run, end)] or [end])
+    used = np.unique(index[index >= 0])
+    again = np.append(np.searchsorted(used, index), -1).astype(np.int32)[:len(index)]
+    again[index < 0] = -1
+    return Words(group.lang, [group.vocabulary[i] for i in used.tolist()], again)
+
+
 def _packed(groups: list[Words]) -> bytes:
     """A block as bytes: per language its name, its words, and the indices."""
     parts = []
@@ -161,8 +183,24 @@ def _unpacked(data: bytes) -> list[Words]:
             for lang, words, index in zip(parts[0::3], parts[1::3], parts[2::3])]
 
 
+BLOCK = "block long, n_keys long, body binary, keys binary, counts binary"
+COUNT = "lang string, width int, phrase string, n long"
+_BLOCK_SHAPE = pa.schema([("block", pa.int64()), ("n_keys", pa.int64()), ("body", pa.binary()),
+                          ("keys", pa.binary()), ("counts", pa.binary())])
+_COUNT_SHAPE = pa.schema([("lang", pa.string()), ("width", pa.int32()), ("phrase", pa.string()),
+                          ("n", pa.int64())])
+
+
+def _asking(block: int, groups: list[Words], width: int, words: bool) -> dict:
+    asked = keys_of(groups, width, words)
+    return {"block": block, "n_keys": len(asked.keys), "body": _packed(groups),
+            "keys": squeeze(np.diff(asked.keys, prepend=np.uint64(0))),
+            "counts": squeeze(asked.counts.astype(np.uint32))}
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
-    """Rows of about BLOCK_BYTES of text, with the keys and counts of their words and links."""
+    """Rows of about BLOCK_BYTES of text, with the keys and counts of their words and links of two
+    words."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size = TaskContext.get().partitionId() << 32, 0
@@ -170,13 +208,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
         def row() -> pa.RecordBatch:
             groups = [words_of(lang, own) for lang, own in texts.items()]
-            asked = keys_of(groups)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([len(asked.keys)], pa.int64()),
-                 pa.array([_packed(groups)], pa.binary()),
-                 pa.array([squeeze(np.diff(asked.keys, prepend=np.uint64(0)))], pa.binary()),
-                 pa.array([squeeze(asked.counts.astype(np.uint32))], pa.binary())],
-                names=["block", "n_keys", "body", "keys", "counts"])
+            return pa.RecordBatch.from_pylist([_asking(block, groups, 2, True)], _BLOCK_SHAPE)
 
         for batch in batches:
             langs, column = batch.column("lang"), batch.column("text").cast(pa.binary())
@@ -192,13 +224,18 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if texts:
             yield row()
 
-    return docs.mapInArrow(gather, "block long, n_keys long, body binary, keys binary, "
-                                   "counts binary")
+    return docs.mapInArrow(gather, BLOCK)
+
+
+def _buckets(blocks: DataFrame) -> int:
+    n_keys = blocks.agg(F.coalesce(F.sum("n_keys"), F.lit(0))).first()[0]
+    return max(1, -(-n_keys // BUCKET_KEYS))
 
 
-def _heavy_bits(blocks: DataFrame, buckets: int, least: int) -> DataFrame:
-    """Per block the answers of all buckets: a bit for each of its keys, in order, that tells
-    whether it occurs ``least`` times in all blocks."""
+def _answered(blocks: DataFrame, least: int) -> DataFrame:
+    """Every block's body with the answers of all buckets: a bit for each of its keys, in order,
+    that tells whether it occurs ``least`` times in all blocks."""
+    buckets = _buckets(blocks)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +243,7 @@ def _heavy_bits(blocks: DataFrame, buckets: int, least: int) -> DataFrame:
                 keys = np.cumsum(unsqueeze(batch.column("keys")[i].as_py(), np.uint64),
                                  dtype=np.uint64)
                 counts = unsqueeze(batch.column("counts")[i].as_py(), np.uint32)
-                place = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                place = (keys >> np.uint64(KEY_BITS - 32)) * np.uint64(buckets) >> np.uint64(32)
                 found, first = np.unique(place, return_index=True)
                 parts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)]))
                 yield pa.RecordBatch.from_arrays(
@@ -241,42 +278,102 @@ def _heavy_bits(blocks: DataFrame, buckets: int, least: int) -> DataFrame:
         ask, "bucket long, block long, keys binary, counts binary")
     answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         answer, "block long, bucket long, n_keys long, bits binary")
-    return answers.groupBy("block").agg(F.sort_array(F.collect_list(
+    answers = answers.groupBy("block").agg(F.sort_array(F.collect_list(
         F.struct("bucket", "n_keys", "bits"))).alias("answers"))
+    return blocks.select("block", "body").join(answers, "block", "left")
+
+
+def _opened(batches: Iterator[pa.RecordBatch], width: int, words: bool) -> Iterator[tuple]:
+    """Block, group, its keys, the answers to all keys of the block, and the group's runs."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            groups = _unpacked(batch.column("body")[i].as_py())
+            bits = [np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=a["n_keys"])
+                    for a in batch.column("answers")[i].as_py() or ()]
+            heavy = np.concatenate([np.empty(0, np.uint8), *bits]).astype(bool)
+            asked = keys_of(groups, width, words)
+            rows = []
+            for j, group in enumerate(groups):
+                joined = asked.places[j] >= 0
+                joined[joined] = heavy[asked.places[j][joined]]
+                rows.append((group, cut(group.index, joined, width), asked.words[j]))
+            yield batch.column("block")[i].as_py(), rows, asked.counts, heavy
+
+
+def _cut_at_links(answered: DataFrame) -> DataFrame:
+    """Blocks with the runs that heavy links join, asking for sequences of three words; and, as
+    rows without a block, counts: all words per language (TOTAL), and frequent words (WORD)."""
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = pa.unify_schemas([_BLOCK_SHAPE, _COUNT_SHAPE])
+        for block, rows, counts, heavy in _opened(batches, 2, True):
+            groups, told = [], []
+            for group, runs_left, words in rows:
+                if runs_left:
+                    groups.append(reduced(group, runs_left))
+                n_words = int(np.count_nonzero(group.index >= 0))
+                if n_words:
+                    told.append((group.lang, TOTAL, b"", n_words))
+                told += [(group.lang, WORD, group.vocabulary[j], int(counts[words[j]]))
+                         for j in np.flatnonzero(heavy[words]).tolist()]
+            langs, widths, phrases, n = zip(*told) if told else ((), (), (), ())
+            size = len(told)
+            body = _asking(block, groups, 3, False)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([body[f.name], *[None] * size], f.type) for f in _BLOCK_SHAPE),
+                 pa.array([None, *langs], pa.string()), pa.array([None, *widths], pa.int32()),
+                 pa.array([None, *phrases], pa.binary()).cast(pa.string()),
+                 pa.array([None, *n], pa.int64())], schema=shape)
+
+    return answered.mapInArrow(shorten, f"{BLOCK}, {COUNT}")
+
+
+def _counted(answered: DataFrame, buckets: int) -> DataFrame:
+    """Counts of the edges and ends of runs that heavy sequences of three words join.
+
+    A block sends its own counts to buckets of the texts' hashes, as one compressed list for each;
+    a bucket adds up by text.
+    """
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows, _, _ in _opened(batches, 3, False):
+            for group, runs_left, _ in rows:
+                found = edges_of(group.vocabulary, runs_left)
+                parts: dict[int, list[tuple[bytes, int]]] = {}
+                for (width, text), n in found.items():
+                    parts.setdefault(xxhash.xxh64_intdigest(text) % buckets, []).append(
+                        (b"%d %b" % (width, text), n))
+                if not parts:
+                    continue
+                bodies, counts = [], []
+                for part in parts.values():
+                    texts, n = zip(*sorted(part))
+                    bodies.append(zstandard.ZstdCompressor(level=1).compress(b"\t".join(texts)))
+                    counts.append(squeeze(np.array(n, np.uint32)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(parts), pa.int64()), pa.array([group.lang] * len(parts)),
+                     pa.array(bodies, pa.binary()), pa.array(counts, pa.binary())],
+                    names=["bucket", "lang", "texts", "counts"])
 
-def _counted(blocks: DataFrame, answers: DataFrame) -> DataFrame:
-    """Counts of the blocks: all words per language, frequent words, and walks."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in whole_groups(batches, "bucket"):
+            sums: dict[str, Counter] = {}
+            for i in range(group.num_rows):
+                texts = zstandard.ZstdDecompressor().decompress(group.column("texts")[i].as_py())
+                n = unsqueeze(group.column("counts")[i].as_py(), np.uint32).tolist()
+                own = sums.setdefault(group.column("lang")[i].as_py(), Counter())
+                for text, k in zip(texts.split(b"\t"), n):
+                    own[text] += k
+            for lang, own in sums.items():
+                widths, phrases = zip(*(t.split(b" ", 1) for t in own))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(own), pa.string()),
+                     pa.array([int(w) for w in widths], pa.int32()),
+                     pa.array(phrases, pa.binary()).cast(pa.string()),
+                     pa.array(own.values(), pa.int64())], schema=_COUNT_SHAPE)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                groups = _unpacked(batch.column("body")[i].as_py())
-                bits = [np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=a["n_keys"])
-                        for a in batch.column("answers")[i].as_py() or ()]
-                heavy = np.concatenate(bits).astype(bool) if bits else np.empty(0, bool)
-                asked = keys_of(groups)
-                for group, words, links in zip(groups, asked.words, asked.links):
-                    n_words = int(np.count_nonzero(group.index >= 0))
-                    rows = [(TOTAL, b"", n_words)] if n_words else []
-                    own = np.flatnonzero(heavy[words])
-                    rows += [(WORD, group.vocabulary[j], int(asked.counts[words[j]]))
-                             for j in own.tolist()]
-                    joined = links >= 0
-                    joined[joined] = heavy[links[joined]]
-                    rows += [(*key, n) for key, n in walks_of(group, joined).items()]
-                    if rows:
-                        kinds, texts, counts = zip(*rows)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([group.lang] * len(rows), pa.string()),
-                             pa.array(kinds, pa.int32()),
-                             pa.array(texts, pa.binary()).cast(pa.string()),
-                             pa.array(counts, pa.int64())],
-                            names=["lang", "kind", "phrase", "n"])
-
-    return (blocks.select("block", "body").join(answers, "block", "left")
-            .mapInArrow(read, "lang string, kind int, phrase string, n long")
-            .groupBy("lang", "kind", "phrase").agg(F.sum("n").alias("n")))
+    asked = answered.mapInArrow(count, "bucket long, lang string, texts binary, counts binary")
+    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, COUNT)
 
 
 class Graph(NamedTuple):
@@ -302,36 +399,27 @@ def build_graph(docs: DataFrame, least: int = LEAST) -> Graph:
     if least < 1:
         raise ValueError("least must be above 0")
     blocks = materialise(_blocks(docs.select("lang", "text")), "phrase-blocks")
-    n_keys = blocks.agg(F.coalesce(F.sum("n_keys"), F.lit(0))).first()[0]
-    answers = _heavy_bits(blocks, max(1, -(-n_keys // BUCKET_KEYS)), least)
-    counted = materialise(_counted(blocks, answers), "phrase-walks")
-
-    size, words = F.col("size"), F.col("words")
-    starts = F.when(F.col("kind") == OPEN_WALK, size - (LONGEST - 1)).otherwise(size - 1)
-    walks = (counted.filter(F.col("kind") >= WALK)
-             .select("lang", "kind", "n", F.split("phrase", " ").alias("words"))
-             .withColumn("size", F.size("words")))
-    grams = walks.select("lang", "n", F.explode(F.transform(
-        F.sequence(F.lit(1), starts),
-        lambda i: F.struct(F.least(F.lit(LONGEST), size - i + 1).alias("width"),
-                           F.array_join(F.slice(words, i, LONGEST), " ").alias("phrase"))))
-        .alias("g")).select("lang", "g.width", "g.phrase", "n")
-    grams = materialise(grams.groupBy("lang", "width", "phrase").agg(F.sum("n").alias("n")),
-                        "phrase-edges")
-
-    flow = grams.filter(F.col("width") == LONGEST).select("lang", "phrase", "n")
+    shortened = materialise(_cut_at_links(_answered(blocks, least)), "phrase-runs")
+    left = shortened.filter("block IS NOT NULL").select(*blocks.columns)
+    edges = _counted(_answered(left, least), _buckets(left))
+    words = (shortened.filter("block IS NULL").select("lang", "width", "phrase", "n")
+             .groupBy("lang", "width", "phrase").agg(F.sum("n").alias("n")))
+    counted = materialise(edges.unionByName(words), "phrase-edges")
+
+    def of_width(width: int) -> DataFrame:
+        return counted.filter(F.col("width") == width).select("lang", "phrase", "n")
+
+    flow = of_width(LONGEST)
     levels = [(LONGEST, flow)]
     for width in range(LONGEST - 1, 1, -1):
-        ends = grams.filter(F.col("width") == width).select("lang", "phrase", "n")
         flow = materialise(
-            flow.select("lang", _first(width).alias("phrase"), "n").unionByName(ends)
+            flow.select("lang", _first(width).alias("phrase"), "n").unionByName(of_width(width))
             .groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrase-flow")
         levels.append((width, flow))
     frequent = [f.filter(F.col("n") >= least).select(
         "lang", F.lit(w).alias("width"), "phrase", F.col("n").alias("a")) for w, f in levels]
     phrases = materialise(reduce(DataFrame.unionByName, frequent), "phrases")
-    return Graph(counted.filter(F.col("kind") == TOTAL).select("lang", "n"),
-                 counted.filter(F.col("kind") == WORD).select("lang", "phrase", "n"), phrases)
+    return Graph(of_width(TOTAL).select("lang", "n"), of_width(WORD), phrases)
 
 
 def _of_width(phrases: DataFrame, width: int) -> DataFrame:
@@ -420,15 +508,20 @@ def mine(docs: DataFrame, least: int = LEAST, first: int = 2000) -> DataFrame:
     def exact(name: str) -> Column:
         return F.col(name).cast("decimal(18,0)")
 
+    totals = graph.totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")
     scored = (cuts.join(heads, ["lang", "_head"]).join(tails, ["lang", "_tail"])
-              .join(graph.totals, "lang")
+              .withColumn("_salt", salt).join(totals, ["lang", "_salt"])
               .withColumns({"_over": F.lit(1000).cast("decimal(4,0)") * exact("a") * exact("n"),
                             "_under": exact("l") * exact("r")})
               .withColumn("score", F.expr("_over div _under"))
-              .groupBy("lang", "phrase", "a", "n")
+              .groupBy("lang", "_salt", "phrase", "a", "n")
               .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-              .select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score"))
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
+              .select("lang", "_salt", "phrase", "a", "cut.l", "cut.r", "n", "cut.score"))
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    ranked = scored  # the first of every salt, then the first of those
+    for keys in (["lang", "_salt"], ["lang"]):
+        place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+        ranked = ranked.withColumn("rank", place).filter(F.col("rank") <= first)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l",
                          "r", "n", "score")

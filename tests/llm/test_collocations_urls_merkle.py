@@ -87,32 +87,29 @@ def test_phrases_by_brute_force(spark, seed, least):
 
 
 def test_phrases_of_small_blocks(spark, monkeypatch):
-    """Blocks, buckets, walks and passages far smaller than their contents change nothing."""
+    """Slices, buckets and passages far smaller than their contents change nothing."""
     docs = random_docs(4)
     docs.append(("en", "la li lu " * 400))
     long_line = " ".join(f"w{i}" for i in range(300))
     docs += [("en", long_line)] * 4
     want = mined(docs, 4, 1000)
     df = values(spark, [(t, la) for la, t in docs], "text string, lang string").repartition(3)
-    for name, small in (("BLOCK_BYTES", 200), ("BUCKET_KEYS", 10), ("WALK_WORDS", 7),
-                        ("PASSAGE_EDGES", 16)):
+    for name, small in (("BUCKET_KEYS", 10), ("PASSAGE_EDGES", 16), ("SALTS", 3)):
         monkeypatch.setattr(collocations, name, small)
-    # executors import their own module, so the functions they run are called here
-    walked = Counter()
-    for lang, text in docs:
+    # tasks have the module as it stands, so what they run is called here
+    edges = Counter()
+    for _, text in docs:
         for part in collocations.slices((text or "").encode(), 200):
             group = collocations.words_of("x", [part])
-            links = (group.index[:-1] >= 0) & (group.index[1:] >= 0)
-            walked.update(collocations.walks_of(group, links))
-    spans = Counter()
-    for (kind, text), n in walked.items():
-        words = text.decode().split(" ")
-        last = len(words) - (4 if kind == collocations.OPEN_WALK else 1)
-        for i in range(last):
-            spans[tuple(words[i:i + 5])] += n
-    plain = Counter(tuple(w[i:i + 5]) for _, t in docs for w in pieces_of(t)
-                    for i in range(len(w) - 1))
-    assert spans == plain
+            left = group
+            for width in (2, 3):
+                joined = collocations._whole(left.index, width)
+                runs = collocations.cut(left.index, joined, width)
+                left = collocations.reduced(left, runs)
+            edges.update(collocations.edges_of(left.vocabulary, collocations.cut(
+                left.index, joined=collocations._whole(left.index, 3), width=3)))
+    assert edges == Counter((len(w[i:i + 5]), " ".join(w[i:i + 5]).encode()) for _, t in docs
+                            for w in pieces_of(t) for i in range(len(w) - 1))
     assert phrases(collocations.mine(df, 4, 1000)) == want
 
 
