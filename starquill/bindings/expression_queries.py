@@ -167,7 +167,7 @@ def maths(spark, folder):
 
 MATHS = """
 SELECT l_returnflag, l_linestatus, CAST(sum(net) AS DECIMAL(18,4)) AS net,
-       CAST(round(sum(net), 2) AS DECIMAL(18,2)) AS net_rounded,
+       CAST(round(sum(net), 2) AS DECIMAL(38,2)) AS net_rounded,
        CAST(sum(ceil(price / 100)) AS BIGINT) AS hundreds,
        CAST(sum(greatest(q - 25, 0)) AS BIGINT) AS above_25,
        CAST(sum(least(q, 25)) AS BIGINT) AS up_to_25,

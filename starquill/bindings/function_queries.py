@@ -34,7 +34,7 @@ def _revenue_sql(year: int, quarter: int, start: str, after: str) -> str:
     return f"""
 WITH {LINES}
 SELECT {year} AS report_year, {quarter} AS report_quarter, r_name AS category_name,
-       CAST(round(sum(amt), 2) AS DECIMAL(18,2)) AS total_sales_revenue
+       CAST(round(sum(amt), 2) AS DECIMAL(38,2)) AS total_sales_revenue
 FROM li JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE l_shipdate >= TIMESTAMP '{start}' AND l_shipdate < TIMESTAMP '{after}'
@@ -204,7 +204,7 @@ charged AS (
 paid AS (SELECT o_custkey, sum(amt) AS a FROM ord
          WHERE o_orderdate <= TIMESTAMP '1998-06-30' GROUP BY o_custkey)
 SELECT c_custkey AS customer_id,
-       CAST(coalesce(c, 0) - coalesce(a, 0) AS DECIMAL(18,2)) AS balance
+       CAST(coalesce(c, 0) - coalesce(a, 0) AS DECIMAL(38,2)) AS balance
 FROM customer LEFT JOIN charged ON c_custkey = cust LEFT JOIN paid ON c_custkey = o_custkey
 """
 

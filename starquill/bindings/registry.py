@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 FAMILIES = ("report_queries", "function_queries", "expression_queries", "source_queries",
-            "job_queries", "quality_queries", "access_queries")
+            "job_queries", "quality_queries", "access_queries", "catalog_queries")
 
 
 def _collect(attribute: str) -> dict:

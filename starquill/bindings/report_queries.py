@@ -49,7 +49,7 @@ paid AS (SELECT c_nationkey, sum(amt) AS revenue
          FROM li JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
          WHERE l_shipdate >= TIMESTAMP '2001-11-01 00:00:00' GROUP BY c_nationkey)
 SELECT n_nationkey AS store_id, {ADDRESS_TEXT} AS store_address,
-       CAST(coalesce(revenue, 0) AS DECIMAL(18,2)) AS revenue
+       CAST(coalesce(revenue, 0) AS DECIMAL(38,2)) AS revenue
 FROM loc LEFT JOIN paid ON n_nationkey = c_nationkey
 """
 
@@ -123,7 +123,7 @@ last_at AS (
   WHERE rn = 1)
 SELECT s_suppkey AS staff_id, 'N' || s_nationkey || ' ' || s_name AS staff_full_name,
        c_nationkey AS last_store_id, {ADDRESS_TEXT} AS last_store_address,
-       CAST(revenue AS DECIMAL(18,2)) AS revenue
+       CAST(revenue AS DECIMAL(38,2)) AS revenue
 FROM supplier JOIN rev ON s_suppkey = rev.k JOIN last_at ON s_suppkey = last_at.k
 JOIN loc ON c_nationkey = n_nationkey
 ORDER BY revenue DESC, staff_id LIMIT 3

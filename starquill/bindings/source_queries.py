@@ -21,7 +21,7 @@ def inline_values(spark, folder):
     return (labels.join(counts, F.col("priority") == F.col("o_orderpriority"), "left")
             .groupBy("label").agg(F.sum("rank").alias("ranks"),
                                   F.coalesce(F.sum("n"), F.lit(0)).alias("n_orders"),
-                                  F.coalesce(F.sum("total"), F.lit(0)).cast("decimal(18,2)")
+                                  F.coalesce(F.sum("total"), F.lit(0)).cast("decimal(38,2)")
                                   .alias("total")))
 
 
@@ -29,7 +29,7 @@ INLINE = f"""
 WITH {ORDERS}, labels(priority, rank, label) AS (VALUES
   ('1-URGENT', 1, 'now'), ('2-HIGH', 2, 'soon'), ('3-MEDIUM', 3, 'soon'), ('9-NEVER', 9, 'never'))
 SELECT label, CAST(sum(rank) AS BIGINT) AS ranks, CAST(sum(n) AS BIGINT) AS n_orders,
-       CAST(coalesce(sum(total), 0) AS DECIMAL(18,2)) AS total
+       CAST(coalesce(sum(total), 0) AS DECIMAL(38,2)) AS total
 FROM (SELECT priority, rank, label, count(o_orderkey) AS n, sum(amt) AS total
       FROM labels LEFT JOIN ord ON o_orderpriority = priority GROUP BY 1, 2, 3)
 GROUP BY label

@@ -21,8 +21,9 @@ from starquill.functions.periods import within
 from starquill.functions.scalars import address_text, audience_label, full_name
 from starquill.operators.aggregates import conditional_distinct_counts, consecutive_gaps
 from starquill.operators.rows import at_extremum, first_per_key
+from starquill.session import materialise
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,2)"
 
 
 # --- Films of a category, in a range of years, above a rate ---------------------------
@@ -245,16 +246,15 @@ def top_earners_cte(staff, payment, rental, inventory, store, address, year, k=3
 
 
 def top_earners_scalar(staff, payment, rental, inventory, store, address, year, k=3) -> DataFrame:
-    """Correlated subqueries per staff member; only payments that reach a copy count."""
+    """One correlated subquery per staff member, for the sum and the latest store together, so
+    that the chain to the copies is planned once; only payments that reach a copy count."""
+    latest = F.max_by("store_id", F.struct("payment_date", "payment_id"))
     own = (_linked_payments(payment, rental, inventory, year)
-           .where(F.col("staff_id") == F.col("this_staff").outer()))
-    # the limit sits directly on the sort: with a projection between them the sort order
-    # would not be part of the decorrelated window
-    last = own.orderBy(*_latest_first()).limit(1).select("store_id").scalar()
-    revenue = own.select(F.sum("amount")).scalar()
-    sold = (staff.withColumnRenamed("staff_id", "this_staff")
-            .withColumn("revenue", revenue).filter("revenue IS NOT NULL")
-            .withColumn("store_id", last))
+           .where(F.col("staff_id") == F.col("this_staff").outer())
+           .select(F.struct(F.sum("amount").alias("revenue"), latest.alias("store_id"))).scalar())
+    sold = (staff.withColumnRenamed("staff_id", "this_staff").withColumn("_own", own)
+            .select("this_staff", "first_name", "last_name", "_own.revenue", "_own.store_id")
+            .filter("revenue IS NOT NULL"))
     return (sold.join(_stores(store, address), "store_id")
             .select(F.col("this_staff").alias("staff_id"),
                     full_name(F.col("first_name"), F.col("last_name")).alias("staff_full_name"),
@@ -352,7 +352,8 @@ def _numbered_years(film_actor: DataFrame, film: DataFrame) -> DataFrame:
     has at most."""
     years = _film_years(film_actor, film).dropna().distinct()
     upwards = W.partitionBy("actor_id").orderBy("release_year")
-    return years.withColumn("position", F.row_number().over(upwards))
+    # read twice; as a shared exchange it would run twice once AQE splits a key
+    return materialise(years.withColumn("position", F.row_number().over(upwards)), "years")
 
 
 def largest_gap_selfjoin(actor, film_actor, film) -> DataFrame:

@@ -14,7 +14,7 @@ from starquill.functions.scalars import balance_charge, full_name, title_pattern
 from starquill.operators.rows import first_per_key, number_rows, with_fallback
 from starquill.sources.inline import ordered_elements, values
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,2)"
 
 
 def _revenue(payment, rental, inventory, film_category, category, in_period: Column,

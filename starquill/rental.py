@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starquill import catalog
 from starquill.plans import reports
 from starquill.plans import table_functions as tf
 from starquill.sources.tables import RENTAL_SCHEMAS, TableSet
@@ -28,6 +29,11 @@ class RentalDatabase(TableSet):
     def _tables(self, names: str) -> list[DataFrame]:
         return [self[name] for name in names.split()]
 
+    def register_sql(self, prefix: str = "", names: Sequence[str] | None = None) -> list[str]:
+        """The tables as views, and the table functions and views as SQL; see ``catalog``."""
+        return catalog.register(self.spark, {name: self[name] for name in self.schemas}, prefix,
+                                names)
+
     def category_films(self, category: str = "Animation", years: tuple[int, int] = (2017, 2019),
                        min_rate: float = 1, form: str = "semi") -> DataFrame:
         run = getattr(reports, f"category_films_{form}")
@@ -57,8 +63,9 @@ class RentalDatabase(TableSet):
         run = getattr(reports, f"popular_films_{form}")
         return run(*self._tables("film inventory rental"), k)
 
-    def longest_inactive(self, as_of: dt.date | None = None) -> DataFrame:
-        return reports.longest_inactive(*self._tables("actor film_actor film"), as_of)
+    def longest_inactive(self, as_of: dt.date | None = None, form: str = "cte") -> DataFrame:
+        run = {"cte": reports.longest_inactive, "scalar": reports.longest_inactive_scalar}[form]
+        return run(*self._tables("actor film_actor film"), as_of)
 
     def largest_gap(self, form: str = "window") -> DataFrame:
         run = getattr(reports, f"largest_gap_{form}")
