@@ -42,6 +42,44 @@ GROUP BY r_regionkey, r_name
 """
 
 
+def _period_texts():
+    """Periods written from the orders in several ways, good and bad."""
+    quarter = F.concat(F.year("o_orderdate"), F.lit("-Q"), F.quarter("o_orderdate"))
+    by_month = F.concat(F.lit(" "), F.year("o_orderdate"), F.lit("-q"), F.month("o_orderdate"),
+                        F.lit(" "))
+    return (F.when(F.col("o_orderstatus") == "F", quarter)
+            .when(F.col("o_orderstatus") == "O", by_month).otherwise(F.col("o_orderpriority")))
+
+
+def revenue_of_periods(spark, folder):
+    """Every quarter that the orders name."""
+    t = Star(spark, folder)
+    texts = t["orders"].select(_period_texts().alias("period"))
+    return tf.revenue_of_periods(*_sales(t), texts)
+
+
+REVENUE_OF_PERIODS = f"""
+WITH {LINES},
+texts AS (
+  SELECT DISTINCT upper(trim(CASE o_orderstatus
+           WHEN 'F' THEN year(o_orderdate) || '-Q' || quarter(o_orderdate)
+           WHEN 'O' THEN ' ' || year(o_orderdate) || '-q' || month(o_orderdate) || ' '
+           ELSE o_orderpriority END)) AS t
+  FROM orders),
+asked AS (
+  SELECT CAST(left(t, 4) AS INTEGER) AS y, CAST(right(t, 1) AS INTEGER) AS q FROM texts
+  WHERE regexp_full_match(t, '[0-9]{{4}}-Q[1-4]')),
+bounds AS (
+  SELECT y, q, make_timestamp(y, 3 * q - 2, 1, 0, 0, 0) AS a FROM asked)
+SELECT y AS report_year, q AS report_quarter, r_name AS category_name,
+       CAST(round(sum(amt), 2) AS DECIMAL(38,2)) AS total_sales_revenue
+FROM bounds JOIN li ON l_shipdate >= a AND l_shipdate < a + INTERVAL 3 MONTH
+JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY y, q, r_regionkey, r_name
+"""
+
+
 def validate_periods(spark, folder):
     """Periods written from the orders in several ways, good and bad."""
     quarter = F.concat(F.year("o_orderdate"), F.lit("-Q"), F.quarter("o_orderdate"))
@@ -274,6 +312,7 @@ QUERIES = {
     "fn_revenue_by_category_quarter": category_revenue,
     "fn_revenue_current_quarter": current_category_revenue,
     "fn_period_validate": validate_periods,
+    "fn_revenue_of_periods": revenue_of_periods,
     "fn_most_popular_by_group": most_popular,
     "fn_in_stock_search": _in_stock("ring"),
     "fn_in_stock_search_empty": _in_stock("%RING%"),
@@ -291,6 +330,7 @@ ORACLES = {
     "fn_revenue_by_category_quarter": _revenue_sql(1997, 2, "1997-04-01", "1997-07-01"),
     "fn_revenue_current_quarter": _revenue_sql(1998, 1, "1998-01-01", "1998-04-01"),
     "fn_period_validate": VALIDATE,
+    "fn_revenue_of_periods": REVENUE_OF_PERIODS,
     "fn_most_popular_by_group": MOST_POPULAR,
     "fn_in_stock_search": IN_STOCK,
     "fn_in_stock_search_empty": IN_STOCK_EMPTY,

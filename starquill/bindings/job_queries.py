@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starquill.bindings.source_queries import orders_by_month
 from starquill.bindings.star import ORDERS, PART_FILMS, Star, money
 from starquill.plans import jobs
-from starquill.session import new_table_path
+from starquill.session import materialise, new_table_path
 from starquill.sources import files
 from starquill.sources.inline import values
 
@@ -412,6 +413,44 @@ FROM orders WHERE NOT (o_orderkey % 3 = 0)
 """
 
 
+def delete_by_folder(spark, folder):
+    """Urgent orders of odd months deleted from orders stored by month, and the first month
+    emptied; the other folders keep their files."""
+    path = orders_by_month(spark, folder)
+
+    def names():
+        found = files.table_files(spark, path).select(
+            F.substring_index("path", "/", -2).alias("file"))
+        return found.withColumn("month", F.regexp_extract("file", "month=([^/]*)", 1))
+    before = materialise(names(), "files-before")
+    first = spark.read.parquet(path).agg(F.min("month")).first()[0]
+    odd = F.substring("month", 6, 2).cast("int") % 2 == 1
+    done = files.delete_where_by_folder(
+        spark, path, (F.col("month") == first) | (odd & (F.col("o_orderpriority") == "1-URGENT")),
+        "month")
+    kept = before.join(names(), "file", "left_semi").groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"))
+    same = before.groupBy("month").agg(F.count(F.lit(1)).alias("n")).join(
+        kept, ["month", "n"], "left_semi").select("month", F.lit(True).alias("files_kept"))
+    rows = spark.read.parquet(path).groupBy("month").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("amt").cast("decimal(38,2)").alias("total"))
+    return rows.join(same, "month", "left").select(
+        "month", "n_rows", "total", F.coalesce("files_kept", F.lit(False)).alias("files_kept"),
+        F.lit(len(done.removed)).cast("long").alias("n_removed"))
+
+
+DELETE_BY_FOLDER = f"""
+WITH {ORDERS}, dated AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM ord),
+doomed AS (
+  SELECT *, month = (SELECT min(month) FROM dated) OR (
+              month(o_orderdate) % 2 = 1 AND o_orderpriority = '1-URGENT') AS gone FROM dated),
+folders AS (SELECT month, bool_or(gone) AS hit, bool_and(gone) AS emptied FROM doomed GROUP BY 1)
+SELECT month, count(*) AS n_rows, CAST(sum(amt) AS DECIMAL(38,2)) AS total,
+       NOT hit AS files_kept, (SELECT count(*) FROM folders WHERE emptied) AS n_removed
+FROM doomed JOIN folders USING (month) WHERE NOT gone GROUP BY month, hit
+"""
+
+
 def compact(spark, folder):
     """Orders in many files below a folder per month, rewritten to few; rows and folders stay."""
     source = new_table_path(spark, "scattered")
@@ -476,6 +515,121 @@ FROM (SELECT DISTINCT l_suppkey, s_nationkey, CAST(year(l_shipdate) AS INTEGER)
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
 """
 
+def _two_states(t):
+    """Orders as they are, with an update time; and a later state: urgent ones are gone, those of
+    customers whose number divides by 7 have another status or lose it, and new ones came."""
+    old = t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", money("o_totalprice")
+                             .alias("amt"), F.col("o_orderdate").alias("last_update"))
+    left = t["orders"].filter("o_orderpriority <> '1-URGENT'").select("o_orderkey").join(
+        old, "o_orderkey")
+    seven = F.col("o_custkey") % 7 == 0
+    changed = left.withColumn("o_orderstatus", F.when(
+        seven & (F.col("o_orderstatus") == "O"), F.lit(None)).when(
+        seven, "X").otherwise(F.col("o_orderstatus")))
+    came = old.filter("o_orderstatus = 'P'").withColumn(
+        "o_orderkey", -1 - F.col("o_orderkey")).withColumn("last_update", F.lit(None).cast("timestamp_ntz"))
+    return old, changed.unionByName(came)
+
+
+STATES = f"""
+{ORDERS},
+old_state AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, amt, o_orderdate AS last_update, o_orderpriority
+  FROM ord),
+new_state AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 7 = 0 AND o_orderstatus = 'O' THEN NULL
+                                     WHEN o_custkey % 7 = 0 THEN 'X' ELSE o_orderstatus END
+         AS o_orderstatus, amt, last_update
+  FROM old_state WHERE o_orderpriority <> '1-URGENT'
+  UNION ALL
+  SELECT -1 - o_orderkey, o_custkey, o_orderstatus, amt, NULL FROM old_state WHERE o_orderstatus = 'P'),
+changes AS (
+  SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey,
+         CASE WHEN o.o_orderkey IS NULL THEN 'inserted' WHEN n.o_orderkey IS NULL THEN 'deleted'
+              ELSE 'updated' END AS change,
+         CASE WHEN n.o_orderkey IS NULL THEN o.o_orderstatus ELSE n.o_orderstatus END
+           AS o_orderstatus
+  FROM old_state o FULL JOIN new_state n ON o.o_orderkey = n.o_orderkey
+  WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL
+     OR o.o_orderstatus IS DISTINCT FROM n.o_orderstatus)"""
+
+
+def state_changes(spark, folder):
+    return jobs.compare_states(*_two_states(Star(spark, folder)), ["o_orderkey"]).select(
+        "o_orderkey", "o_orderstatus", "change")
+
+
+STATE_CHANGES = f"WITH {STATES} SELECT * FROM changes"
+
+
+def stamp_changes(spark, folder):
+    return jobs.stamp_changes(*_two_states(Star(spark, folder)), ["o_orderkey"], MOMENT).state
+
+
+STAMP_CHANGES = f"""
+WITH {STATES}
+SELECT n.o_orderkey, o_custkey, n.o_orderstatus, amt,
+       CASE WHEN change IS NULL THEN last_update ELSE TIMESTAMP '2002-01-01 08:00:00' END
+         AS last_update
+FROM new_state n LEFT JOIN changes c ON c.o_orderkey = n.o_orderkey
+"""
+
+
+def _shown(entries):
+    return F.array_join(F.transform(entries, lambda e: F.concat(
+        e["term"], F.lit(":"), F.array_join(e["positions"].cast("array<string>"), ","))), " ")
+
+
+def token_vectors(spark, folder):
+    vectors = jobs.token_vectors(Star(spark, folder)["documents"], "doc_id", "text")
+    return vectors.select("doc_id", F.size("vector").alias("n_terms"),
+                          _shown("vector").alias("vector"))
+
+
+TERMS = r"""words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{M}]+'),
+                             lambda w : w <> '') AS terms
+  FROM documents),
+places AS (SELECT doc_id, unnest(terms) AS term, generate_subscripts(terms, 1) AS place FROM words),
+entries AS (
+  SELECT doc_id, term, string_agg(place, ',' ORDER BY place) AS places
+  FROM places GROUP BY doc_id, term)"""
+
+TOKEN_VECTORS = f"""
+WITH {TERMS}
+SELECT doc_id, CAST(count(term) AS INTEGER) AS n_terms,
+       coalesce(string_agg(term || ':' || places, ' ' ORDER BY term), '') AS vector
+FROM words LEFT JOIN entries USING (doc_id) GROUP BY doc_id
+"""
+
+
+def token_index_merge(spark, folder):
+    """Postings of the documents of all sources but one, kept as a table, after those of that one
+    came and French ones were taken out."""
+    documents = Star(spark, folder)["documents"]
+    last = documents.agg(F.max("source")).scalar()
+    held = materialise(jobs.postings_of(jobs.token_vectors(
+        documents.filter(F.col("source") < last), "doc_id", "text"), "doc_id"), "postings")
+    came = documents.filter((F.col("source") == last) | (F.col("lang") == "fr")).withColumn(
+        "text", F.when(F.col("lang") != "fr", F.col("text")))
+    merged = jobs.merge_postings(held, jobs.token_vectors(came, "doc_id", "text"), "doc_id")
+    return merged.groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_documents"),
+        F.sum(F.size("positions")).cast("long").alias("n_occurrences"),
+        F.min("doc_id").alias("first_document"), F.max(F.get("positions", F.lit(0))).alias("latest_start"))
+
+
+TOKEN_INDEX_MERGE = f"""
+WITH {TERMS}
+SELECT term, count(DISTINCT doc_id) AS n_documents, count(*) AS n_occurrences,
+       min(doc_id) AS first_document,
+       CAST(max(first_place) AS INTEGER) AS latest_start
+FROM (SELECT term, doc_id, min(place) OVER (PARTITION BY term, doc_id) AS first_place
+      FROM places JOIN documents USING (doc_id)
+      WHERE source IS NOT NULL AND (lang IS NULL OR lang <> 'fr'))
+GROUP BY term
+"""
+
 QUERIES = {
     "job_insert_if_absent": insert_films,
     "job_bridge_load": load_bridge,
@@ -491,6 +645,11 @@ QUERIES = {
     "job_new_entity": new_entity,
     "job_audit_column": audit_column,
     "job_token_index": token_index,
+    "job_token_vectors": token_vectors,
+    "job_token_index_merge": token_index_merge,
+    "job_state_changes": state_changes,
+    "job_stamp_changes": stamp_changes,
+    "job_delete_by_folder": delete_by_folder,
     "job_delete_modulo": delete_modulo,
     "job_compact": compact,
     "job_seed_load": seed_load,
@@ -512,6 +671,11 @@ ORACLES = {
     "job_new_entity": NEW_ENTITY,
     "job_audit_column": AUDIT,
     "job_token_index": TOKENS,
+    "job_token_vectors": TOKEN_VECTORS,
+    "job_token_index_merge": TOKEN_INDEX_MERGE,
+    "job_state_changes": STATE_CHANGES,
+    "job_stamp_changes": STAMP_CHANGES,
+    "job_delete_by_folder": DELETE_BY_FOLDER,
     "job_delete_modulo": DELETE_MODULO,
     "job_compact": COMPACT,
     "job_seed_load": SEED_LOAD,

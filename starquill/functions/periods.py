@@ -70,3 +70,19 @@ def within(moment: Column, bounds: Bounds) -> Column:
     end = after.isoformat(" ") if after else AFTER_LAST
     return (moment >= F.lit(start.isoformat(" ")).cast("timestamp_ntz")) & \
            (moment < F.lit(end).cast("timestamp_ntz"))
+
+
+def period_start(text: Column) -> Column:
+    """First instant of a period; NULL where the text is none."""
+    value = F.upper(F.btrim(text))
+    year, quarter = F.substring(value, 1, 4), F.substring(value, 7, 1)
+    start = F.make_timestamp_ntz(
+        F.try_to_number(year, F.lit("9999")).cast("int"),
+        F.try_to_number(quarter, F.lit("9")).cast("int") * 3 - 2,
+        F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return F.when(period_status(text) == "valid", start)
+
+
+def period_end(text: Column) -> Column:
+    """First instant after a period."""
+    return period_start(text) + F.expr("INTERVAL 3 MONTHS")

@@ -434,6 +434,118 @@ def stamp_changed(df: DataFrame, changed: Column, moment: dt.datetime,
     return df.withColumn(name, F.when(changed, stamp).otherwise(F.col(name)))
 
 
+def compare_states(old: DataFrame, new: DataFrame, key: Sequence[str],
+                   ignoring: Sequence[str] = ("last_update",)) -> DataFrame:
+    """Rows that differ between two states of a table: the columns of the new state (of the old
+    one for what is gone) and ``change``, one of ``inserted``, ``updated`` and ``deleted``.
+
+    ``key`` is unique in each state.  Rows of equal key differ if any column that both states
+    have, other than those in ``ignoring``, differs, a NULL counting as a value.  Both states are
+    first reduced to key and a digest of the row (SHA-256 over lengths and texts), so only those
+    meet; the few rows that differ then fetch their columns from the state they are in.
+    """
+    compared = [c for c in new.columns if c in old.columns and c not in (*key, *ignoring)]
+
+    def digested(df: DataFrame, side: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"{side}{k}") for k in key],
+                         row_digest([F.col(c) for c in compared]).alias(f"{side}digest"))
+
+    both = digested(old, "_before_").join(digested(new, "_after_"), reduce(and_, [
+        F.col(f"_before_{k}").eqNullSafe(F.col(f"_after_{k}")) for k in key]), "full")
+    before, after = F.col("_before_digest"), F.col("_after_digest")
+    kind = (F.when(before.isNull(), "inserted").when(after.isNull(), "deleted")
+            .when(before != after, "updated"))
+    picked = materialise(both.withColumn("change", kind).filter("change IS NOT NULL").select(
+        *[F.when(after.isNull(), F.col(f"_before_{k}")).otherwise(F.col(f"_after_{k}"))
+          .alias(f"_of_{k}") for k in key], "change"), "changed-keys")
+
+    def rows(state: DataFrame, wanted: Column) -> DataFrame:
+        keys = picked.filter(wanted)
+        return state.join(keys, reduce(and_, [
+            F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key])).drop(*[f"_of_{k}" for k in key])
+
+    return rows(new, F.col("change") != "deleted").unionByName(
+        rows(old, F.col("change") == "deleted"), allowMissingColumns=True)
+
+
+def row_digest(columns: Sequence[Column]) -> Column:
+    """SHA-256 over the values of a row; a NULL differs from an empty text, and neighbouring
+    values cannot run into each other."""
+    def part(c: Column) -> Column:
+        text = c.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.sha2(F.concat(F.lit(""), *[part(c) for c in columns]).cast("binary"), 256)
+
+
+def stamp_changes(old: DataFrame, new: DataFrame, key: Sequence[str], moment: dt.datetime,
+                  name: str = "last_update") -> Loaded:
+    """The new state with ``moment`` as update time of every row that was added or changed
+    since the old state; all others keep the time they had there."""
+    changes = compare_states(old, new, key, ignoring=[name])
+    fresh = changes.filter("change <> 'deleted'").drop("change")
+    kept = old.select(*[F.col(k).alias(f"_of_{k}") for k in key], F.col(name).alias("_time"))
+    kept = kept.join(changes.select(*[F.col(k).alias(f"_c_{k}") for k in key]), reduce(and_, [
+        F.col(f"_of_{k}").eqNullSafe(F.col(f"_c_{k}")) for k in key]), "left_anti")
+    columns = [c for c in new.columns if c != name]
+    same = (new.select(*columns).join(kept, reduce(and_, [
+        F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key]))
+        .select(*columns, F.col("_time").alias(name)))
+    stamped = fresh.select(*columns, F.lit(moment.isoformat(" "))
+                           .cast(old.schema[name].dataType).alias(name))
+    return Loaded(same.unionByName(stamped), changes)
+
+
+def token_vectors(documents: DataFrame, id_column: str, text: str) -> DataFrame:
+    """Per document its terms in order, each with its positions: ``vector``, an array of
+    (term, positions).  A NULL text has none, and an empty vector.
+
+    Terms are runs of letters of any script, with their marks, lower-cased; there is neither
+    stemming nor a stop list.  Positions count from 1.  All happens inside the row: the words are
+    sorted with their positions, and the places where a new term begins cut them into slices.
+    No row is shuffled and none is multiplied.
+    """
+    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[^\p{L}\p{M}]+"),
+                     lambda w: w != "")
+    placed = F.array_sort(F.transform(F.col("_words"), lambda w, i: F.struct(
+        F.lower(w).alias("term"), (i + 1).alias("position"))))
+    at = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_placed"), F.lit(1))), lambda i: (
+        i <= F.size("_placed")) & ((i == 1) | (
+            F.get("_placed", i - 1)["term"] != F.get("_placed", i - 2)["term"])))
+    ends = F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts"), F.lit(1))),
+                    F.array(F.size("_placed") + 1))
+    vector = F.transform(F.arrays_zip("_starts", "_ends"), lambda x: F.struct(
+        F.get("_placed", x["_starts"] - 1)["term"].alias("term"),
+        # by place: a slice would copy the whole array for every term
+        F.transform(F.sequence(x["_starts"], x["_ends"] - 1),
+                    lambda i: F.get("_placed", i - 1)["position"]).alias("positions")))
+    empty = F.array().cast("array<struct<term:string,positions:array<int>>>")
+    return (documents.select(id_column, words.alias("_words"))
+            .select(id_column, placed.alias("_placed"))
+            .select(id_column, "_placed", at.alias("_starts"))
+            .select(id_column, "_placed", "_starts", ends.alias("_ends"))
+            .select(id_column, F.when(F.size("_placed") > 0, vector).otherwise(empty)
+                    .alias("vector")))
+
+
+def postings_of(vectors: DataFrame, id_column: str) -> DataFrame:
+    """The vectors turned round: (term, document, positions).
+
+    An outer explode, as Catalyst moves the test for empty vectors that it adds to a plain one
+    below the vectors, and with it the sorting into each step of making them.
+    """
+    return (vectors.select(id_column, F.explode_outer("vector").alias("_entry"))
+            .select("_entry.term", id_column, "_entry.positions").filter("term IS NOT NULL"))
+
+
+def merge_postings(postings: DataFrame, changed: DataFrame, id_column: str) -> DataFrame:
+    """The postings after some documents came or changed: those of all others as they are, and
+    those of the vectors in ``changed``; a document whose vector is empty or NULL there is
+    gone from the index.  Only the changed documents are looked at."""
+    ids = changed.select(id_column).distinct()
+    return postings.join(ids, id_column, "left_anti").select(
+        "term", id_column, "positions").unionByName(postings_of(changed, id_column))
+
+
 def token_index(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     """Postings (term, document, occurrences, first position) of whole texts.
 

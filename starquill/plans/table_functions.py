@@ -8,9 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starquill.functions.periods import (month_bounds, parse_period, period_of, quarter_bounds,
-                                         within)
+from starquill.functions.periods import (month_bounds, parse_period, period_end, period_of,
+                                         period_start, period_status, quarter_bounds, within)
 from starquill.functions.scalars import balance_charge, full_name, title_pattern, whole_days
+from starquill.operators.intervals import interval_join
 from starquill.operators.rows import first_per_key, number_rows, with_fallback
 from starquill.sources.inline import ordered_elements, values
 
@@ -59,6 +60,33 @@ def current_category_revenue(payment, rental, inventory, film_category, category
                     F.year(today), F.quarter(today))
 
 
+def revenue_of_periods(payment, rental, inventory, film_category, category, periods: DataFrame,
+                       text: str = "period") -> DataFrame:
+    """Revenue per category of every quarter named in a column of period texts.
+
+    Each different quarter counts once, however it is written and however often; texts that
+    name none are left out (``period_status`` tells them).  Payments are summed per rental and
+    moment before they meet the quarters, and per quarter at each step after it.
+    """
+    asked = (periods.filter(period_status(F.col(text)) == "valid")
+             .select(F.upper(F.btrim(text)).alias("period")).distinct()
+             .withColumns({"_start": period_start(F.col("period")),
+                           "_end": period_end(F.col("period"))}))
+    paid = payment.groupBy("rental_id", "payment_date").agg(F.sum("amount").alias("amount"))
+    sums = (interval_join(paid, "payment_date", asked, "_start", "_end")
+            .groupBy("period", "rental_id").agg(F.sum("amount").alias("amount")))
+    for link, key, target in ((rental, "rental_id", "inventory_id"),
+                              (inventory, "inventory_id", "film_id"),
+                              (film_category, "film_id", "category_id")):
+        sums = (sums.join(link.select(key, target), key)
+                .groupBy("period", target).agg(F.sum("amount").alias("amount")))
+    return (sums.join(category.select("category_id", "name"), "category_id")
+            .select(F.substring("period", 1, 4).cast("int").alias("report_year"),
+                    F.substring("period", 7, 1).cast("int").alias("report_quarter"),
+                    F.col("name").alias("category_name"),
+                    F.round("amount", 2).cast(MONEY).alias("total_sales_revenue")))
+
+
 def create_revenue_view(name: str, payment, rental, inventory, film_category, category) -> None:
     """A temporary view of the current quarter's revenue per category."""
     current_category_revenue(payment, rental, inventory, film_category,

@@ -75,6 +75,10 @@ class RentalDatabase(TableSet):
         tables = self._tables("payment rental inventory film_category category")
         return tf.category_revenue(*tables, period)
 
+    def revenue_of_periods(self, periods: DataFrame, text: str = "period") -> DataFrame:
+        tables = self._tables("payment rental inventory film_category category")
+        return tf.revenue_of_periods(*tables, periods, text)
+
     def current_category_revenue(self, as_of: dt.date | None = None) -> DataFrame:
         tables = self._tables("payment rental inventory film_category category")
         return tf.current_category_revenue(*tables, as_of)

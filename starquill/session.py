@@ -78,3 +78,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_table_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder, in whatever store the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return store.delete(target, True)
