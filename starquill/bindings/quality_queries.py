@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starquill.bindings.star import Star
+from starquill.operators.bitmaps import key_set, merged, missing_keys, set_sizes
+from starquill.operators.rows import with_next
 from starquill.plans import quality as q
+from starquill.session import materialise
 
 
 def unique(spark, folder):
@@ -136,8 +139,59 @@ UNION ALL SELECT DISTINCT 'lineitem', l_orderkey || '|' || l_linenumber
 FROM lineitem WHERE l_orderkey IN (FROM gone_orders)
 """
 
+
+def foreign_key_by_bitmaps(spark, folder):
+    """Order numbers of lines whose order is urgent, as numbers missing among the others."""
+    t = Star(spark, folder)
+    others = t["orders"].filter("o_orderpriority <> '1-URGENT'")
+    return missing_keys(t["lineitem"], "l_orderkey", others, "o_orderkey")
+
+
+FOREIGN_KEY_BY_BITMAPS = """
+SELECT l_orderkey, count(*) AS n_rows FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')
+GROUP BY l_orderkey
+"""
+
+
+def distinct_by_bitmaps(spark, folder):
+    """Different parts ordered by year and mode, from sets per month that are stored and merged."""
+    lines = Star(spark, folder)["lineitem"].select(
+        "l_partkey", "l_returnflag", F.date_trunc("month", "l_shipdate").alias("month"))
+    sets = materialise(key_set(lines, "l_partkey", ["month", "l_returnflag"]), "part-sets")
+    groups = [F.year("month").alias("ship_year"), "l_returnflag"]
+    yearly = merged(sets.select(*groups, "bucket", "bits"), ["ship_year", "l_returnflag"])
+    return set_sizes(yearly, ["ship_year", "l_returnflag"], "n_parts")
+
+
+DISTINCT_BY_BITMAPS = """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, l_returnflag,
+       count(DISTINCT l_partkey) AS n_parts
+FROM lineitem GROUP BY 1, 2
+"""
+
+
+def next_event(spark, folder):
+    """Every event with the time of the same user's next one; a third of all events are moved
+    to a single user."""
+    events = Star(spark, folder)["events"].select(
+        "event_id", "ts", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(
+            F.col("user_id")).alias("user_id"))
+    return with_next(events, ["user_id"], ["ts", "event_id"], "ts", "next_ts")
+
+
+NEXT_EVENT = """
+WITH moved AS (
+  SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS user_id FROM events)
+SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts FROM moved
+"""
+
 QUERIES = {"dq_unique": unique, "dq_foreign_key": foreign_key, "dq_not_null": not_null,
-           "dq_check": check, "dq_cascade_closure": cascade}
+           "dq_check": check, "dq_cascade_closure": cascade,
+           "dq_foreign_key_bitmaps": foreign_key_by_bitmaps,
+           "agg_distinct_bitmaps": distinct_by_bitmaps, "agg_next_event": next_event}
 
 ORACLES = {"dq_unique": UNIQUE, "dq_foreign_key": FOREIGN_KEY, "dq_not_null": NOT_NULL,
-           "dq_check": CHECK, "dq_cascade_closure": CASCADE}
+           "dq_check": CHECK, "dq_cascade_closure": CASCADE,
+           "dq_foreign_key_bitmaps": FOREIGN_KEY_BY_BITMAPS,
+           "agg_distinct_bitmaps": DISTINCT_BY_BITMAPS, "agg_next_event": NEXT_EVENT}

@@ -97,3 +97,39 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_num",
     number = F.col("_place") - F.col("_first") + F.col("_offset") + F.lit(1 + after)
     return placed.join(offsets, match).select(
         *df.columns, number.cast("long").alias(name))
+
+
+def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+              name: str = "next_value") -> DataFrame:
+    """Every row with ``value`` of the row that follows it among those of equal ``keys``, in the
+    order of ``order``; NULL for the last.
+
+    A key may hold any share of the rows: the table is range-partitioned on keys and order
+    together, each part looks for followers among its own rows, and the last row of a part gets
+    the first one of the part behind it.  Only these first rows, one per part, come together.
+    Rows that are equal in keys and order follow a hash of their other columns.  NULL keys are
+    equal to each other.
+    """
+    sort = [F.col(c) for c in (*keys, *order)]
+    others = [f.name for f in df.schema if f.name not in (*keys, *order)
+              and "map<" not in f.dataType.simpleString()]
+    if others:
+        sort.append(F.xxhash64(*others))
+    placed = materialise(
+        df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+        .withColumn("_place", F.monotonically_increasing_id()), "followed")
+    placed = placed.withColumn("_part", F.shiftright("_place", 33).cast("int"))
+    # a key of NULLs must not look like a missing follower, so the row's keys are in a struct
+    row = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
+                   F.col(value).alias("value"))
+    firsts = placed.groupBy("_part").agg(F.min_by(row, "_place").alias("_row"))
+    handed = firsts.select(F.col("_part").alias("_before"), F.lead("_row").over(
+        W.orderBy("_part")).alias("_handed"))
+    inside = F.lead(row).over(W.partitionBy("_part").orderBy("_place"))
+    follower = F.coalesce(F.col("_inside"), F.col("_handed"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(follower[f"k{i}"])
+    return (placed.withColumn("_inside", inside)
+            .join(F.broadcast(handed), F.col("_part") == F.col("_before"), "left")
+            .select(*df.columns, F.when(follower.isNotNull() & same, follower["value"]).alias(name)))
