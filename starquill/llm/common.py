@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-MEMO_ENTRIES = 1_000_000
+# about 40 MB in a Python worker
+MEMO_ENTRIES, MEMO_BYTES = 250_000, 8 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,13 +32,17 @@ def fold(doc_id: Column, folds: int) -> Column:
 class WordHashes(dict):
     """64-bit hashes of words (bytes), kept between batches; emptied when it grows large."""
 
+    n_bytes = 0
+
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh64_intdigest(word)
+        self.n_bytes += len(word)
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MEMO_ENTRIES:
+        if len(self) > MEMO_ENTRIES or self.n_bytes > MEMO_BYTES:
             self.clear()
+            self.n_bytes = 0
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

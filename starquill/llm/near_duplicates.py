@@ -38,6 +38,7 @@ LEAST_BITS = 128
 WIDER = 8
 DEALT_KEYS = 1 << 20
 CHUNK = 2048
+PAIR_BLOCK = 1 << 17
 
 _hashes = WordHashes()
 
@@ -91,10 +92,12 @@ def _sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(sketch, schema)
 
 
-def _compare(tile: pa.Table, percent: int,
-             nearest: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of row numbers inside tiles whose overlap may be large enough.  If ``nearest``, for
-    crowded tiles only each row's closest partner, and those tiles' keys."""
+def _compare(tile: pa.Table, percent: int, nearest: bool
+             ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of row numbers inside tiles whose overlap may be large enough, a block of about
+    PAIR_BLOCK at a time.  If ``nearest``, for crowded tiles only each row's closest partner, and
+    those tiles' keys: the pairs of a tile are dropped as soon as it is known to be crowded, so
+    never more are held than a few per row."""
     key, n, home, block, diagonal, component = (
         tile.column(c).to_numpy() for c in ("tile", "n", "home", "block", "diagonal", "component"))
     n = n.astype(np.int64)
@@ -116,8 +119,13 @@ def _compare(tile: pa.Table, percent: int,
         maps[size] = place, folded
     ends = np.flatnonzero(np.r_[key[1:] != key[:-1], True])
     end = ends[np.searchsorted(ends, np.arange(len(key)))]
-    left, right, differ = [], [], []
     rows = np.arange(len(key))
+    number = np.cumsum(np.r_[False, key[1:] != key[:-1]])
+    allowed = CROWDED * np.bincount(number)
+    met = np.zeros(len(allowed), np.int64)
+    closest, partner = np.full(len(key), np.inf), np.full(len(key), -1)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
     for step in range(1, int((end - rows).max(initial=0)) + 1):
         i = rows[end - rows >= step]
         j = i + step
@@ -133,22 +141,49 @@ def _compare(tile: pa.Table, percent: int,
             apart[where] = np.bitwise_count(
                 folded[place[i[where]]] ^ folded[place[j[where]]]).sum(axis=1, dtype=np.int64)
         may = (small + large - apart) // 2 >= needed(small, large, percent)
-        left.append(i[may])
-        right.append(j[may])
-        differ.append(apart[may] / (small + large)[may])
-    if not left:
-        return rows[:0], rows[:0], key[:0]
-    left, right, differ = map(np.concatenate, (left, right, differ))
+        i, j = i[may], j[may]
+        if nearest:
+            differ = apart[may] / (small + large)[may]
+            for x, y in ((i, j), (j, i)):  # a row is in x once
+                better = (differ < closest[x]) | ((differ == closest[x]) & (y < partner[x]))
+                closest[x[better]], partner[x[better]] = differ[better], y[better]
+            met += np.bincount(number[i], minlength=len(met))
+            calm = met[number[i]] <= allowed[number[i]]
+            i, j = i[calm], j[calm]
+        held.append((i.astype(np.int32), j.astype(np.int32)))
+        waiting += len(i)
+        if waiting >= PAIR_BLOCK:
+            left, right = map(np.concatenate, zip(*held))
+            if nearest:
+                calm = met[number[left]] <= allowed[number[left]]
+                held, waiting = [(left[calm], right[calm])], 0
+            else:
+                held, waiting = [], 0
+                yield left, right, key[:0]
+    left, right = map(np.concatenate, zip(*held)) if held else (rows[:0], rows[:0])
     if not nearest:
-        return left, right, key[:0]
-    number = np.cumsum(np.r_[False, key[1:] != key[:-1]])
-    crowded = np.bincount(number[left], minlength=number[-1] + 1) > CROWDED * np.bincount(number)
-    calm, busy = ~crowded[number[left]], crowded[number[left]]
-    row, partner = np.r_[left[busy], right[busy]], np.r_[right[busy], left[busy]]
-    order = np.lexsort((partner, np.r_[differ[busy], differ[busy]], row))
-    first = order[np.r_[True, row[order][1:] != row[order][:-1]]] if len(order) else order
-    return (np.r_[left[calm], row[first]], np.r_[right[calm], partner[first]],
-            np.unique(key[crowded[number]]))
+        yield left, right, key[:0]
+        return
+    calm = met[number[left]] <= allowed[number[left]]
+    crowded = (met > allowed)[number]
+    busy = np.flatnonzero(crowded & (partner >= 0))
+    yield np.r_[left[calm], busy], np.r_[right[calm], partner[busy]], np.unique(key[crowded])
+
+
+def _distinct(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of numbers, the smaller first, each once."""
+    x, y = np.minimum(x, y), np.maximum(x, y)
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])][:len(x)]
+    return x[new], y[new]
+
+
+def _some(values: np.ndarray, before: int, after: int, kind: pa.DataType) -> pa.Array:
+    """An Arrow column of ``values`` with nulls before and after them."""
+    mask = np.r_[np.ones(before, bool), np.zeros(len(values), bool), np.ones(after, bool)]
+    whole = np.r_[np.zeros(before, values.dtype), values, np.zeros(after, values.dtype)]
+    return pa.array(whole, kind, mask=mask)
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -225,14 +260,11 @@ def _shared(rows: pa.Table, percent: int) -> pa.RecordBatch:
     i, j = counted[i], counted[i + 1]
     near = (100 * np.minimum(n[i], n[j]).astype(np.int64)
             >= percent * np.maximum(n[i], n[j]).astype(np.int64))
-    x, y = node[i[near]], node[j[near]]
-    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-    absent = [None] * pairs.shape[1]
+    x, y = _distinct(node[i[near]], node[j[near]])
     return pa.RecordBatch.from_arrays(
-        [pa.array([*key[more].view(np.int64).tolist(), *absent], pa.int64()),
-         pa.array(np.r_[node[more], pairs[0]], pa.int64()),
-         pa.array([*n[more].tolist(), *absent], pa.int32()),
-         pa.array([*[None] * len(more), *pairs[1].tolist()], pa.int64())],
+        [_some(key[more].view(np.int64), 0, len(x), pa.int64()),
+         pa.array(np.r_[node[more], x], pa.int64()),
+         _some(n[more], 0, len(x), pa.int32()), _some(y, len(more), 0, pa.int64())],
         names=["key", "node", "n", "partner"])
 
 
@@ -302,14 +334,12 @@ def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, nearest: boo
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in whole_groups(batches, "tile"):
-            left, right, crowded = _compare(tile, percent, nearest)
             node = tile.column("node").to_numpy()
-            x, y = node[left], node[right]
-            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[pairs[0], crowded]),
-                 pa.array([*pairs[1].tolist(), *[None] * len(crowded)], pa.int64())],
-                names=["a", "b"])
+            for left, right, crowded in _compare(tile, percent, nearest):
+                x, y = _distinct(node[left], node[right])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.r_[x, crowded], pa.int64()),
+                     _some(y, 0, len(crowded), pa.int64())], names=["a", "b"])
 
     return (rows.repartition("tile").sortWithinPartitions("tile", "n", "node")
             .mapInArrow(compare, "a long, b long").distinct())
