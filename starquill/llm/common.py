@@ -65,6 +65,13 @@ def runs(hashes: np.ndarray, width: int) -> np.ndarray:
     return joined
 
 
+def smaller(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that what is made of a batch stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; a null is empty."""
     return [text or b"" for text in column.cast(pa.binary()).to_pylist()]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starquill.llm.common import mix, schema_with
+from starquill.llm.common import mix, schema_with, smaller
 from starquill.sources.inline import values
 
 UNDETERMINED = "und"
@@ -49,7 +49,7 @@ def buckets_of(texts: list[str], orders: int, bits: int) -> Iterator[tuple[np.nd
         yield hashed[inside].astype(np.int64), owner[:count][inside]
 
 
-def _slices(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+def _slices(texts: list[str], chars: int = 1 << 18) -> Iterator[tuple[int, list[str]]]:
     """Neighbouring texts of about ``chars`` characters together, with the first's index."""
     start, size = 0, 0
     for i, text in enumerate(texts):
@@ -169,7 +169,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", name: str = "lan
     schema = schema_with(kept, kept.columns, f"`{name}` string, `{score}` double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in smaller(batches):
             names, scores = score_batch(batch.column(text).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],

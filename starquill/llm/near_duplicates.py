@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starquill.llm.common import (WordHashes, lists_of, mix, runs, schema_with, texts_of,
+from starquill.llm.common import (WordHashes, lists_of, mix, runs, schema_with, smaller, texts_of,
                                   whole_groups)
 from starquill.llm.components import connected
 from starquill.operators.rows import first_per_key
@@ -75,7 +75,7 @@ def _sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
                          "n int, digest binary, prefix array<long>, bits binary")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in smaller(batches):
             sizes, digests, prefixes, bits = [], [], [], []
             for text in texts_of(batch.column("text")):
                 found = shingles(text, words)

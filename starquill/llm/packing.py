@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starquill.llm.byte_bpe import encoder
-from starquill.llm.common import schema_with
+from starquill.llm.common import schema_with, smaller
 from starquill.operators.rows import number_rows
 from starquill.session import materialise
 
@@ -196,7 +196,7 @@ def tokenised_pieces(docs: DataFrame, path: str, text: str = "text", key: str =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).ids
-        for batch in batches:
+        for batch in smaller(batches):
             rows, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
             for row, body in enumerate(batch.column("_text").to_pylist()):
                 whole = encode(body or "") + end
