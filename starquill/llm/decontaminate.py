@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starquill.llm.common import schema_with, texts_of
+from starquill.llm.common import schema_with, smaller, texts_of
 from starquill.session import materialise
 
 WINDOW = 10
@@ -179,7 +179,7 @@ def _search(rows: DataFrame, queries: Queries, window: int, kept: list[str], tex
                    pa.list_(pa.string())]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in smaller(batches, 2048):
             counts, matches, names = [], [], []
             shard, size = [], 0
             texts = texts_of(batch.column(text))
