@@ -58,7 +58,22 @@ _MARKUP = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^ \t\n\r\f/>]*+)(?P<rest>(?:[ \t\n\r\f/]++|"
     + _ATTRIBUTE.pattern + r")*+)(?:>|\Z)", re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.DOTALL)
+_IMPORTANT = re.compile(r"\s*!\s*important$")
+
+
+def _hides(style: str) -> bool:
+    """Whether a style attribute hides its element.  Of declarations of one property the last
+    counts, one that is important before others."""
+    chosen: dict[str, tuple[str, bool]] = {}
+    for part in _COMMENT.sub(" ", style).lower().split(";"):
+        name, _, value = (x.strip() for x in part.partition(":"))
+        plain = _IMPORTANT.sub("", value)
+        important = plain != value
+        if plain and (important or not chosen.get(name, ("", False))[1]):
+            chosen[name] = plain, important
+    return (chosen.get("display", ("",))[0] == "none"
+            or chosen.get("visibility", ("",))[0] in ("hidden", "collapse"))
 
 
 @dataclass
@@ -69,7 +84,7 @@ class Element:
 
     def visible(self) -> bool:
         a = self.attributes
-        return not (self.name in HIDDEN or "hidden" in a or _UNSEEN.search(a.get("style", ""))
+        return not (self.name in HIDDEN or "hidden" in a or _hides(a.get("style") or "")
                     or self.name == "dialog" and "open" not in a)
 
     def number(self, attribute: str, least: int, most: int, default: int = 1) -> int:
