@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starquill.llm.common import whole_groups
+from starquill.llm.common import lists_of, whole_groups
 from starquill.session import materialise
 
-SHARD_ROWS = 8192
+SHARD_ROWS = 16384
 QUERY_ROWS = 256
-LEVELS = 8    # of quantised impacts; one pass over the postings of each
-PROVEN = 64   # members that are rescored rather than searched on
+SEGMENTS = 256   # quantised sizes of a component
+FALL = 0.8       # of the impact that a pass goes down to
+PASSES = 12      # at most, of about as many postings each
+PROVEN = 64      # members that are rescored rather than searched on
+RESCORED = 0.25  # of the work on the postings left, likewise
 
 
 def quantise(vector: Column, scale: int = 1024) -> Column:
@@ -30,66 +33,73 @@ def quantise(vector: Column, scale: int = 1024) -> Column:
 
 
 class Shard:
-    """The index of some vectors, given in the order that ties follow: for each dimension the postings in order of their value, from
-    the greatest, so that a query finds the greatest impacts at one end."""
+    """The index of some vectors, given in the order that ties follow: for each dimension the
+    postings in segments of equal quantised size of the component, from the greatest."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
+        n, width = vectors.shape
         columns = np.ascontiguousarray(vectors.T)
-        falling = np.argsort(-columns, axis=1, kind="stable")
-        values = np.take_along_axis(columns, falling, axis=1)
-        # from the greatest for a positive weight, from the least for a negative one
-        self.postings = {1: falling, -1: np.ascontiguousarray(falling[:, ::-1])}
-        self.values = {1: values, -1: np.ascontiguousarray(values[:, ::-1])}
-        self.rising = {1: -values, -1: self.values[-1]}
+        sizes = np.abs(columns)
+        falling = np.argsort(-sizes, axis=1, kind="stable")
+        self.rows = falling.astype(np.int32)
+        self.values = np.take_along_axis(columns, falling, axis=1).astype(np.float64)
+        self.greatest = int(sizes.max(initial=0))
+        self.step = self.greatest // SEGMENTS + 1
+        segment = np.arange(width)[:, None] * SEGMENTS + sizes // self.step
+        counts = np.bincount(segment.ravel(), minlength=width * SEGMENTS).reshape(width, SEGMENTS)
+        # postings of a dimension in a segment and in those of greater sizes
+        self.held = np.c_[counts[:, ::-1].cumsum(axis=1)[:, ::-1], np.zeros(width, np.int64)]
+        self.processed = 0
 
     def search(self, query: np.ndarray, own: int | None, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best scores and their rows, ties to the first row; row ``own`` is left out.
 
-        Impacts are counted from each dimension's least, so they aren't negative.  Their range is
-        cut into LEVELS; each pass adds the postings of one level, from the highest, in all
-        dimensions.  A vector's score then lies between what was added and that plus the
-        greatest impact left in each dimension where it was not met.  The search stops as soon
-        as so few vectors can still be among the k best that rescoring them is all there is to
-        do, or when all postings are processed.
+        A segment's impact is the size of the query's component times the greatest size that the
+        segment may hold.  Passes process the segments of all dimensions by falling impact.  What
+        a vector still lacks is less than the impact reached for each of its postings not met,
+        which bounds its score from above; the k-th best exact score of the vectors that lead so
+        far is a floor.  A vector bounded below the floor is proven out.  The search stops when
+        rescoring all others is at most ``RESCORED`` of the work on the postings left, or they
+        are few, or no postings are left.
         """
-        n, width = self.vectors.shape
+        n = len(self.vectors)
         live = np.ones(n, bool)
         if own is not None:
             live[own] = False
         k = min(k, int(live.sum()))
         if not k:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        low, high = self.values[1][:, -1], self.values[1][:, 0]
-        ends = np.where(query >= 0, low, high) * query
-        tops = np.where(query >= 0, high, low) * query - ends
-        steps = np.linspace(tops.max(initial=0), 0, LEVELS + 1)[1:]
-        added = np.zeros(n, np.int64)
-        unseen = np.ones((n, width))
-        done = np.zeros(width, np.int64)
-        left = tops.astype(np.float64)
-        members = np.flatnonzero(live)
-        for level in steps.tolist():
-            for d in range(width):
-                q = int(query[d])
-                if not q or done[d] == n:
-                    left[d] = 0
-                    continue
-                sign = 1 if q > 0 else -1
-                values, rows = self.values[sign][d], self.postings[sign][d]
-                stop = int(np.searchsorted(self.rising[sign][d], -sign * (level + int(ends[d])) / q,
-                                           "right")) if level > 0 else n
-                if stop > done[d]:
-                    part = rows[done[d]:stop]
-                    added[part] += values[done[d]:stop] * q - int(ends[d])
-                    unseen[part, d] = 0
-                    done[d] = stop
-                left[d] = values[stop] * q - int(ends[d]) if stop < n else 0
-            least = np.partition(added[live], len(added[live]) - k)[len(added[live]) - k]
-            # small integers, so exact as doubles
-            most = added + (unseen @ left).astype(np.int64)
-            members = np.flatnonzero(live & (most >= least))
-            if len(members) <= max(k, PROVEN):
+        used = np.flatnonzero(query)
+        weights = np.abs(query[used])
+        added, seen, done = np.zeros(n), np.zeros(n, np.int64), np.zeros(len(used), np.int64)
+        impact = float(weights.max(initial=0)) * self.greatest
+        # sums of doubles are exact up to 2^53, and off by less than this beyond
+        slack = impact * max(1, len(used)) ** 2 * 2.0 ** -50
+        total, floor, members = n * len(used), None, np.flatnonzero(live)
+        while impact:
+            impact = impact * FALL if impact > 1 else 0.0
+            lowest = np.minimum(impact / (weights * float(self.step)), SEGMENTS).astype(np.int64)
+            ends = self.held[used, lowest] if impact else np.full(len(used), n)
+            if impact and (ends - done).sum() * PASSES < total:
+                continue
+            parts = [(d, a, b) for d, a, b in zip(used.tolist(), done.tolist(), ends.tolist()) if b > a]
+            if parts:
+                rows = np.concatenate([self.rows[d, a:b] for d, a, b in parts])
+                added += np.bincount(rows, np.concatenate(
+                    [self.values[d, a:b] * float(query[d]) for d, a, b in parts]), n)
+                seen += np.bincount(rows, minlength=n)
+                self.processed += len(rows)
+                done = ends
+            leading = np.flatnonzero(live)
+            lead = min(len(leading), 4 * k)
+            leading = leading[np.argpartition(added[leading], len(leading) - lead)[-lead:]]
+            exact = self.vectors[leading] @ query
+            least = int(np.partition(exact, lead - k)[lead - k])
+            floor = least if floor is None else max(floor, least)
+            members = np.flatnonzero(live & (added + impact * (len(used) - seen) + slack >= floor))
+            if (len(members) <= max(k, PROVEN)
+                    or len(members) * len(used) <= RESCORED * (total - int(done.sum()))):
                 break
         scores = self.vectors[members] @ query
         best = np.lexsort((members, -scores))[:k]
@@ -121,12 +131,12 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     n_rows, n_queries = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
     shards = max(1, math.ceil(n_rows / SHARD_ROWS))
     blocks = max(1, math.ceil(n_queries / QUERY_ROWS))
-    indexed = rows.select(F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"),
+    indexed = rows.select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"),
                           F.lit(0).alias("block"), "row", "id", "v")
     asked = rows.filter("asks").select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         (F.pmod(F.xxhash64("row"), F.lit(blocks)) + 1).cast("int").alias("block"), "row", "id", "v")
-    parts = indexed.unionByName(asked).withColumn("part", F.col("shard") * (blocks + 1) + F.col("block"))
+    parts = indexed.unionByName(asked).withColumn("part", F.col("shard") * F.lit(blocks + 1).cast("long") + F.col("block"))
     id_type = vectors.schema[key].dataType.simpleString()
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,38 +145,53 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
             part = group.column("part").to_numpy()
             begins = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist()
             for begin, end in zip(begins, [*begins[1:], len(part)]):
-                rows_ = group.slice(begin, end - begin).to_pylist()
-                if shard != rows_[0]["shard"]:
-                    shard, index = rows_[0]["shard"], {}
-                if rows_[0]["block"] == 0:
+                rows_ = group.slice(begin, end - begin).combine_chunks()
+                at, block = rows_["shard"][0].as_py(), rows_["block"][0].as_py()
+                if shard != at:
+                    shard, index = at, {}
+                if block == 0:
                     index = _indexed(rows_)
                 else:
                     yield _found(rows_, index, k, group.schema.field("id").type)
 
-    found = (parts.repartition("shard").sortWithinPartitions("part").mapInArrow(
+    # a task per shard
+    found = (parts.repartitionById(shards, "shard").sortWithinPartitions("part").mapInArrow(
         search, f"row long, query_id {id_type}, vec_id {id_type}, score long"))
     ranked = W.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _indexed(rows: list[dict]) -> dict[int, tuple[Shard, list, dict[int, int]]]:
+def _lengths(rows: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per vector length, in order of the rows: their places and their vectors."""
+    column = rows["v"].combine_chunks()
+    values, offsets = lists_of(column)
+    lengths = np.diff(offsets)
+    for width in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == width)
+        places = offsets[at][:, None] + np.arange(width)
+        yield width, at, values[places].astype(np.int64).reshape(len(at), width)
+
+
+def _indexed(rows: pa.Table) -> dict[int, tuple[Shard, list, dict[int, int]]]:
     """By vector length: the index, the ids in order, and each row's place."""
-    lengths: dict[int, list[dict]] = {}
-    for r in sorted(rows, key=lambda r: r["id"]):
-        lengths.setdefault(len(r["v"]), []).append(r)
-    return {n: (Shard(np.array([r["v"] for r in same], np.int64).reshape(len(same), n)),
-                [r["id"] for r in same], {r["row"]: i for i, r in enumerate(same)})
-            for n, same in lengths.items()}
+    rows = rows.sort_by("id")
+    ids, numbers = rows["id"].to_pylist(), rows["row"].to_pylist()
+    return {width: (Shard(vectors), [ids[i] for i in at.tolist()],
+                    {numbers[i]: place for place, i in enumerate(at.tolist())})
+            for width, at, vectors in _lengths(rows)}
 
 
-def _found(queries: list[dict], index: dict, k: int, kind: pa.DataType) -> pa.RecordBatch:
+def _found(queries: pa.Table, index: dict, k: int, kind: pa.DataType) -> pa.RecordBatch:
+    names, numbers = queries["id"].to_pylist(), queries["row"].to_pylist()
     out: list[tuple] = []
-    for q in queries:
-        if len(q["v"]) in index:
-            shard, ids, place = index[len(q["v"])]
-            scores, members = shard.search(np.array(q["v"], np.int64), place.get(q["row"]), k)
-            out += [(q["row"], q["id"], ids[m], s) for m, s in zip(members.tolist(), scores.tolist())]
+    for width, at, vectors in _lengths(queries):
+        if width in index:
+            shard, ids, place = index[width]
+            for i, vector in zip(at.tolist(), vectors):
+                scores, members = shard.search(vector, place.get(numbers[i]), k)
+                out += [(numbers[i], names[i], ids[m], s)
+                        for m, s in zip(members.tolist(), scores.tolist())]
     columns = list(zip(*out)) or [()] * 4
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, (pa.int64(), kind, kind, pa.int64()))],

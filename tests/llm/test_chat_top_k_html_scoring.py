@@ -168,6 +168,28 @@ def test_search_stops_early():
         assert members.tolist() == best.tolist() and scores.tolist() == exact[best].tolist()
 
 
+@pytest.mark.parametrize("width, share", [(6, 0.5), (64, 0.75)])
+def test_search_leaves_postings(width, share):
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(0, 1, (4000, width))
+    vectors = np.floor(1024 * vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.int64)
+    shard = top_k.Shard(vectors)
+    for i in range(20):
+        scores, _ = shard.search(vectors[i], i, 10)
+        assert scores.tolist() == sorted(np.delete(vectors @ vectors[i], i).tolist())[:-11:-1]
+    assert 0 < shard.processed < share * 20 * vectors.size
+
+
+def test_search_of_great_numbers_and_zeros():
+    rng = np.random.default_rng(2)
+    vectors = rng.integers(-2**27, 2**27, (500, 16))
+    shard = top_k.Shard(vectors)
+    for query in (vectors[3], vectors[4] * (np.arange(16) % 3 == 0), np.zeros(16, np.int64)):
+        scores, members = shard.search(query, 3, 10)
+        exact = [(-int(s), i) for i, s in enumerate(vectors @ query) if i != 3]
+        assert list(zip((-scores).tolist(), members.tolist())) == sorted(exact)[:10]
+
+
 # -- HTML
 
 
