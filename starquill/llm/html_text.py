@@ -59,21 +59,35 @@ _MARKUP = re.compile(
     + _ATTRIBUTE.pattern + r")*+)(?:>|\Z)", re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.DOTALL)
+_NUMBER = re.compile(r"[ \t\n\r\f]*([+-]?[0-9]+)")
 _IMPORTANT = re.compile(r"\s*!\s*important$")
 
 
-def _hides(style: str) -> bool:
-    """Whether a style attribute hides its element.  Of declarations of one property the last
-    counts, one that is important before others."""
+# values of ``visibility``; these take that of the element around
+VISIBILITY = frozenset("visible hidden collapse initial inherit unset revert revert-layer".split())
+AROUND = frozenset("inherit unset revert revert-layer".split())
+
+
+def _declared(style: str) -> dict[str, str]:
+    """Properties of a style attribute.  Of declarations of one property the last counts, one that
+    is important before others."""
     chosen: dict[str, tuple[str, bool]] = {}
     for part in _COMMENT.sub(" ", style).lower().split(";"):
         name, _, value = (x.strip() for x in part.partition(":"))
         plain = _IMPORTANT.sub("", value)
         important = plain != value
+        if name == "visibility" and plain not in VISIBILITY:
+            continue
         if plain and (important or not chosen.get(name, ("", False))[1]):
             chosen[name] = plain, important
-    return (chosen.get("display", ("",))[0] == "none"
-            or chosen.get("visibility", ("",))[0] in ("hidden", "collapse"))
+    return {name: value for name, (value, _) in chosen.items()}
+
+
+def _hides(style: str) -> bool:
+    """Whether a style attribute hides the text right inside its element."""
+    declared = _declared(style)
+    return (declared.get("display") == "none"
+            or declared.get("visibility") in ("hidden", "collapse"))
 
 
 @dataclass
@@ -83,13 +97,21 @@ class Element:
     children: list = field(default_factory=list)  # elements and texts
 
     def visible(self) -> bool:
+        """Whether the element is laid out; else all that is in it is hidden, too."""
         a = self.attributes
-        return not (self.name in HIDDEN or "hidden" in a or _hides(a.get("style") or "")
+        return not (self.name in HIDDEN or "hidden" in a
+                    or "style" in a and _declared(a["style"] or "").get("display") == "none"
                     or self.name == "dialog" and "open" not in a)
 
-    def number(self, attribute: str, least: int, most: int, default: int = 1) -> int:
-        text = self.attributes.get(attribute, "").strip()
-        return max(least, min(most, int(text))) if re.fullmatch(r"-?\d{1,9}", text) else default
+    def number(self, attribute: str, default: int | None = None) -> int | None:
+        """Sign and digits at the begin of an attribute; the default without, or where browsers
+        have no such number, as it has more than 32 bits."""
+        found = _NUMBER.match(self.attributes.get(attribute) or "")
+        value = int(found[1]) if found and len(found[1]) < 20 else None
+        return default if value is None or not -2**31 <= value < 2**31 else value
+
+    def span(self, attribute: str, most: int) -> int:
+        return max(1, min(most, self.number(attribute, 1)))
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -314,14 +336,14 @@ def _verbatim(element: Element) -> str:
 def _list(element: Element) -> Steps:
     """Items behind a dash or their number; nested lists are indented below their item."""
     page = Page()
-    number = element.number("start", -10**8, 10**8)
+    number = element.number("start", 1)
     for child in element.children:
         if isinstance(child, str):
             page.text(child)
         elif not child.visible():
             continue
         elif child.name == "li":
-            number = child.number("value", -10**8, 10**8, number)
+            number = child.number("value", number)
             mark = f"{number}. " if element.name == "ol" else "- "
             number += 1
             lines = [line for line in (yield _block(child)).lines if line]
@@ -395,7 +417,7 @@ def _table(element: Element) -> Steps:
         for cell in row.children:
             while column in taken:
                 column += 1
-            span, down = cell.number("colspan", 1, 1000), cell.number("rowspan", 1, 65534)
+            span, down = cell.span("colspan", 1000), cell.span("rowspan", 65534)
             lines = (yield _block(cell)).lines
             cells[column] = span, [line for line in lines if line]
             for c in range(column, column + span):
@@ -426,9 +448,26 @@ def _table(element: Element) -> Steps:
     return page.whole(True)
 
 
+def _blank_invisible(root: Element) -> Element:
+    """Text whose element is invisible becomes a space.  Elements take their visibility from the
+    one around them unless they declare their own, so a part of a hidden one may show again."""
+    left = [(root, True)]
+    while left:
+        element, shown = left.pop()
+        own = None
+        if "style" in element.attributes:
+            own = _declared(element.attributes["style"] or "").get("visibility")
+        if own is not None and own not in AROUND:
+            shown = own not in ("hidden", "collapse")
+        if not shown:
+            element.children = [" " if isinstance(c, str) and c else c for c in element.children]
+        left += [(c, shown) for c in element.children if isinstance(c, Element)]
+    return root
+
+
 def visible_text(html: str) -> str:
     """All visible text of a page, see ``extract``."""
-    return "\n".join(_run(_block(parse(html))).lines)
+    return "\n".join(_run(_block(_blank_invisible(parse(html)))).lines)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
@@ -436,7 +475,8 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFra
 
     The page is parsed to a tree, with implied end tags.  Elements that browsers don't show (head,
     scripts, templates, ``hidden``, ``display: none``, closed dialogs and details, ...) are left
-    out with all that is in them.  White space is collapsed except in preformatted text; blocks
+    out with all that is in them; what ``visibility`` hides may hold parts that show again.  Lines
+    that begin with INDENT are not indented further, no text of them is lost.  White space is collapsed except in preformatted text; blocks
     begin new lines, paragraphs, headings, lists and tables have an empty line around them; list
     items carry a dash or number; table cells are padded to their column's width.
 
