@@ -19,6 +19,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def unused(name: str, taken: Sequence[str]) -> str:
+    """A column name that is not taken, whatever the case of its letters."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def schema_with(df: DataFrame, columns: Sequence[str], more: str) -> StructType:
     """Types of some columns of ``df``, and further columns given as DDL."""
     return StructType([*(df.schema[c] for c in columns), *StructType.fromDDL(more)])

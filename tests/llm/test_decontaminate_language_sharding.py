@@ -64,6 +64,50 @@ def test_matches_equal_brute_force(spark, monkeypatch, window, block_bytes):
     assert {r["n_hit"] for r in decontaminate.find_matches(docs, items.limit(0)).collect()} == {0}
 
 
+def brute_matches(text, items, window):
+    doc, best = words(text), {}
+    for name, body in items:
+        item = words(body)
+        for p in range(len(doc)):
+            for s in range(len(item)):
+                n = 0
+                while p + n < len(doc) and s + n < len(item) and doc[p + n] == item[s + n]:
+                    n += 1
+                if n >= min(window, len(item)):
+                    found = (-n, "" if name is None else str(name), s)
+                    best[p] = min(best.get(p, found), found)
+    kept, reach = [], 0
+    for p, (n, name, s) in sorted(best.items()):
+        if p - n > reach:
+            reach = p - n
+            kept.append((name, s, p, -n))
+    return kept
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 300])
+def test_matches_are_the_longest(spark, monkeypatch, seed, block_bytes):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 60)
+    rng = np.random.default_rng(seed)
+
+    def text(n):
+        return " ".join(rng.choice(list("abcd"), n))
+    items = [(i, text(int(rng.integers(1, 25)))) for i in range(10)]
+    items += [(20, items[1][1]), (20, items[2][1]), (21, "a b c d"), (22, "b c d a b d c"),
+              (23, "a " * 40)]
+    docs = [(i, text(int(rng.integers(0, 60)))) for i in range(20)]
+    docs += [(30, "b c d a b d c"), (31, f"x {items[3][1]} y {items[4][1]}"), (32, "a " * 60 + "b " + "a " * 45),
+             (33, items[5][1] + " " + items[5][1])]
+    found = decontaminate.find_matches(
+        spark.createDataFrame(docs, "row long, text string").withColumn("_ROW", F.lit("K")),
+        spark.createDataFrame(items, "item_id long, text string"), window=5).collect()
+    assert len(found) == len(docs) and {r["_ROW"] for r in found} == {"K"}
+    for r in found:
+        got = [(m["item_id"], m["item_start"], m["doc_start"], m["n_words"]) for m in r["matches"]]
+        assert got == brute_matches(r["text"], items, 5), r["text"]
+
+
 def test_suffixes_in_order():
     ids = [3, 1, 2, 0, 1, 2, 3, 1, 0, 2]
     starts, _ = decontaminate.suffix_array(decontaminate.np.array(ids), 1, 3, 2, 4)
