@@ -11,13 +11,14 @@ The automaton of a corpus has about as many arcs as the corpus has words, so it
 place.  Documents are read in blocks.  A block asks for the counts of its distinct n-grams: it
 sends them, with its own counts, to buckets of the n-gram hashes; each bucket adds up what all
 blocks have sent and answers every one.  Each block then has the part of the automaton that its
-texts traverse.
+texts traverse: states, arcs and failure arcs, which all texts walk from left to right.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,11 @@ from pyspark.sql import functions as F
 from starquill.llm.common import WordHashes, runs, texts_of, whole_groups
 from starquill.session import materialise
 
-ORDER = 2
+ORDER = 3
 PRIOR = 4.0
 BLOCK_BYTES = 4 << 20
 BUCKET_KEYS = 1 << 20
+PIECE = 256  # tokens of a text that are walked one after another
 
 # no word holds a space
 END = np.uint64(xxhash.xxh64_intdigest(b"the end"))
@@ -165,29 +167,27 @@ def _answers(questions: DataFrame) -> DataFrame:
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, "bucket"):
-            rows = group.to_pylist()
+            by_key: dict[tuple[int, int], list[dict]] = {}
+            for r in group.to_pylist():
+                by_key.setdefault((r["bucket"], r["width"]), []).append(r)
             n_tokens = n_distinct = 0
             blocks, widths, buckets, totals = [], [], [], []
-            for bucket in sorted({r["bucket"] for r in rows}):
-                for width in sorted({r["width"] for r in rows}):
-                    asked = [r for r in rows if (r["bucket"], r["width"]) == (bucket, width)]
-                    if not asked:
-                        continue
-                    keys = [np.cumsum(unsqueeze(r["keys"], np.uint64), dtype=np.uint64) for r in asked]
-                    counts = np.concatenate([unsqueeze(r["counts"], np.uint32) for r in asked])
-                    distinct, index = np.unique(np.concatenate(keys), return_inverse=True)
-                    total = np.zeros(len(distinct), np.int64)
-                    np.add.at(total, index, counts.astype(np.int64))
-                    if width == 1:
-                        n_tokens += int(total.sum())
-                        n_distinct += int((total > 0).sum())
-                    at = 0
-                    for r, k in zip(asked, keys):
-                        blocks.append(r["block"])
-                        widths.append(width)
-                        buckets.append(bucket)
-                        totals.append(squeeze(total[index[at:at + len(k)]]))
-                        at += len(k)
+            for (bucket, width), asked in by_key.items():
+                keys = [np.cumsum(unsqueeze(r["keys"], np.uint64), dtype=np.uint64) for r in asked]
+                counts = np.concatenate([unsqueeze(r["counts"], np.uint32) for r in asked])
+                distinct, index = np.unique(np.concatenate(keys), return_inverse=True)
+                total = np.zeros(len(distinct), np.int64)
+                np.add.at(total, index, counts.astype(np.int64))
+                if width == 1:
+                    n_tokens += int(total.sum())
+                    n_distinct += int((total > 0).sum())
+                at = 0
+                for r, k in zip(asked, keys):
+                    blocks.append(r["block"])
+                    widths.append(width)
+                    buckets.append(bucket)
+                    totals.append(squeeze(total[index[at:at + len(k)]]))
+                    at += len(k)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*blocks, None], pa.int64()), pa.array([*widths, None], pa.int32()),
                  pa.array([*buckets, None], pa.int64()), pa.array([*totals, None], pa.binary()),
@@ -200,25 +200,113 @@ def _answers(questions: DataFrame) -> DataFrame:
                                 "n_tokens long, n_distinct long"))
 
 
+@dataclass(frozen=True)
+class Automaton:
+    """The states and arcs that the texts of a block can reach.  State 0 has no context; then come
+    the contexts of one token, of two, and so on, the one in which a text begins last of each.
+    ``keys`` are state and token of the arcs, in order."""
+
+    tokens: int
+    keys: np.ndarray
+    weights: np.ndarray
+    targets: np.ndarray
+    failure_weights: np.ndarray
+    failures: np.ndarray
+    start: int
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of one token behind each state, and the states it leads to."""
+        state, weight = state.copy(), np.zeros(len(state))
+        left = np.arange(len(state))
+        while len(left):
+            key = state[left] * self.tokens + token[left]
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            there = self.keys[arc] == key
+            found, arc, left = left[there], arc[there], left[~there]
+            weight[found] += self.weights[arc]
+            state[found] = self.targets[arc]
+            weight[left] += self.failure_weights[state[left]]
+            state[left] = self.failures[state[left]]
+        return weight, state
+
+
+def automaton(grams: list[np.ndarray], counts: list[np.ndarray], starts: np.ndarray,
+              lowest: np.ndarray, n_texts: int, prior: float) -> Automaton:
+    """From the n-grams of a block: ``grams[k]`` numbers the one of k + 1 tokens that ends at each
+    token, ``counts[k]`` has their training counts, ``lowest`` the probability of each token
+    without a context."""
+    order, n = len(grams), len(grams[0])
+    first = np.zeros(n, bool)
+    first[starts] = True
+    offsets = np.cumsum([0, 1, *(len(c) + 1 for c in counts[:-1])])
+    seen = np.concatenate([[1], *(np.r_[c, n_texts] for c in counts[:-1])])
+    # state of the k tokens before each token, whether training has it or not
+    contexts = [np.zeros(n, np.int64)]
+    for k in range(1, order):
+        before = np.r_[0, grams[k - 1][:-1]]
+        before[first] = len(counts[k - 1])
+        contexts.append(offsets[k] + before)
+    failures = np.zeros(offsets[-1], np.int64)
+    for k in range(1, order):
+        failures[contexts[k]] = contexts[k - 1]
+    keys, weights, targets = [], [], []
+    chance = np.zeros(0)
+    for k in range(1, order + 1):
+        at = np.zeros(len(counts[k - 1]), np.int64)
+        at[grams[k - 1]] = np.arange(n)  # a place of each n-gram
+        source, count = contexts[k - 1][at], counts[k - 1]
+        if k == 1:
+            chance = np.ones(len(count))
+            chance[grams[0]] = lowest
+        else:
+            chance = (count + prior * chance[grams[k - 2][at]]) / (seen[source] + prior)
+        longest = min(k, order - 1)
+        target = offsets[longest] + grams[longest - 1][at] if longest else np.zeros(len(at), np.int64)
+        target = np.where(count > 0, target, 0)
+        # the lowest state has an arc for every token, the others for those that followed them
+        there = np.flatnonzero((count > 0) | (k == 1))
+        keys.append(source[there] * len(counts[0]) + grams[0][at[there]])
+        weights.append(np.log10(chance[there]))
+        targets.append(target[there])
+    joined = np.concatenate(keys)
+    by_key = np.argsort(joined)
+    with np.errstate(divide="ignore"):
+        failure_weights = np.log10(prior / (seen + prior))
+    start = int(offsets[order - 1] + len(counts[order - 2])) if order > 1 and n_texts else 0
+    return Automaton(len(counts[0]), joined[by_key], np.concatenate(weights)[by_key],
+                     np.concatenate(targets)[by_key], failure_weights, failures, start)
+
+
 def traverse(grams: list[np.ndarray], counts: list[np.ndarray], starts: np.ndarray, n_tokens: int,
              n_distinct: int, n_texts: int, prior: float) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of every token under the automaton and under its lowest state.
 
-    ``grams[k]`` numbers the n-gram of k + 1 tokens that ends at each token and ``counts[k]`` has
-    its training count.  All texts go from left to right together: the state of a token is the
-    longest context before it that training has; its arc is there if the n-gram was counted, and
-    otherwise the failure arc leads to the next shorter context.
+    The texts are walked from left to right, all at once, and each carries its state.  A text of
+    more than PIECE tokens is walked in pieces side by side: a piece but the first begins ``order``
+    - 1 tokens early in the lowest state, and these lead it to the state of the whole text, as a
+    state knows no more than that many tokens.
     """
-    known = counts[0][grams[0]]
-    lowest = (known + 1) / (n_tokens + n_distinct + 1)
-    chance = lowest
-    first = np.zeros(len(known), bool)
-    first[starts] = True
-    for k in range(1, len(grams)):
-        before = np.r_[0, counts[k - 1][grams[k - 1]][:-1]]
-        before[first] = n_texts  # the state in which a text begins
-        chance = (counts[k][grams[k]] + prior * chance) / (before + prior)
-    return np.log10(chance), np.log10(lowest)
+    order, n = len(grams), len(grams[0])
+    lowest = (counts[0][grams[0]] + 1) / (n_tokens + n_distinct + 1)
+    walk = automaton(grams, counts, starts, lowest, n_texts, prior)
+    lengths = np.diff(np.r_[starts, n])
+    pieces = -(-lengths // PIECE)
+    text = np.repeat(np.arange(len(starts)), pieces)
+    own = (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * PIECE
+    begin = np.maximum(0, own - (order - 1))
+    steps = np.minimum(own + PIECE, lengths[text]) - begin
+    falling = np.argsort(-steps, kind="stable")
+    text, own, begin, steps = (x[falling] for x in (text, own, begin, steps))
+    state = np.where(begin == 0, walk.start, 0)
+    at, own = starts[text] + begin, starts[text] + own
+    chance = np.zeros(n)
+    for t in range(int(steps[0]) if len(steps) else 0):
+        active = int(np.searchsorted(-steps, -t, "left"))
+        here = at[:active] + t
+        weight, state[:active] = walk.step(state[:active], grams[0][here])
+        counted = here >= own[:active]
+        chance[here[counted]] = weight[counted]
+    return chance, np.log10(lowest)
 
 
 def score_texts(docs: DataFrame, held: Column, order: int = ORDER, prior: float = PRIOR) -> DataFrame:

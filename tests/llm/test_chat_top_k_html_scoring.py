@@ -375,6 +375,45 @@ def test_probabilities_of_a_state_sum_to_one():
     assert abs(total - 1) < 1e-12
 
 
+@pytest.mark.parametrize("piece", [1, 2, 5, 1000])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_walk_equals_counting(monkeypatch, order, piece):
+    """Pieces of any length, against the recursion over the counts of each token."""
+    monkeypatch.setattr(scoring, "PIECE", piece)
+    rng = np.random.default_rng(order)
+    texts = [[*rng.integers(0, 6, rng.integers(0, 40)).tolist(), -1] for _ in range(40)]
+    trains = [i % 3 > 0 for i in range(40)]
+    seen = Counter()
+
+    def before(text, i, width):
+        return tuple(([-2] * order + text)[i + order - width:i + order])
+    for text, counts_ in zip(texts, trains):
+        for i, token in enumerate(text):
+            for width in range(order):
+                seen[before(text, i, width) + (token,)] += counts_
+                seen["before", before(text, i, width)] += counts_
+    grams, counts = [], []
+    for width in range(order):
+        all_ = [before(text, i, width) + (token,) for text in texts for i, token in enumerate(text)]
+        names = sorted(set(all_))
+        grams.append(np.array([names.index(g) for g in all_]))
+        counts.append(np.array([seen[g] for g in names]))
+    n_tokens, n_distinct = int(counts[0].sum()), int((counts[0] > 0).sum())
+    lengths = [len(t) for t in texts]
+    starts = np.cumsum([0, *lengths[:-1]])
+    chance, lowest = scoring.traverse(grams, counts, starts, n_tokens, n_distinct, sum(trains), 1.5)
+    at = 0
+    for text in texts:
+        for i, token in enumerate(text):
+            want = (seen[(token,)] + 1) / (n_tokens + n_distinct + 1)
+            assert abs(lowest[at] - math.log10(want)) < 1e-12
+            for width in range(1, order):
+                context = before(text, i, width)
+                want = (seen[context + (token,)] + 1.5 * want) / (seen["before", context] + 1.5)
+            assert abs(chance[at] - math.log10(want)) < 1e-9
+            at += 1
+
+
 def test_score_query(spark, sf_dir, texts):
     rows = {r["doc_id"]: r for r in queries.op9_lm_scores(spark, sf_dir).collect()}
     assert set(rows) == set(texts)
