@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starquill.llm.common import WordHashes, runs, texts_of, whole_groups
-from starquill.session import materialise
+from starquill.session import materialise, new_table_path
 
 ORDER = 3
 PRIOR = 4.0
@@ -114,6 +114,17 @@ def _blocks(docs: DataFrame, held: Column) -> DataFrame:
     return docs.select("doc_id", held.alias("held"), "text").mapInArrow(gather, schema)
 
 
+def _written(blocks: DataFrame) -> DataFrame:
+    """The blocks as a table in the shared folder, bucketed by their numbers, so that the counts
+    come to them and no text moves again."""
+    spark = blocks.sparkSession
+    path = new_table_path(spark, "lm-blocks")
+    name = f"lm_blocks_{path.rsplit('-', 1)[1]}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.bucketBy(parts, "block").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """Row by row: a batch may hold many blocks."""
     for i in range(batch.num_rows):
@@ -322,7 +333,7 @@ def score_texts(docs: DataFrame, held: Column, order: int = ORDER, prior: float
     documents give no rows; columns other than ``doc_id`` and ``text`` are read only by ``held``.
     """
     held = F.coalesce(held, F.lit(False))
-    blocks = materialise(_blocks(docs, held), "lm-blocks")
+    blocks = _written(_blocks(docs, held))
     size = blocks.agg(F.sum("n_tokens"), F.sum(F.size(F.filter("held", lambda x: ~x)))).first()
     n_texts = size[1] or 0
     buckets = max(1, math.ceil((size[0] or 0) * order / BUCKET_KEYS))
