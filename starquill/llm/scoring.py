@@ -10,7 +10,8 @@ add-one distribution of single tokens, with one share for all unknown ones.
 The automaton of a corpus has about as many arcs as the corpus has words, so it is never in one
 place.  Documents are read in blocks.  A block asks for the counts of its distinct n-grams: it
 sends them, with its own counts, to buckets of the n-gram hashes; each bucket adds up what all
-blocks have sent and answers every one.  Each block then has the part of the automaton that its
+blocks have sent and answers every one.  The widths of n-grams are asked one after another, so that
+the questions of one width lie on disk at a time.  Each block then has the part of the automaton that its
 texts traverse: states, arcs and failure arcs, which all texts walk from left to right.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starquill.llm.common import WordHashes, runs, texts_of, whole_groups
-from starquill.session import materialise, new_table_path
+from starquill.session import materialise, new_table_path, shuffles_freed
 
 ORDER = 3
 PRIOR = 4.0
@@ -145,28 +147,27 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def _questions(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
-    """A row per block, n-gram width and bucket: the block's distinct n-grams in order (as
+def _questions(blocks: DataFrame, width: int, buckets: int) -> DataFrame:
+    """A row per block and bucket: the block's distinct n-grams of ``width`` in order (as
     differences) and its training counts of them."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 tokens, starts, trains, _ = _opened(row)
-                for width in range(1, order + 1):
-                    keys, index = np.unique(ngrams(tokens, starts, width), return_inverse=True)
-                    counts = np.bincount(index[trains], minlength=len(keys)).astype(np.uint32)
-                    found, first = np.unique(_bucket(keys, buckets), return_index=True)
-                    ends = np.r_[first[1:], len(keys)]
-                    parts = list(zip(first.tolist(), ends.tolist()))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.astype(np.int64)),
-                         pa.array([row["block"]] * len(parts), pa.int64()),
-                         pa.array([width] * len(parts), pa.int32()),
-                         pa.array([squeeze(np.diff(keys[a:b], prepend=np.uint64(0)))
-                                   for a, b in parts], pa.binary()),
-                         pa.array([squeeze(counts[a:b]) for a, b in parts], pa.binary())],
-                        names=["bucket", "block", "width", "keys", "counts"])
+                keys, index = np.unique(ngrams(tokens, starts, width), return_inverse=True)
+                counts = np.bincount(index[trains], minlength=len(keys)).astype(np.uint32)
+                found, first = np.unique(_bucket(keys, buckets), return_index=True)
+                ends = np.r_[first[1:], len(keys)]
+                parts = list(zip(first.tolist(), ends.tolist()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.astype(np.int64)),
+                     pa.array([row["block"]] * len(parts), pa.int64()),
+                     pa.array([width] * len(parts), pa.int32()),
+                     pa.array([squeeze(np.diff(keys[a:b], prepend=np.uint64(0)))
+                               for a, b in parts], pa.binary()),
+                     pa.array([squeeze(counts[a:b]) for a, b in parts], pa.binary())],
+                    names=["bucket", "block", "width", "keys", "counts"])
 
     return blocks.select("block", "held", "lengths", "vocabulary", "tokens").mapInArrow(
         ask, "bucket long, block long, width int, keys binary, counts binary")
@@ -336,8 +337,11 @@ def score_texts(docs: DataFrame, held: Column, order: int = ORDER, prior: float
     blocks = _written(_blocks(docs, held))
     size = blocks.agg(F.sum("n_tokens"), F.sum(F.size(F.filter("held", lambda x: ~x)))).first()
     n_texts = size[1] or 0
-    buckets = max(1, math.ceil((size[0] or 0) * order / BUCKET_KEYS))
-    answers = materialise(_answers(_questions(blocks, order, buckets)), "lm-counts")
+    buckets = max(1, math.ceil((size[0] or 0) / BUCKET_KEYS))
+    with shuffles_freed(docs.sparkSession):
+        answers = reduce(DataFrame.unionByName, [
+            materialise(_answers(_questions(blocks, width, buckets)), "lm-counts")
+            for width in range(1, order + 1)])
     counted = answers.filter("block IS NULL").agg(F.sum("n_tokens"), F.sum("n_distinct")).first()
     n_tokens, n_distinct = counted[0] or 0, counted[1] or 0
     # one row per block and bucket that it asked: as many n-grams as the block has tokens

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +82,25 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files: each query's are deleted as it ends.
+
+    Without this they lie on the executors' disks until the driver's garbage collector finds them
+    unused.  For queries whose shuffles no later one reads.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder, in whatever store the path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
@@ -14,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starquill.llm import chat, html_text, queries, scoring, top_k
+from starquill.session import materialise
 
 # -- chat formatting
 
@@ -428,3 +430,30 @@ def test_squeezed_arrays_return():
     for kind in (np.uint64, np.uint32, np.int64):
         values = np.random.default_rng(3).integers(0, 10**9, 1000).astype(kind)
         assert (scoring.unsqueeze(scoring.squeeze(values), kind) == values).all()
+
+
+def test_questions_of_a_width_are_gone_before_the_next(spark, monkeypatch):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    widths, others = [], set()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().toString()))
+
+    def spied(df, label):
+        others.update(shuffles())
+        written = materialise(df, label)
+        for _ in range(100):  # files are deleted in the background
+            if not (left := shuffles() - others):
+                break
+            time.sleep(0.1)
+        found = written.filter("block IS NOT NULL").select("width").distinct().collect()
+        widths.append((sorted(r[0] for r in found), left))
+        return written
+
+    monkeypatch.setattr(scoring, "materialise", spied)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(key, None)
+    df = spark.createDataFrame([(1, "a b a b c"), (2, "b a b"), (3, None)], "doc_id long, text string")
+    scoring.score_texts(df, F.lit(False), 3)
+    assert widths == [([1], set()), ([2], set()), ([3], set())]
+    assert spark.conf.get(key, None) == kept
