@@ -13,7 +13,8 @@ from starquill.functions.periods import (month_bounds, parse_period, period_end,
 from starquill.functions.scalars import balance_charge, full_name, title_pattern, whole_days
 from starquill.operators.intervals import interval_join
 from starquill.operators.rows import first_per_key, number_rows, with_fallback
-from starquill.sources.inline import ordered_elements, values
+from starquill.session import materialise
+from starquill.sources.inline import known_if_empty, ordered_elements, values
 
 MONEY = "decimal(38,2)"
 
@@ -186,13 +187,18 @@ def films_in_stock(film, language, inventory, rental, customer, pattern: str) ->
 
     One pass over the rentals gives both the latest rental of a copy and whether any is
     open.  It is cut down to the copies asked for, and grouped ahead of the join, so that a
-    copy with very many rentals is down to a row per task.
+    copy with very many rentals is down to a row per task.  Titles and copies are written out
+    before what they cut down is read: their size is known then, and few of them, or none, are
+    broadcast to inventory and rentals.  Without any, Catalyst is told so and reads no further.
     """
     pattern = title_pattern(pattern)
-    titles = (film.filter(F.col("title").like(pattern)).select("film_id", "title", "language_id")
-              .join(language.select("language_id", F.col("name").alias("language")),
-                    "language_id"))
-    copies = titles.join(inventory.select("film_id", "inventory_id"), "film_id")
+    titles = known_if_empty(materialise(
+        film.filter(F.col("title").like(pattern)).select("film_id", "title", "language_id")
+        .join(language.select("language_id", F.col("name").alias("language")), "language_id"),
+        "titles"))
+    stocked = inventory.select("film_id", "inventory_id").join(
+        titles.select("film_id"), "film_id", "left_semi")
+    copies = known_if_empty(materialise(titles.join(stocked, "film_id"), "copies"))
     asked = copies.select("inventory_id")
     history = (rental.join(asked, "inventory_id", "left_semi").groupBy("inventory_id")
                .agg(F.max(F.col("return_date").isNull()).alias("is_out"),

@@ -26,6 +26,12 @@ def values(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType)
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=shape), schema)
 
 
+def known_if_empty(df: DataFrame) -> DataFrame:
+    """``df``, or inline rows in its place if it has none, which Catalyst then knows while it
+    plans: what is joined to them is not read.  Looks for a row, so ``df`` should be written."""
+    return values(df.sparkSession, [], df.schema) if df.isEmpty() else df
+
+
 def series(spark: SparkSession, first: int, last: int, name: str = "n") -> DataFrame:
     """The integers from ``first`` to ``last``, both included."""
     return spark.range(first, last + 1).withColumnRenamed("id", name)

@@ -4,10 +4,12 @@ import datetime as dt
 from decimal import Decimal as d
 
 import pytest
+from pyspark.sql import functions as F
 
 from starquill.functions import periods
 from starquill.functions.scalars import title_pattern
 from starquill.plans import table_functions as tf
+from starquill.session import materialise
 
 
 def rows(df):
@@ -125,6 +127,20 @@ def test_search_is_case_sensitive_and_has_a_message_row(rental):
     assert rows(tf.films_in_stock(*args, "GAMMA%"))[0][1].endswith("pattern: GAMMA%")
 
 
+def test_a_search_without_titles_moves_no_rentals(spark, rental):
+    def unread(table):
+        """Fails where a row of it is about to be shuffled by copy."""
+        fails = F.raise_error(F.lit("moved")).cast("int")
+        return (materialise(rental[table], "moved").withColumn("inventory_id", fails)
+                .repartition(2, "inventory_id"))
+
+    # written, so that no title is known to be missing before it is looked for
+    args = [unread(t) if t in ("inventory", "rental") else materialise(rental[t], "moved")
+            for t in STOCK]
+    assert rows(tf.films_in_stock(*args, "%NONE%")) == [
+        (1, "Film not found in stock for pattern: %NONE%", "-", "-", "-")]
+
+
 def test_title_pattern():
     assert title_pattern(" love ") == "%love%"
     assert title_pattern(" lo_e ") == " lo_e "
