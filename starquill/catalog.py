@@ -116,12 +116,17 @@ FILMS_IN_STOCK = Definition(
 WITH titles AS (
   SELECT film_id, title, l.name FROM {{p}}film JOIN {{p}}language l USING (language_id)
   WHERE title LIKE {_LIKE} AND btrim({{f}}.pattern) <> ''),
+-- without titles no row of inventory or rental leaves its scan
+stocked AS (
+  SELECT film_id, inventory_id FROM {{p}}inventory LEFT SEMI JOIN titles USING (film_id)
+  WHERE film_id BETWEEN (SELECT min(film_id) FROM titles) AND (SELECT max(film_id) FROM titles)),
 copies AS (
-  SELECT inventory_id, film_id, title, name FROM titles JOIN {{p}}inventory USING (film_id)),
+  SELECT inventory_id, film_id, title, name FROM titles JOIN stocked USING (film_id)),
 history AS (
   SELECT inventory_id, max(return_date IS NULL) AS is_out,
          max(struct(rental_date, rental_id, customer_id)) AS latest
-  FROM {{p}}rental LEFT SEMI JOIN copies USING (inventory_id) GROUP BY inventory_id),
+  FROM {{p}}rental LEFT SEMI JOIN copies USING (inventory_id)
+  WHERE EXISTS (SELECT 1 FROM titles) GROUP BY inventory_id),
 picked AS (
   SELECT * FROM (
     SELECT film_id, title, name, latest, row_number() OVER (

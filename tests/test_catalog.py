@@ -5,6 +5,7 @@ from decimal import Decimal as d
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from starquill import catalog
 from starquill.bindings import catalog_queries
@@ -87,6 +88,18 @@ def test_stock_search(spark, rental, made, pattern):
     assert rows(got) == rows(tf.films_in_stock(*[rental[t] for t in STOCK], pattern))
 
 
+def test_a_search_without_titles_moves_no_rentals(spark, rental):
+    def unread(table):
+        """Fails where a row of it is about to be shuffled by copy."""
+        fails = F.raise_error(F.lit("moved")).cast("int")
+        return rental[table].repartition(2).withColumn("inventory_id", fails)
+
+    tables = {t: unread(t) if t in ("inventory", "rental") else rental[t] for t in STOCK}
+    catalog.register(spark, tables, "moved_", ["films_in_stock"])
+    assert rows(spark.sql("SELECT * FROM moved_films_in_stock('%NONE%')")) == [
+        (1, "Film not found in stock for pattern: %NONE%", "-", "-", "-")]
+
+
 @pytest.mark.parametrize("film,store", [(None, None), (1, None), (None, 1), (2, 2)])
 def test_copies(spark, rental, made, film, store):
     given = ", ".join(f"{n} => {v}" for n, v in (("film_id", film), ("store_id", store))
