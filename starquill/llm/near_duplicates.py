@@ -9,9 +9,13 @@ pairs that may reach the threshold are verified on the sorted arrays of shingle
 
 A group of copies is not turned into all its pairs.  The first round takes all pairs of a tile
 that may reach the threshold only if they are at most CROWDED per row, and else, for each node, the
-most promising partner.  The second round goes through the other tiles again, those that hold more
-than one component, and takes all pairs whose nodes are not yet connected; its bitmaps are
-longer, because sets just below the threshold are what such tiles are left with.  No link between components can stay unseen.
+most promising partner.  Its bitmaps are short, as every row of every tile has one, and let some
+unrelated pairs through.  These meet in more and more tiles as the input grows, so the pairs are
+held against bitmaps FINER times as long before any set moves, and the crowded tiles are gone
+through again with those.  The last round goes through the tiles that are crowded still, those that
+hold more than one component, and takes all pairs whose nodes are not yet connected; its bitmaps are
+longer again, because sets just below the threshold are what such tiles are left with.  No link
+between components can stay unseen.
 That is enough for components only: ``links`` verifies the pairs of all tiles.
 """
 
@@ -30,11 +34,12 @@ from starquill.llm.common import (WordHashes, lists_of, mix, runs, schema_with,
                                   whole_groups)
 from starquill.llm.components import connected
 from starquill.operators.rows import first_per_key
-from starquill.session import materialise
+from starquill.session import discard, materialise, shuffles_freed
 
 TILE_ROWS = 1024
 CROWDED = 2
 LEAST_BITS = 128
+FINER = 2
 WIDER = 8
 DEALT_KEYS = 1 << 20
 CHUNK = 2048
@@ -70,13 +75,13 @@ def bitmap(hashes: np.ndarray, times: int = 1) -> bytes:
 
 
 def _sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """A light row per document: set size, digest, prefix and bitmap."""
+    """A light row per document: set size, digest, prefix and bitmaps."""
     schema = schema_with(docs, ["doc_id", "text_hash"],
-                         "n int, digest binary, prefix array<long>, bits binary")
+                         "n int, digest binary, prefix array<long>, bits binary, fine binary")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in smaller(batches):
-            sizes, digests, prefixes, bits = [], [], [], []
+            sizes, digests, prefixes, bits, fine = [], [], [], [], []
             for text in texts_of(batch.column("text")):
                 found = shingles(text, words)
                 sizes.append(len(found))
@@ -84,14 +89,33 @@ def _sketched(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 prefixes.append(found[:prefix_size(len(found), percent)].view(np.int64)
                                 if len(found) else found.view(np.int64))
                 bits.append(bitmap(found) if len(found) else None)
+                fine.append(bitmap(found, FINER) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int32()),
                  pa.array(digests, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
-                 pa.array(bits, pa.binary())], names=schema.names)
+                 pa.array(bits, pa.binary()), pa.array(fine, pa.binary())], names=schema.names)
 
     return docs.mapInArrow(sketch, schema)
 
 
+def _folded(bitmaps: list[bytes], length: int, size: int) -> np.ndarray:
+    """A row of words for each of some bitmaps of ``length`` bytes, folded to ``size`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(b"".join(bitmaps), np.uint64).reshape(
+        len(bitmaps), length // size, size // 8), axis=1)
+
+
+def _apart(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """In how many bits two bitmaps differ, the longer one folded to the shorter; for each pair."""
+    lengths = np.array([[len(x), len(y)] for x, y in zip(left, right)], np.int64).reshape(-1, 2)
+    apart = np.zeros(len(lengths), np.int64)
+    for x, y in np.unique(lengths, axis=0).tolist():
+        where = np.flatnonzero((lengths == (x, y)).all(axis=1))
+        one, two = (_folded([side[i] for i in where.tolist()], length, min(x, y))
+                    for side, length in ((left, x), (right, y)))
+        apart[where] = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+    return apart
+
+
 def _compare(tile: pa.Table, percent: int, nearest: bool
              ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of row numbers inside tiles whose overlap may be large enough, a block of about
@@ -113,9 +137,7 @@ def _compare(tile: pa.Table, percent: int, nearest: bool
         folded = np.empty((len(rows), size // 8), np.uint64)
         for length in np.unique(lengths[rows]).tolist():
             same = np.flatnonzero(lengths[rows] == length)
-            whole = np.frombuffer(b"".join(bodies[r] for r in rows[same].tolist()), np.uint64)
-            folded[same] = np.bitwise_xor.reduce(
-                whole.reshape(len(same), length // size, size // 8), axis=1)
+            folded[same] = _folded([bodies[r] for r in rows[same].tolist()], length, size)
         maps[size] = place, folded
     ends = np.flatnonzero(np.r_[key[1:] != key[:-1], True])
     end = ends[np.searchsorted(ends, np.arange(len(key)))]
@@ -345,6 +367,23 @@ def _candidates(tiles: DataFrame, bitmaps: DataFrame, percent: int, nearest: boo
             .mapInArrow(compare, "a long, b long").distinct())
 
 
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may be similar by their longer bitmaps, too."""
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
+                                      F.col("fine").alias(f"of_{side}")), side)
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
+            apart = _apart(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist())
+            may = (x + y - apart) // 2 >= needed(np.minimum(x, y), np.maximum(x, y), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(may))
+
+    return both.select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(hold, "a long, b long")
+
+
 def _wide_bitmaps(sets: DataFrame) -> DataFrame:
     """Bitmaps long enough to tell sets just below the threshold from those above it."""
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,16 +436,21 @@ def _document_key(doc_id: Column, text_hash: Column) -> list[Column]:
 
 def _prepared(docs: DataFrame, words: int,
               percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Documents with a hash of their text, their light rows, the nodes and their tiles."""
+    """Documents with a hash of their text, their light rows, the nodes and the prefix shingles
+    that nodes share.  The prefixes themselves are not kept."""
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1 to 100")
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    light = materialise(_sketched(docs, words, percent), "sketches")
-    nodes = first_per_key(light.filter("n > 0"), ["digest"],
-                          [F.col("doc_id").asc_nulls_last(), F.col("text_hash")])
-    nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    tiles = _tiles(materialise(_shared_prefixes(nodes, percent), "shared-prefixes"), percent)
-    return docs, light, nodes, tiles
+    sketches = materialise(_sketched(docs, words, percent), "sketches")
+    light = materialise(sketches.select("doc_id", "n", "digest"), "light")
+    firsts = first_per_key(sketches.filter("n > 0"), ["digest"],
+                           [F.col("doc_id").asc_nulls_last(), F.col("text_hash")])
+    firsts = materialise(firsts.withColumn("node", F.monotonically_increasing_id()), "firsts")
+    discard(sketches)
+    nodes = materialise(firsts.drop("prefix"), "nodes")
+    entries = materialise(_shared_prefixes(firsts, percent), "shared-prefixes")
+    discard(firsts)
+    return docs, light, nodes, entries
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -423,32 +467,48 @@ def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> Da
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
 
-    # the wanted nodes grow with the input: moved by their keys at every size
-    sets = (bodies.join(wanted.hint("merge"), ["_ka", "_kb"]).select("node", "text").dropDuplicates(["node"])
-            .mapInArrow(hash_all, "node long, hashes array<long>"))
+    # the wanted nodes grow with the input: moved by their keys at every size.  A node has one key,
+    # so its rows are together
+    sets = (bodies.join(wanted.hint("merge"), ["_ka", "_kb"]).dropDuplicates(["_ka", "_kb", "node"])
+            .select("node", "text").mapInArrow(hash_all, "node long, hashes array<long>"))
     return materialise(sets, "sets")
 
 
 def _analysed(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Light rows of all documents, and for every node its ``component_id``, with the id and
     text hash of the document that stands for its whole component."""
-    docs, light, nodes, tiles = _prepared(docs, words, percent)
-    bitmaps = nodes.select("node", "n", "bits", F.col("node").alias("component"))
-    found = materialise(_candidates(tiles, bitmaps, percent, True), "first-pairs")
-    pairs, crowded = found.filter("b IS NOT NULL"), found.filter("b IS NULL").select(F.col("a").alias("tile"))
-    # every node with any candidate is in one of these pairs, so the sets serve both rounds
-    sets = _sets(docs, nodes, pairs, words)
-    links = materialise(_verified(pairs, sets, percent), "links")
-    labels = materialise(connected(links), "components")
-    if not crowded.isEmpty():
-        bitmaps = _wide_bitmaps(sets).join(labels, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        open_tiles = _open_tiles(tiles.join(crowded, "tile", "left_semi"), labels)
-        again = _candidates(open_tiles, bitmaps, percent, False)
-        more = materialise(_verified(again, sets, percent), "more-links")
-        labels = materialise(connected(links.unionByName(more)), "components")
-    named = nodes.select("node", "digest", "doc_id", "text_hash").join(labels, "node", "left")
-    named = materialise(named.withColumn("component", F.coalesce("component", "node")), "named")
+    with shuffles_freed(docs.sparkSession):
+        docs, light, nodes, entries = _prepared(docs, words, percent)
+        tiles = _tiles(entries, percent)
+        bitmaps = nodes.select("node", "n", "bits", F.col("node").alias("component"))
+        found = materialise(_candidates(tiles, bitmaps, percent, True), "first-pairs")
+        pairs = materialise(_likely(found.filter("b IS NOT NULL"), nodes, percent), "likely-pairs")
+        crowded = found.filter("b IS NULL").select(F.col("a").alias("tile"))
+        busy = not crowded.isEmpty()
+        if busy:
+            bitmaps = nodes.select("node", "n", F.col("fine").alias("bits"),
+                                   F.col("node").alias("component"))
+            tiles = tiles.join(crowded, "tile", "left_semi")
+            closer = materialise(_candidates(tiles, bitmaps, percent, True), "closer-pairs")
+            pairs = pairs.unionByName(closer.filter("b IS NOT NULL")).distinct()
+            crowded = closer.filter("b IS NULL").select(F.col("a").alias("tile"))
+            busy = not crowded.isEmpty()
+        # every node with a candidate in a crowded tile is in one of these pairs, so the sets serve
+        # the last round, too
+        sets = _sets(docs, nodes, pairs, words)
+        links = materialise(_verified(pairs, sets, percent), "links")
+        labels = materialise(connected(links), "components")
+        if busy:
+            bitmaps = _wide_bitmaps(sets).join(labels, "node", "left").withColumn(
+                "component", F.coalesce("component", "node"))
+            open_tiles = _open_tiles(tiles.join(crowded, "tile", "left_semi"), labels)
+            again = _candidates(open_tiles, bitmaps, percent, False)
+            more = materialise(_verified(again, sets, percent), "more-links")
+            labels = materialise(connected(links.unionByName(more)), "components")
+        named = nodes.select("node", "digest", "doc_id", "text_hash").join(labels, "node", "left")
+        named = materialise(named.withColumn("component", F.coalesce("component", "node")), "named")
+        for dead in (nodes, entries, sets):
+            discard(dead)
     # one row per component: the least id, and the text hash that goes with it
     heads = first_per_key(named, ["component"], [F.col("doc_id").asc_nulls_last(), "text_hash"])
     heads = heads.select("component", F.col("doc_id").alias("component_id"),
@@ -490,9 +550,9 @@ def links(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame
     The pairs of every tile are verified, also within a component, so the work grows with the
     number of links between different sets: the square of a group of near copies.
     """
-    docs, light, nodes, tiles = _prepared(docs, words, percent)
+    docs, light, nodes, entries = _prepared(docs, words, percent)
     bitmaps = nodes.select("node", "n", "bits", F.col("node").alias("component"))
-    pairs = materialise(_candidates(tiles, bitmaps, percent, False), "all-pairs")
+    pairs = materialise(_candidates(_tiles(entries, percent), bitmaps, percent, False), "all-pairs")
     found = materialise(_verified(pairs, _sets(docs, nodes, pairs, words), percent), "all-links")
     sizes = light.filter("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("size"))
     sets = materialise(nodes.select("digest", "node", "doc_id").join(sizes, "digest"), "set-sizes")

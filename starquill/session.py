@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -106,3 +107,11 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     return store.delete(target, True)
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table that ``materialise`` has returned, once no query reads it any more."""
+    for folder in {unquote(file).rpartition("/")[0] for file in written.inputFiles()}:
+        if not folder.rpartition("/")[2].startswith("starquill-"):
+            raise ValueError(f"not a table of materialise: {folder}")
+        remove_path(written.sparkSession, folder)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import random
+import re
+import time
 from collections import Counter
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +16,7 @@ from pyspark.sql import functions as F
 
 from starquill.llm import near_duplicates, queries
 from starquill.llm.components import connected
+from starquill.session import discard, materialise
 
 
 def shingle_set(text, words):
@@ -217,3 +222,80 @@ def test_components(spark, seed):
     got = dict(map(tuple, connected(spark.createDataFrame(edges, "a long, b long")).collect()))
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {k: v for k, v in root.items() if k in linked}
+
+
+@pytest.fixture
+def written(spark, monkeypatch):
+    """Label, folder, columns, number of rows and shuffle files left of each table that is written."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    tables, others = [], set()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().toString()))
+
+    def spied(df, label):
+        others.update(shuffles())
+        table = materialise(df, label)
+        for _ in range(100):  # files are deleted in the background
+            if not (left := shuffles() - others):
+                break
+            time.sleep(0.1)
+        folders = {os.path.dirname(unquote(urlparse(f).path)) for f in table.inputFiles()}
+        tables.append((label, folders, set(table.columns), table.count(), left))
+        return table
+
+    monkeypatch.setattr(near_duplicates, "materialise", spied)
+    return tables
+
+
+def small_run(seed, tries=4000):
+    """Five words whose shingle comes early in the order of hashes."""
+    rng = random.Random(seed)
+    found = [" ".join(f"r{rng.randrange(10**6)}" for _ in range(5)) for _ in range(tries)]
+    return min(found, key=lambda run: int(near_duplicates.shingles(run.encode(), 5)[0]))
+
+
+@pytest.mark.parametrize("crowded", [near_duplicates.CROWDED, 10**6])
+def test_sets_of_unrelated_documents_do_not_move(spark, monkeypatch, written, crowded):
+    monkeypatch.setattr(near_duplicates, "CROWDED", crowded)
+    rng = random.Random(4)
+    run = small_run(1).split()
+    rows = [(i, " ".join([*run, *(f"w{rng.randrange(10**9)}" for _ in range(255))]))
+            for i in range(80)]  # 256 shingles and 128 bits each: about one pair in eight passes
+    rows.append((80, rows[3][1] + " more"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = near_duplicates.distinct_documents(docs, 5, 80)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(80))
+    rows = {label: n for label, _, _, n, _ in written}
+    assert rows["first-pairs"] > 20
+    assert rows["sets"] == 2
+
+
+def test_what_is_read_no_more_is_gone(spark, written):
+    docs = spark.createDataFrame(made_rows(3), "doc_id long, text string")
+    kept = near_duplicates.distinct_documents(docs, 5, 80)
+    assert {"prefix", "hashes", "key"} <= set().union(*(columns for _, _, columns, _, _ in written))
+    assert not [label for label, folders, columns, _, _ in written
+                if columns & {"prefix", "hashes", "key", "fine"} and any(map(os.path.exists, folders))]
+    assert [label for label, _, _, _, left in written if left] == []
+    assert kept.count() == kept.count() > 0  # what it still reads is there
+
+
+def test_only_own_tables_are_discarded(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/input")
+    with pytest.raises(ValueError):
+        discard(spark.read.parquet(f"{tmp_path}/input"))
+    assert spark.read.parquet(f"{tmp_path}/input").count() == 3
+
+
+def test_difference_of_pairs_is_a_lower_bound():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 60, 130, 250, 300, 900)]
+    pairs = [(x, np.r_[x[::2], y[::3]]) for x in sets for y in sets]
+    maps = [[near_duplicates.bitmap(np.unique(s), near_duplicates.FINER) for s in side]
+            for side in zip(*pairs)]
+    assert len({(len(x), len(y)) for x, y in zip(*maps)}) > 5
+    apart = near_duplicates._apart(*maps)
+    assert all(0 < n <= len(np.setxor1d(x, y)) for n, (x, y) in zip(apart, pairs) if len(np.setxor1d(x, y)))
+    assert (near_duplicates._apart(maps[0], maps[0]) == 0).all()
+    assert len(near_duplicates._apart([], [])) == 0
